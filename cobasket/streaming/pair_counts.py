@@ -95,12 +95,19 @@ def read_counts(spark: SparkSession, counts_path: str, k: int, item_type=LongTyp
     return merge_counts(_read_partitioned(spark, counts_path, schema).drop("batch_id"))
 
 
-def compact_counts(spark: SparkSession, counts_path: str, k: int, upto_batch: int, out_path: str) -> None:
+def compact_counts(
+    spark: SparkSession,
+    counts_path: str,
+    k: int,
+    upto_batch: int,
+    out_path: str,
+    item_type=LongType(),
+) -> None:
     """Write the summed deltas of batches ``<= upto_batch`` as one snapshot
     partition (``batch_id = upto_batch``) under ``out_path``; swap paths
     outside Spark once the write has committed."""
     schema = StructType(
-        [StructField(c, LongType(), True) for c in product_columns(k)]
+        [StructField(c, item_type, True) for c in product_columns(k)]
         + [StructField("baskets", LongType(), True)]
     )
     old = _read_partitioned(spark, counts_path, schema)
