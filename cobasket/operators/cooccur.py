@@ -56,11 +56,12 @@ def _tuple_cols(k: int) -> list[str]:
     return [f"_c{i}" for i in range(1, k + 1)]
 
 
-def _rows(df: DataFrame, basket: str, item: str, strict: bool) -> DataFrame:
-    """(_b, _i) with null keys removed; _i sorts in output order."""
-    return df.where(F.col(basket).isNotNull() & F.col(item).isNotNull()).select(
-        F.col(basket).alias("_b"), sortable_item(df, item, strict).alias("_i")
-    )
+def _rows(df: DataFrame, basket: str, item: str, strict: bool, flag: str | None) -> DataFrame:
+    """(_b, _i[, _f]) with null keys removed; _i sorts in output order."""
+    cols = [F.col(basket).alias("_b"), sortable_item(df, item, strict).alias("_i")]
+    if flag:
+        cols.append(F.coalesce(F.col(flag).cast("boolean"), F.lit(False)).alias("_f"))
+    return df.where(F.col(basket).isNotNull() & F.col(item).isNotNull()).select(*cols)
 
 
 def heavy_baskets(rows: DataFrame, threshold: int) -> DataFrame:
@@ -77,44 +78,67 @@ def heavy_baskets(rows: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def _array_tuples(rows: DataFrame, k: int) -> DataFrame:
+def _any_flag(cols: list[Column]) -> Column:
+    out = cols[0]
+    for c in cols[1:]:
+        out = out | c
+    return out
+
+
+def _array_tuples(rows: DataFrame, k: int, flagged: bool) -> DataFrame:
+    names = _tuple_cols(k)
+    member = F.struct(F.col("_i").alias("i"), F.col("_f").alias("f")) if flagged else F.col("_i")
     baskets = (
         rows.groupBy("_b")
-        .agg(F.array_sort(F.collect_set("_i")).alias("_items"))
+        .agg(F.array_sort(F.collect_set(member)).alias("_items"))
         .where(F.size("_items") >= F.lit(k))
     )
-    return expand_combinations(baskets, "_items", k, _tuple_cols(k))
+    t = expand_combinations(baskets, "_items", k, names)
+    if not flagged:
+        return t
+    # keep combinations with at least one flagged member; unwrap the items
+    return t.where(_any_flag([F.col(c).getField("f") for c in names])).select(
+        *[F.col(c).getField("i").alias(c) for c in names]
+    )
 
 
-def _join_tuples(rows: DataFrame, k: int) -> DataFrame:
+def _join_tuples(rows: DataFrame, k: int, flagged: bool) -> DataFrame:
     d = rows.distinct()
-    t = d.select("_b", F.col("_i").alias("_c1"))
+    flags = [F.col("_f").alias("_g")] if flagged else []
+    t = d.select("_b", F.col("_i").alias("_c1"), *flags)
     for j in range(2, k + 1):
-        nxt = d.select("_b", F.col("_i").alias(f"_c{j}"))
+        nxt = d.select("_b", F.col("_i").alias(f"_c{j}"), *([F.col("_f").alias("_h")] if flagged else []))
         t = t.join(nxt, "_b").where(F.col(f"_c{j}") > F.col(f"_c{j - 1}"))
+        if flagged:
+            t = t.withColumn("_g", F.col("_g") | F.col("_h")).drop("_h")
+    if flagged:
+        t = t.where("_g")
     return t.select(*_tuple_cols(k))
 
 
-def _blocked_tuples(heavy_rows: DataFrame, k: int, block: int) -> DataFrame:
-    """k-combinations of heavy baskets; ``heavy_rows`` is (_b, _i, _n), distinct."""
+def _blocked_tuples(heavy_rows: DataFrame, k: int, block: int, flagged: bool) -> DataFrame:
+    """k-combinations of heavy baskets; ``heavy_rows`` is (_b, _i[, _f], _n), distinct."""
     s = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block))).cast("int")
-    base = heavy_rows.select("_b", "_i", s.alias("_s")).withColumn(
+    fcol = [F.col("_f")] if flagged else []
+    base = heavy_rows.select("_b", "_i", *fcol, s.alias("_s")).withColumn(
         "_k", F.pmod(F.xxhash64("_i"), F.col("_s")).cast("int")
     )
     left = base.select(
         "_b",
         "_s",
         F.col("_i").alias("_x"),
+        *([F.col("_f").alias("_fx")] if flagged else []),
         F.col("_k").alias("_ka"),
         F.explode(F.sequence(F.col("_k"), F.col("_s") - 1)).alias("_kb"),
     )
     right = base.select(
         "_b",
         F.col("_i").alias("_y"),
+        *([F.col("_f").alias("_fy")] if flagged else []),
         F.col("_k").alias("_kb"),
         F.explode(F.sequence(F.lit(0), F.col("_k"))).alias("_ka"),
     )
-    pairs = (
+    t = (
         left.join(right, ["_b", "_ka", "_kb"])
         .where((F.col("_ka") < F.col("_kb")) | (F.col("_x") < F.col("_y")))
         .select(
@@ -122,15 +146,16 @@ def _blocked_tuples(heavy_rows: DataFrame, k: int, block: int) -> DataFrame:
             "_s",
             F.least("_x", "_y").alias("_c1"),
             F.greatest("_x", "_y").alias("_c2"),
+            *([(F.col("_fx") | F.col("_fy")).alias("_g")] if flagged else []),
         )
     )
-    t = pairs
     for j in range(3, k + 1):
         prefix = _tuple_cols(j - 1)
         t = t.withColumn("_t", F.pmod(F.xxhash64(*prefix), F.col("_s")).cast("int"))
         items = base.select(
             "_b",
             F.col("_i").alias(f"_c{j}"),
+            *([F.col("_f").alias("_h")] if flagged else []),
             F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_t"),
         )
         t = (
@@ -138,6 +163,10 @@ def _blocked_tuples(heavy_rows: DataFrame, k: int, block: int) -> DataFrame:
             .where(F.col(f"_c{j}") > F.col(f"_c{j - 1}"))
             .drop("_t")
         )
+        if flagged:
+            t = t.withColumn("_g", F.col("_g") | F.col("_h")).drop("_h")
+    if flagged:
+        t = t.where("_g")
     return t.select(*_tuple_cols(k))
 
 
@@ -167,6 +196,7 @@ def cooccurrence(
     block: int = DEFAULT_BLOCK,
     max_broadcast_heavy: int = DEFAULT_MAX_BROADCAST_HEAVY,
     strict: bool = True,
+    only_flagged: str | None = None,
 ) -> DataFrame:
     """Count baskets per ascending k-combination of distinct items.
 
@@ -177,32 +207,39 @@ def cooccurrence(
     ``plan="auto"`` runs one small job to size the heavy-basket set before
     building the plan; ``plan="array"`` skips it and should only be used
     when baskets are known to be bounded.
+
+    ``only_flagged`` names a boolean column; then a combination is counted in
+    a basket only if at least one of its rows there is flagged (a row's flag
+    must be the same for every copy of that basket/item). With flagged = new
+    rows this is the change in counts caused by the new rows.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
     if plan not in PLANS:
         raise ValueError(f"plan must be one of {PLANS}")
-    rows = _rows(df, basket, item, strict)
+    flagged = only_flagged is not None
+    rows = _rows(df, basket, item, strict, only_flagged)
     names = _tuple_cols(k)
 
     if k == 1:
-        tuples = rows.distinct().select(F.col("_i").alias("_c1"))
+        d = rows.distinct()
+        tuples = (d.where("_f") if flagged else d).select(F.col("_i").alias("_c1"))
     elif plan == "array":
-        tuples = _array_tuples(rows, k)
+        tuples = _array_tuples(rows, k, flagged)
     elif plan == "join":
-        tuples = _join_tuples(rows, k)
+        tuples = _join_tuples(rows, k, flagged)
     elif plan == "blocked":
-        heavy_rows = rows.distinct().join(rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")), "_b")
-        tuples = _blocked_tuples(heavy_rows, k, block)
+        sizes = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+        tuples = _blocked_tuples(rows.distinct().join(sizes, "_b"), k, block, flagged)
     else:
         heavy = heavy_baskets(rows, heavy_threshold)
         n_heavy = heavy.count()
         if n_heavy == 0:
-            tuples = _array_tuples(rows, k)
+            tuples = _array_tuples(rows, k, flagged)
         else:
             light, heavy_rows = _split_heavy(rows, heavy, n_heavy, max_broadcast_heavy)
-            tuples = _array_tuples(light, k).unionByName(
-                _blocked_tuples(heavy_rows.distinct(), k, block)
+            tuples = _array_tuples(light, k, flagged).unionByName(
+                _blocked_tuples(heavy_rows.distinct(), k, block, flagged)
             )
 
     counts = tuples.groupBy(*names).agg(F.count(F.lit(1)).alias("baskets"))

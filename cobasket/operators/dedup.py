@@ -24,17 +24,42 @@ def union_dedup(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] =
     return dedup(existing.unionByName(incoming), keys)
 
 
-def new_rows(incoming: DataFrame, existing: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Distinct ``incoming`` rows whose key is absent from ``existing``.
-
-    NULL-safe on every key, so this agrees with ``dropDuplicates``, which
-    treats NULLs as equal. Appending this to ``existing`` keeps it distinct.
+def new_rows(
+    incoming: DataFrame,
+    existing: DataFrame,
+    keys: Sequence[str] = KEYS,
+    incoming_is_small: bool = False,
+) -> DataFrame:
+    """Distinct ``incoming`` keys that are absent from ``existing``.
+
+    Default plan: one aggregation over the union of both key sets, tagged by
+    side. A single exchange, partial aggregation before it (a key with
+    millions of copies leaves each task as one row), and NULL keys compare
+    equal, as in ``dropDuplicates``. An anti-join would shuffle the raw
+    incoming rows (Catalyst pushes it below the dedup) and then shuffle again.
+
+    ``incoming_is_small``: the caller has checked that the distinct incoming
+    keys fit in a broadcast. Then ``existing`` is only scanned and probed
+    against them (no shuffle of the big table), which suits incremental
+    batches against a large table.
     """
     keys = list(keys)
-    inc = dedup(incoming, keys).alias("_inc")
-    ex = existing.select(*keys).alias("_ex")
-    cond = [F.col(f"_inc.{k}").eqNullSafe(F.col(f"_ex.{k}")) for k in keys]
-    return inc.join(ex, cond, "left_anti")
+    inc = incoming.select(*keys)
+    ex = existing.select(*keys)
+    if incoming_is_small:
+        inc_d = inc.dropDuplicates(keys)
+        cond = [ex[k].eqNullSafe(F.col(f"_i.{k}")) for k in keys]
+        present = ex.join(F.broadcast(inc_d.alias("_i")), cond, "left_semi").dropDuplicates(keys)
+        # both sides are bounded by the incoming size from here on
+        cond2 = [F.col(f"_n.{k}").eqNullSafe(F.col(f"_p.{k}")) for k in keys]
+        return inc_d.alias("_n").join(F.broadcast(present.alias("_p")), cond2, "left_anti")
+    tagged = inc.withColumn("_src", F.lit(1)).unionByName(ex.withColumn("_src", F.lit(2)))
+    return (
+        tagged.groupBy(*keys)
+        .agg(F.bit_or("_src").alias("_src"))
+        .where(F.col("_src") == 1)
+        .select(*keys)
+    )
 
 
 def duplicate_stats(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

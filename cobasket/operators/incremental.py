@@ -7,9 +7,11 @@ over ``O`` alone, so
 
     delta = cooc(O_t ∪ N) - cooc(O_t),   O_t = rows of O in touched baskets
 
-and ``stored + delta`` equals a full recompute. Both terms go through the
-skew-safe :func:`cobasket.operators.cooccur.cooccurrence`, so a touched
-basket with millions of old rows is still split, never collected.
+and ``stored + delta`` equals a full recompute. Both terms come from one
+pass: with the rows of ``N`` flagged, the difference is the number of
+touched baskets in which a tuple has at least one flagged member. The pass
+is the skew-safe :func:`cobasket.operators.cooccur.cooccurrence`, so a
+touched basket with millions of old rows is still split, never collected.
 """
 
 from __future__ import annotations
@@ -44,22 +46,30 @@ def count_delta(
     k: int = 2,
     basket: str = BASKET,
     item: str = PRODUCT,
+    new_is_small: bool = False,
     **cooc_options,
 ) -> DataFrame:
     """Change in tuple counts when ``new`` rows are added to ``old`` rows.
 
     ``new`` may overlap ``old``; rows already present change nothing.
     Returns ``product_1..product_k, baskets`` with nonzero deltas only.
+
+    One co-occurrence pass over the touched baskets, with the added rows
+    flagged: a tuple gains one basket exactly where it now has at least one
+    added member (it could not have been complete there before).
+    ``new_is_small`` (checked by the caller) broadcasts the added rows'
+    baskets instead of shuffling ``old`` to find the touched baskets.
     """
     keys = [basket, item]
-    added = new_rows(new.select(*keys), old.select(*keys), keys)
+    added = new_rows(new.select(*keys), old.select(*keys), keys, incoming_is_small=new_is_small)
     touched = added.select(basket).distinct()
+    if new_is_small:
+        touched = F.broadcast(touched)
     old_t = old.select(*keys).join(touched, basket, "left_semi")
-    after = cooccurrence(old_t.unionByName(added), k, basket, item, **cooc_options)
-    before = cooccurrence(old_t, k, basket, item, **cooc_options).withColumn(
-        "baskets", -F.col("baskets")
+    combined = old_t.withColumn("_new", F.lit(False)).unionByName(
+        added.withColumn("_new", F.lit(True))
     )
-    return merge_counts(after, before)
+    return cooccurrence(combined, k, basket, item, only_flagged="_new", **cooc_options)
 
 
 def update_counts(

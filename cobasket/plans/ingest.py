@@ -30,6 +30,10 @@ from cobasket.operators.clean import clean_sales
 from cobasket.operators.dedup import KEYS, new_rows
 from cobasket.sources.sales import SALES_SCHEMA, list_files, read_sales_csv, read_table_or_empty
 
+# New files up to this many bytes (as text) are probed against the table with
+# a broadcast instead of shuffling the table.
+DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+
 LOG_SCHEMA = StructType(
     [
         StructField("path", StringType(), True),
@@ -53,8 +57,8 @@ def load_processed_log(spark: SparkSession, log_path: str) -> DataFrame:
 
 
 def find_new_files(spark: SparkSession, input_dir: str, log_path: str) -> DataFrame:
-    """``path`` of CSV / CSV.GZ files in ``input_dir`` not in the log."""
-    listing = list_files(spark, input_dir).select("path")
+    """``path, length`` of CSV / CSV.GZ files in ``input_dir`` not in the log."""
+    listing = list_files(spark, input_dir).select("path", "length")
     done = load_processed_log(spark, log_path).select("path")
     return listing.join(done, "path", "left_anti")
 
@@ -74,6 +78,7 @@ def ingest(
     numeric_products: bool = False,
     partition_by_date: bool = False,
     count_read: bool = False,
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> IngestResult:
     """Run one incremental ingest; see the module docstring.
 
@@ -84,8 +89,10 @@ def ingest(
     table by it (dedup is still on the two keys across all dates).
     """
     new = find_new_files(spark, input_dir, log_path).orderBy("path")
-    # file names only: the listing is metadata, the data stays distributed
-    new_files = [r.path for r in new.collect()]
+    # file names and sizes only: the listing is metadata, the data stays distributed
+    found = new.collect()
+    new_files = [r.path for r in found]
+    new_bytes = sum(int(r.length) for r in found)
     if not new_files:
         return IngestResult([], 0 if count_read else None, 0, None)
 
@@ -100,7 +107,9 @@ def ingest(
     # replace an empty subtree and drop an observation placed inside it.
     rows_read = incoming.count() if count_read else None
     obs_out = Observation("ingest_added")
-    to_add = new_rows(incoming, existing, KEYS)
+    # A small drop (checked through the file sizes) is broadcast and the
+    # table is only scanned; a large one goes through the shuffle plan.
+    to_add = new_rows(incoming, existing, KEYS, incoming_is_small=new_bytes <= broadcast_bytes)
     if partition_by_date:
         to_add = to_add.withColumn("ingest_date", F.current_date())
     to_add = to_add.observe(obs_out, F.count(F.lit(1)).alias("rows"))

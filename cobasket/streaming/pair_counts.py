@@ -27,6 +27,10 @@ from cobasket.session import path_exists
 from cobasket.sources.sales import BASKET, PRODUCT
 
 
+# Micro-batches up to this many rows are broadcast when probing stored rows.
+DEFAULT_SMALL_BATCH_ROWS = 1_000_000
+
+
 def _read_partitioned(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     full = StructType(schema.fields + [StructField("batch_id", LongType(), True)])
     if path_exists(spark, path):
@@ -42,6 +46,7 @@ def apply_batch(
     k: int = 2,
     basket: str = BASKET,
     item: str = PRODUCT,
+    small_batch_rows: int = DEFAULT_SMALL_BATCH_ROWS,
     **cooc_options,
 ) -> None:
     """Fold one micro-batch into the rows and count-delta tables (replay-safe)."""
@@ -49,10 +54,13 @@ def apply_batch(
     keys = [basket, item]
     # the batch feeds two writes; keep it instead of re-reading its files
     batch = batch.select(*keys).persist()
+    # the count fills the cache and bounds the batch, so a small batch can be
+    # broadcast against the stored rows instead of shuffling them
+    small = batch.count() <= small_batch_rows
     row_schema = batch.schema
     old = _read_partitioned(spark, rows_path, row_schema).where(F.col("batch_id") < batch_id)
-    added = new_rows(batch.select(*keys), old.select(*keys), keys)
-    delta = count_delta(added, old.select(*keys), k, basket, item, **cooc_options)
+    added = new_rows(batch, old.select(*keys), keys, incoming_is_small=small)
+    delta = count_delta(added, old.select(*keys), k, basket, item, new_is_small=small, **cooc_options)
     for df, path in ((added, rows_path), (delta, counts_path)):
         (
             df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))

@@ -107,3 +107,21 @@ def test_stream_pair_counts_match_batch_and_survive_replay(spark, tmp):
     pair_counts.compact_counts(spark, counts_path, 2, 1, snap, item_type=string)
     assert as_counts(pair_counts.read_counts(spark, snap, 2, item_type=string)) == brute_force(baskets, 2)
     assert spark.read.parquet(snap).where("batch_id <= 1").select("batch_id").distinct().count() == 1
+
+
+def test_flagged_counts_all_plans(spark):
+    import pytest  # noqa: F401
+    baskets, rows = _random_rows(21, 40, 9)
+    old_rows, new_rows_ = rows[::2], rows[1::2]
+    old, new = sales_df(spark, old_rows), sales_df(spark, new_rows_)
+    full = {}
+    for k in (1, 2, 3):
+        expected = as_counts(
+            merge_counts(cooccurrence(old.unionByName(new), k), cooccurrence(old, k).selectExpr(
+                *[f"product_{i}" for i in range(1, k + 1)], "-baskets AS baskets"))
+        )
+        for plan in ("auto", "array", "join", "blocked"):
+            got = as_counts(count_delta(new, old, k, plan=plan, heavy_threshold=2, block=2))
+            assert got == expected, (k, plan)
+        assert as_counts(count_delta(new, old, k, new_is_small=True)) == expected
+        full[k] = expected
