@@ -47,6 +47,7 @@ def count_delta(
     basket: str = BASKET,
     item: str = PRODUCT,
     new_is_small: bool = False,
+    disjoint: bool = False,
     **cooc_options,
 ) -> DataFrame:
     """Change in tuple counts when ``new`` rows are added to ``old`` rows.
@@ -59,10 +60,18 @@ def count_delta(
     added member (it could not have been complete there before).
     ``new_is_small`` (checked by the caller) broadcasts the added rows'
     baskets instead of shuffling ``old`` to find the touched baskets.
+    ``disjoint``: the caller guarantees ``new`` is distinct and shares no
+    row with ``old`` (e.g. the output of ``new_rows``), so that step is skipped.
     """
     keys = [basket, item]
-    added = new_rows(new.select(*keys), old.select(*keys), keys, incoming_is_small=new_is_small)
-    touched = added.select(basket).distinct()
+    if disjoint:
+        added = new.select(*keys)
+    else:
+        added = new_rows(new.select(*keys), old.select(*keys), keys, incoming_is_small=new_is_small)
+    # Baskets of the new rows: a superset of the baskets that gained a row,
+    # taken from ``new`` so that ``added`` is not planned twice; baskets
+    # whose rows all existed contribute no flagged tuple.
+    touched = new.select(basket).distinct()
     if new_is_small:
         touched = F.broadcast(touched)
     old_t = old.select(*keys).join(touched, basket, "left_semi")

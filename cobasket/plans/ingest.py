@@ -32,7 +32,7 @@ from cobasket.sources.sales import SALES_SCHEMA, list_files, read_sales_csv, rea
 
 # New files up to this many bytes (as text) are probed against the table with
 # a broadcast instead of shuffling the table.
-DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+DEFAULT_BROADCAST_BYTES = 8 * 1024 * 1024
 
 LOG_SCHEMA = StructType(
     [

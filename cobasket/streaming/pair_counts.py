@@ -27,8 +27,9 @@ from cobasket.session import path_exists
 from cobasket.sources.sales import BASKET, PRODUCT
 
 
-# Micro-batches up to this many rows are broadcast when probing stored rows.
-DEFAULT_SMALL_BATCH_ROWS = 1_000_000
+# Micro-batches up to this many rows are broadcast when probing stored rows
+# (two bigint keys: a hashed relation of roughly Spark's 10 MB broadcast default).
+DEFAULT_SMALL_BATCH_ROWS = 250_000
 
 
 def _read_partitioned(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -59,8 +60,11 @@ def apply_batch(
     small = batch.count() <= small_batch_rows
     row_schema = batch.schema
     old = _read_partitioned(spark, rows_path, row_schema).where(F.col("batch_id") < batch_id)
-    added = new_rows(batch, old.select(*keys), keys, incoming_is_small=small)
-    delta = count_delta(added, old.select(*keys), k, basket, item, new_is_small=small, **cooc_options)
+    # the added rows feed the rows write, the heavy-basket check and the delta
+    added = new_rows(batch, old.select(*keys), keys, incoming_is_small=small).persist()
+    delta = count_delta(
+        added, old.select(*keys), k, basket, item, new_is_small=small, disjoint=True, **cooc_options
+    )
     for df, path in ((added, rows_path), (delta, counts_path)):
         (
             df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -69,6 +73,7 @@ def apply_batch(
             .partitionBy("batch_id")
             .parquet(path)
         )
+    added.unpersist()
     batch.unpersist()
 
 
