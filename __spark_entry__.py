@@ -284,6 +284,18 @@ def q_stream_pair_counts(spark, sf_dir):
     return pair_counts.read_counts(spark, counts, 2)
 
 
+def q_schema_evolution(spark, sf_dir):
+    """Two file generations of one table, the second with an extra column."""
+    table = scratch_path(spark, "evolving")
+    _existing(spark, sf_dir).write.parquet(f"{table}/gen=1")
+    li = _lineitem(spark, sf_dir).where(F.col("l_linenumber") >= 3)
+    li.select(
+        F.col("l_orderkey").alias("basket_id"), F.col("l_suppkey").alias("product_id"),
+        F.col("l_quantity").alias("quantity"),
+    ).write.parquet(f"{table}/gen=2")
+    return src.read_table_evolving(spark, table).select("basket_id", "product_id", "quantity", "gen")
+
+
 def q_synthetic_baskets(spark, sf_dir):
     """One generated basket per order, products drawn from the part range."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
@@ -338,6 +350,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedup": q_stream_dedup,
     "stream_dedup_state": q_stream_dedup_state,
     "stream_pair_counts": q_stream_pair_counts,
+    "schema_evolution": q_schema_evolution,
     "synthetic_baskets": q_synthetic_baskets,
     "synthetic_pairs": q_synthetic_pairs,
 }
@@ -507,6 +520,11 @@ _ORACLES: dict[str, str] = {
     "stream_dedup": _D,
     "stream_dedup_state": _D,
     "stream_pair_counts": _PAIRS,
+    "schema_evolution": (
+        f"SELECT basket_id, product_id, CAST(NULL AS DOUBLE) AS quantity, 1 AS gen FROM ({_EXISTING}) "
+        "UNION ALL SELECT l_orderkey AS basket_id, l_suppkey AS product_id, l_quantity AS quantity, 2 AS gen "
+        "FROM lineitem WHERE l_linenumber >= 3"
+    ),
     "synthetic_baskets": _SYNTH,
     "synthetic_pairs": _SYNTH_PAIRS,
 }

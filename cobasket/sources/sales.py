@@ -102,3 +102,12 @@ def sales_from_table(
 ) -> DataFrame:
     """Project any table to the sales shape ``basket_id, product_id``."""
     return df.select(F.col(basket).alias(BASKET), F.col(product).alias(PRODUCT))
+
+
+def read_table_evolving(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table whose files carry different column sets over time.
+
+    Schemas of all files are merged (``mergeSchema``); rows from files
+    without a column read it as NULL.
+    """
+    return spark.read.option("mergeSchema", True).parquet(path)
