@@ -305,8 +305,10 @@ def q_synthetic_baskets(spark, sf_dir):
 
 
 def q_synthetic_pairs(spark, sf_dir):
-    gen = q_synthetic_baskets(spark, sf_dir)
-    counts = cooccur.cooccurrence(gen, 2)
+    """Generate once into the shared scratch folder, then count pairs on it."""
+    path = scratch_path(spark, "generated")
+    q_synthetic_baskets(spark, sf_dir).write.parquet(path)
+    counts = cooccur.cooccurrence(spark.read.parquet(path), 2)
     return counts.select(
         F.col("product_1").cast("bigint").alias("product_1"),
         F.col("product_2").cast("bigint").alias("product_2"),

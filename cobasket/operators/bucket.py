@@ -8,7 +8,7 @@ id (md5 of the key text, modulo n). Use it where the id itself matters
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cobasket.functions.keys import md5_shard
@@ -28,20 +28,23 @@ def shard_balance(assigned: DataFrame, num_shards: int, shard: str = SHARD) -> D
     """Rows per shard for every shard id, empty shards included as 0.
 
     Columns ``shard, rows, rows_over_mean``. The per-shard count is a partial
-    aggregation (one row per task and shard crosses the shuffle); the shard
-    id range is generated, num_shards rows, so the join is tiny.
+    aggregation (one row per task and shard crosses the shuffle); the total
+    comes from a window over its at most ``num_shards`` output rows.
     """
     spark = assigned.sparkSession
-    counts = assigned.groupBy(shard).agg(F.count(F.lit(1)).alias("rows"))
-    ids = spark.range(num_shards).select(F.col("id").cast("int").alias(shard))
-    full = ids.join(counts, shard, "left").select(
-        shard, F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("rows")
+    # every shard id enters the same aggregation as a zero row, so empty
+    # shards appear without a join (a join would re-evaluate the md5 fold in
+    # an inferred null filter)
+    ids = spark.range(num_shards).select(
+        F.col("id").cast("int").alias(shard), F.lit(0).cast("bigint").alias("_one")
     )
-    total = counts.agg(F.sum("rows").alias("_t"))
-    return full.crossJoin(F.broadcast(total)).select(
+    rows = assigned.select(shard, F.lit(1).cast("bigint").alias("_one")).unionByName(ids)
+    counts = rows.groupBy(shard).agg(F.sum("_one").alias("rows"))
+    total = F.sum("rows").over(Window.partitionBy())  # <= num_shards rows
+    return counts.select(
         shard,
         "rows",
-        F.round(F.col("rows") * F.lit(num_shards) / F.col("_t"), 6).alias("rows_over_mean"),
+        F.round(F.col("rows") * F.lit(num_shards) / total, 6).alias("rows_over_mean"),
     )
 
 

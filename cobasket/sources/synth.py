@@ -50,6 +50,12 @@ def baskets_for_keys(
     ``h(seed, key, j) % num_products``. With ``num_products`` much smaller
     than ``max_size + 8`` a basket can come out smaller than drawn.
     """
+    # Generation costs a dozen md5s per basket; when the key input arrives in
+    # fewer partitions than the cluster can run (one row group, one small
+    # file), spread it first so the work is not serialized in a few tasks.
+    parallelism = keys.sparkSession.sparkContext.defaultParallelism
+    if keys.rdd.getNumPartitions() < parallelism:
+        keys = keys.repartition(parallelism, key)
     k = F.col(key)
     s = F.lit(seed)
     p = num_products if isinstance(num_products, Column) else F.lit(num_products)
