@@ -19,15 +19,18 @@ Plans
     one row or one task. Its items are hashed into ``s = ceil(n / block)``
     blocks; block pair ``(a, b)``, ``a <= b``, is one join key, so the
     C(n, 2) pairs of the basket are spread over s(s+1)/2 tasks with about
-    ``block`` items per side. Larger k extends pairs by salted joins whose
-    fan-out also grows with n.
+    ``block`` items per side. Larger k extends pairs by salted joins with
+    about C(n, j-1) * n / block**2 salts at step j, so each task again sees
+    about ``block**2`` candidates.
 ``join``
     Chained self-joins on the basket with an ascending residual, the textbook
     SQL formulation. Kept as an independent plan for reconciliation; AQE's
     skew-join handling splits oversized basket partitions.
 ``auto``
     Counts rows per basket once (partial aggregation, no collect), routes
-    baskets above the threshold to ``blocked`` and the rest to ``array``.
+    baskets that would emit more than ``COMBO_BUDGET`` k-combinations (about
+    2000 rows for pairs, 230 for triples) to ``blocked``, the rest to
+    ``array``.
     The heavy-basket set is broadcast only after its row count has been
     checked against ``max_broadcast_heavy``; beyond that it is joined with
     a salted shuffle join instead.
@@ -35,13 +38,18 @@ Plans
 
 from __future__ import annotations
 
+from math import comb
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cobasket.functions.combos import expand_combinations
 from cobasket.functions.keys import sortable_item, text_order, unwrap_item
 
-DEFAULT_HEAVY_THRESHOLD = 2048
+# Largest number of k-combinations one basket may emit from a single task in
+# the array plan; baskets that would emit more go to the blocked plan. The
+# default row threshold is derived from it per k (k=2: 2000, k=3: 230, k=4: 85).
+COMBO_BUDGET = 2_000_000
 DEFAULT_BLOCK = 1024
 DEFAULT_MAX_BROADCAST_HEAVY = 200_000
 _HEAVY_JOIN_SALT = 64
@@ -52,6 +60,14 @@ def product_columns(k: int) -> list[str]:
     return [f"product_{i}" for i in range(1, k + 1)]
 
 
+def heavy_threshold_for(k: int, budget: int = COMBO_BUDGET) -> int:
+    """Largest basket size n with C(n, k) <= budget (at least k)."""
+    n = k
+    while comb(n + 1, k) <= budget:
+        n += 1
+    return n
+
+
 def _tuple_cols(k: int) -> list[str]:
     return [f"_c{i}" for i in range(1, k + 1)]
 
@@ -116,16 +132,24 @@ def _join_tuples(rows: DataFrame, k: int, flagged: bool) -> DataFrame:
     return t.select(*_tuple_cols(k))
 
 
+def _extension_salts(n: str, m: int, block: int) -> Column:
+    """ceil(C(n, m) * n / block**2), at least 1, as an int column."""
+    c = F.lit(1.0)
+    for i in range(m):
+        c = c * (F.col(n) - F.lit(i)) / F.lit(float(i + 1))
+    return F.greatest(F.lit(1), F.ceil(c * F.col(n) / F.lit(float(block) ** 2))).cast("int")
+
+
 def _blocked_tuples(heavy_rows: DataFrame, k: int, block: int, flagged: bool) -> DataFrame:
     """k-combinations of heavy baskets; ``heavy_rows`` is (_b, _i[, _f], _n), distinct."""
     s = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block))).cast("int")
     fcol = [F.col("_f")] if flagged else []
-    base = heavy_rows.select("_b", "_i", *fcol, s.alias("_s")).withColumn(
+    base = heavy_rows.select("_b", "_i", *fcol, "_n", s.alias("_s")).withColumn(
         "_k", F.pmod(F.xxhash64("_i"), F.col("_s")).cast("int")
     )
     left = base.select(
         "_b",
-        "_s",
+        "_n",
         F.col("_i").alias("_x"),
         *([F.col("_f").alias("_fx")] if flagged else []),
         F.col("_k").alias("_ka"),
@@ -143,7 +167,7 @@ def _blocked_tuples(heavy_rows: DataFrame, k: int, block: int, flagged: bool) ->
         .where((F.col("_ka") < F.col("_kb")) | (F.col("_x") < F.col("_y")))
         .select(
             "_b",
-            "_s",
+            "_n",
             F.least("_x", "_y").alias("_c1"),
             F.greatest("_x", "_y").alias("_c2"),
             *([(F.col("_fx") | F.col("_fy")).alias("_g")] if flagged else []),
@@ -151,12 +175,15 @@ def _blocked_tuples(heavy_rows: DataFrame, k: int, block: int, flagged: bool) ->
     )
     for j in range(3, k + 1):
         prefix = _tuple_cols(j - 1)
-        t = t.withColumn("_t", F.pmod(F.xxhash64(*prefix), F.col("_s")).cast("int"))
+        # salts for this step: enough that one task sees about block**2
+        # candidate extensions, i.e. ~C(n, j-1) * n / block**2 salts
+        t = t.withColumn("_z", _extension_salts("_n", j - 1, block))
+        t = t.withColumn("_t", F.pmod(F.xxhash64(*prefix), F.col("_z")).cast("int")).drop("_z")
         items = base.select(
             "_b",
             F.col("_i").alias(f"_c{j}"),
             *([F.col("_f").alias("_h")] if flagged else []),
-            F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_t"),
+            F.explode(F.sequence(F.lit(0), _extension_salts("_n", j - 1, block) - 1)).alias("_t"),
         )
         t = (
             t.join(items, ["_b", "_t"])
@@ -192,7 +219,7 @@ def cooccurrence(
     basket: str = "basket_id",
     item: str = "product_id",
     plan: str = "auto",
-    heavy_threshold: int = DEFAULT_HEAVY_THRESHOLD,
+    heavy_threshold: int | None = None,
     block: int = DEFAULT_BLOCK,
     max_broadcast_heavy: int = DEFAULT_MAX_BROADCAST_HEAVY,
     strict: bool = True,
@@ -206,7 +233,8 @@ def cooccurrence(
 
     ``plan="auto"`` runs one small job to size the heavy-basket set before
     building the plan; ``plan="array"`` skips it and should only be used
-    when baskets are known to be bounded.
+    when baskets are known to be bounded. ``heavy_threshold`` defaults to
+    the largest basket whose C(n, k) combinations fit :data:`COMBO_BUDGET`.
 
     ``only_flagged`` names a boolean column; then a combination is counted in
     a basket only if at least one of its rows there is flagged (a row's flag
@@ -232,7 +260,8 @@ def cooccurrence(
         sizes = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
         tuples = _blocked_tuples(rows.distinct().join(sizes, "_b"), k, block, flagged)
     else:
-        heavy = heavy_baskets(rows, heavy_threshold)
+        threshold = heavy_threshold if heavy_threshold is not None else heavy_threshold_for(k)
+        heavy = heavy_baskets(rows, threshold)
         n_heavy = heavy.count()
         if n_heavy == 0:
             tuples = _array_tuples(rows, k, flagged)

@@ -15,7 +15,7 @@ def write_shards(
     out_dir: str,
     num_shards: int,
     basket: str = BASKET,
-    files_per_shard: int = 1,
+    files_per_shard: int | None = None,
     compression: str = "gzip",
     mode: str = "overwrite",
 ) -> None:
@@ -27,8 +27,13 @@ def write_shards(
     several tasks. ``overwrite`` replaces the dataset as a whole, so files of
     an earlier run with more shards cannot linger and be read twice.
     Shards with no rows get no directory; ``shard_balance`` reports them.
+    ``files_per_shard`` defaults to the input's partition count divided by
+    ``num_shards``, so the write keeps the input's parallelism instead of
+    funnelling everything through ``num_shards`` tasks.
     """
     cols = df.columns
+    if files_per_shard is None:
+        files_per_shard = max(1, -(-df.rdd.getNumPartitions() // num_shards))
     assigned = assign_shards(df, num_shards, basket)
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(files_per_shard))
     (

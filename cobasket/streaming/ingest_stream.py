@@ -60,8 +60,13 @@ def start_dedup_stream(
     mode: str = "table",
     available_now: bool = True,
     query_name: str | None = None,
+    small_batch_rows: int = 250_000,
 ) -> StreamingQuery:
-    """Start a query that keeps ``table_path`` free of duplicate keys."""
+    """Start a query that keeps ``table_path`` free of duplicate keys.
+
+    In ``table`` mode a micro-batch of at most ``small_batch_rows`` rows is
+    broadcast against the table; a larger one is merged by one aggregation.
+    """
     keys = list(keys)
     rows = stream.select(*keys)
     if mode == "state":
@@ -76,8 +81,15 @@ def start_dedup_stream(
 
         def _append_new(batch: DataFrame, batch_id: int) -> None:
             spark = batch.sparkSession
+            batch = batch.persist()
+            # a checked-small batch probes the table through a broadcast, so
+            # the table is scanned but not shuffled on every trigger
+            small = batch.count() <= small_batch_rows
             existing = read_table_or_empty(spark, table_path, schema)
-            new_rows(batch, existing, keys).write.mode("append").parquet(table_path)
+            new_rows(batch, existing, keys, incoming_is_small=small).write.mode("append").parquet(
+                table_path
+            )
+            batch.unpersist()
 
         writer = rows.writeStream.foreachBatch(_append_new)
     else:
