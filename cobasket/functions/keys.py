@@ -19,15 +19,23 @@ from pyspark.sql.types import (
 
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 
-# Leading/trailing runs of any Unicode white space (tab, NBSP, ideographic
-# space, ...). ``trim`` alone strips only ASCII spaces.
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+# The characters Python's ``str.strip()`` removes (those for
+# which ``str.isspace()`` is true), in code point order. ``trim`` alone strips
+# only the ASCII space, and Java's Unicode ``\s`` misses U+001C..U+001F.
+WHITESPACE = (
+    "\u0009\u000a\u000b\u000c\u000d\u001c\u001d\u001e\u001f\u0020\u0085\u00a0"
+    "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip_space(col: Column | str) -> Column:
-    """Remove leading and trailing Unicode white space from a string column."""
+    """Remove leading and trailing white space (as ``str.strip()`` does).
+
+    ``btrim`` with an explicit character set: no regular expression per row.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def is_integral(dtype: DataType) -> bool:

@@ -38,10 +38,8 @@ def _reason(df: DataFrame, basket: str, product: str, numeric_products: bool) ->
     b, p = _norm(df, basket), _norm(df, product)
     reason = F.when(_blank(b), F.lit("empty_basket")).when(_blank(p), F.lit("missing_product"))
     if numeric_products and isinstance(df.schema[product].dataType, StringType):
-        reason = reason.when(
-            F.expr(f"try_cast(regexp_replace(`{product}`, '(?U)^\\\\s+|\\\\s+$', '') AS BIGINT)").isNull(),
-            F.lit("non_integer_product"),
-        )
+        reason = reason.when(p.try_cast("bigint").isNull(), F.lit("non_integer_product"))
+
     return reason
 
 

@@ -30,9 +30,29 @@ from cobasket.operators.clean import clean_sales
 from cobasket.operators.dedup import KEYS, new_rows
 from cobasket.sources.sales import SALES_SCHEMA, list_files, read_sales_csv, read_table_or_empty
 
-# New files up to this many bytes (as text) are probed against the table with
-# a broadcast instead of shuffling the table.
-DEFAULT_BROADCAST_BYTES = 8 * 1024 * 1024
+# Size estimate of new files once parsed and hashed for a broadcast: gzip
+# text expands about tenfold, and a hashed relation of short strings takes
+# about four times the text.
+GZIP_EXPANSION = 10
+HASHED_FACTOR = 4
+
+
+def estimated_broadcast_bytes(files: list[tuple[str, int]]) -> int:
+    """Upper-end estimate of the in-memory size of ``(path, length)`` files."""
+    return sum(
+        length * (GZIP_EXPANSION if path.endswith(".gz") else 1) * HASHED_FACTOR
+        for path, length in files
+    )
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: never)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    units = {"b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(raw[: -len(suffix)]) * units[suffix]
+    return int(raw)
 
 LOG_SCHEMA = StructType(
     [
@@ -78,12 +98,14 @@ def ingest(
     numeric_products: bool = False,
     partition_by_date: bool = False,
     count_read: bool = False,
-    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> IngestResult:
     """Run one incremental ingest; see the module docstring.
 
     ``count_read`` also reports the number of clean rows in the new files
-    (one more pass over those files only).
+    (one more pass over those files only). ``broadcast_bytes`` bounds the
+    estimated size of a drop that is broadcast against the table (default:
+    the session's ``spark.sql.autoBroadcastJoinThreshold``; -1 never).
 
     ``partition_by_date`` adds an ``ingest_date`` column and partitions the
     table by it (dedup is still on the two keys across all dates).
@@ -92,7 +114,8 @@ def ingest(
     # file names and sizes only: the listing is metadata, the data stays distributed
     found = new.collect()
     new_files = [r.path for r in found]
-    new_bytes = sum(int(r.length) for r in found)
+    new_bytes = estimated_broadcast_bytes([(r.path, int(r.length)) for r in found])
+    limit = broadcast_limit(spark) if broadcast_bytes is None else broadcast_bytes
     if not new_files:
         return IngestResult([], 0 if count_read else None, 0, None)
 
@@ -107,9 +130,10 @@ def ingest(
     # replace an empty subtree and drop an observation placed inside it.
     rows_read = incoming.count() if count_read else None
     obs_out = Observation("ingest_added")
-    # A small drop (checked through the file sizes) is broadcast and the
+    # A small drop (estimated from the file sizes) is broadcast and the
     # table is only scanned; a large one goes through the shuffle plan.
-    to_add = new_rows(incoming, existing, KEYS, incoming_is_small=new_bytes <= broadcast_bytes)
+    small = 0 <= new_bytes <= limit
+    to_add = new_rows(incoming, existing, KEYS, incoming_is_small=small)
     if partition_by_date:
         to_add = to_add.withColumn("ingest_date", F.current_date())
     to_add = to_add.observe(obs_out, F.count(F.lit(1)).alias("rows"))
