@@ -245,8 +245,10 @@ def q_ingest_roundtrip(spark, sf_dir):
     inbox = scratch_path(spark, "inbox")
     table = scratch_path(spark, "sales-table")
     log = scratch_path(spark, "ingest-log")
+    # a drop is many files (gzip is not splittable: one task per file)
+    files = spark.sparkContext.defaultParallelism
     for name, part in (("existing", _existing(spark, sf_dir)), ("incoming", _incoming(spark, sf_dir))):
-        part.write.option("compression", "gzip").csv(f"{inbox}-{name}")
+        part.repartition(files).write.option("compression", "gzip").csv(f"{inbox}-{name}")
     # one drop directory per run: each drop's files become visible to the run
     for name in ("existing", "incoming"):
         ingest.ingest(spark, f"{inbox}-{name}", table, log)
@@ -299,8 +301,9 @@ def q_schema_evolution(spark, sf_dir):
 def q_synthetic_baskets(spark, sf_dir):
     """One generated basket per order, products drawn from the part range."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
-    n_parts = spark.read.parquet(f"{sf_dir}/part.parquet").agg(F.count(F.lit(1)).alias("_p"))
-    keyed = orders.crossJoin(F.broadcast(n_parts))  # one-row side
+    n_parts = spark.read.parquet(f"{sf_dir}/part.parquet").agg(F.count(F.lit(1))).scalar()
+    # scalar subquery as a column (not allowed directly inside the draw lambda)
+    keyed = orders.withColumn("_p", n_parts)
     return synth.baskets_for_keys(keyed, "o_orderkey", F.col("_p"), 5, SYNTH_SEED)
 
 

@@ -110,9 +110,14 @@ def inject_duplicates(
 
 def injection_stats(original: DataFrame, injected: DataFrame) -> DataFrame:
     """One row: ``original_rows, duplicate_rows, total_rows``."""
-    o = original.agg(F.count(F.lit(1)).alias("original_rows"))
-    t = injected.agg(F.count(F.lit(1)).alias("total_rows"))
-    return o.crossJoin(t).select(
+    sides = original.select(F.lit(1).alias("_o"), F.lit(0).alias("_t")).unionByName(
+        injected.select(F.lit(0).alias("_o"), F.lit(1).alias("_t"))
+    )
+    totals = sides.agg(
+        F.coalesce(F.sum("_o"), F.lit(0)).cast("bigint").alias("original_rows"),
+        F.coalesce(F.sum("_t"), F.lit(0)).cast("bigint").alias("total_rows"),
+    )
+    return totals.select(
         "original_rows",
         (F.col("total_rows") - F.col("original_rows")).alias("duplicate_rows"),
         "total_rows",
