@@ -152,6 +152,24 @@ def q_csv_clean_pairs(spark, sf_dir):
     return cooccur.cooccurrence(cleaned, 2)
 
 
+def q_sales_rejects(spark, sf_dir):
+    """Reject report over CSV text derived from lineitem with dirty keys:
+    blank baskets, empty products and non-integer products."""
+    out = scratch_path(spark, "dirty-csv")
+    li = _lineitem(spark, sf_dir)
+    ln, sk, pk = F.col("l_linenumber"), F.col("l_suppkey"), F.col("l_partkey")
+    basket = F.when((ln == 6) & (sk % 10 == 0), F.lit(" \t")).otherwise(F.col("l_orderkey").cast("string"))
+    product = (
+        F.when(ln == 7, F.lit(""))
+        .when((ln == 5) & (pk % 10 == 0), F.concat(F.lit("x"), sk.cast("string")))
+        .otherwise(sk.cast("string"))
+    )
+    li.select(basket.alias("basket_id"), product.alias("product_id")).write.option(
+        "compression", "gzip"
+    ).csv(out)
+    return clean.sales_rejects(src.read_sales_csv(spark, out), numeric_products=True)
+
+
 def q_dedup_union(spark, sf_dir):
     return dedup.union_dedup(_existing(spark, sf_dir), _incoming(spark, sf_dir))
 
@@ -259,6 +277,19 @@ def q_ingest_roundtrip(spark, sf_dir):
     )
 
 
+def q_ingest_by_date(spark, sf_dir):
+    """Ingest into a table partitioned by ingestion date; keys read back."""
+    inbox = scratch_path(spark, "inbox")
+    table, log = scratch_path(spark, "dated-table"), scratch_path(spark, "dated-log")
+    files = spark.sparkContext.defaultParallelism
+    _sales(spark, sf_dir).repartition(files).write.option("compression", "gzip").csv(inbox)
+    ingest.ingest(spark, inbox, table, log, partition_by_date=True)
+    return spark.read.parquet(table).select(
+        F.col("basket_id").cast("bigint").alias("basket_id"),
+        F.col("product_id").cast("bigint").alias("product_id"),
+    )
+
+
 def _lineitem_stream(spark, sf_dir):
     schema = _lineitem(spark, sf_dir).schema
     return ingest_stream.file_stream(spark, sf_dir, "parquet", schema, glob="lineitem.parquet")
@@ -337,6 +368,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shard_roundtrip": q_shard_roundtrip,
     "shard_pairs": q_shard_pairs,
     "csv_clean_pairs": q_csv_clean_pairs,
+    "sales_rejects": q_sales_rejects,
     "dedup_union": q_dedup_union,
     "ingest_new_rows": q_ingest_new_rows,
     "duplicate_rate": q_duplicate_rate,
@@ -352,6 +384,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_preview": q_export_preview,
     "reencode_roundtrip": q_reencode_roundtrip,
     "ingest_roundtrip": q_ingest_roundtrip,
+    "ingest_by_date": q_ingest_by_date,
     "stream_dedup": q_stream_dedup,
     "stream_dedup_state": q_stream_dedup_state,
     "stream_pair_counts": q_stream_pair_counts,
@@ -478,6 +511,13 @@ _ORACLES: dict[str, str] = {
     "shard_pairs": _PAIRS,
     "csv_clean_pairs": _PAIRS.replace("t1.product_id AS product_1", "CAST(t1.product_id AS VARCHAR) AS product_1")
     .replace("t2.product_id AS product_2", "CAST(t2.product_id AS VARCHAR) AS product_2"),
+    "sales_rejects": (
+        "SELECT reason, COUNT(*) AS rows FROM (SELECT CASE "
+        "WHEN l_linenumber = 6 AND l_suppkey % 10 = 0 THEN 'empty_basket' "
+        "WHEN l_linenumber = 7 THEN 'missing_product' "
+        "WHEN l_linenumber = 5 AND l_partkey % 10 = 0 THEN 'non_integer_product' END AS reason "
+        "FROM lineitem) WHERE reason IS NOT NULL GROUP BY 1"
+    ),
     "dedup_union": _UNION_D,
     "ingest_new_rows": (
         f"SELECT DISTINCT i.basket_id, i.product_id FROM ({_INCOMING}) i WHERE NOT EXISTS "
@@ -522,6 +562,7 @@ _ORACLES: dict[str, str] = {
     "export_preview": _top_sql(2),
     "reencode_roundtrip": _SALES,
     "ingest_roundtrip": _UNION_D,
+    "ingest_by_date": _D,
     "stream_dedup": _D,
     "stream_dedup_state": _D,
     "stream_pair_counts": _PAIRS,
