@@ -27,7 +27,8 @@ Plans
     SQL formulation. Kept as an independent plan for reconciliation; AQE's
     skew-join handling splits oversized basket partitions.
 ``auto``
-    Counts rows per basket once (partial aggregation, no collect), routes
+    Finds the largest basket's row count once per input (partial
+    aggregation, no collect; remembered for file-backed inputs), routes
     baskets that would emit more than ``COMBO_BUDGET`` k-combinations (about
     2000 rows for pairs, 230 for triples) to ``blocked``, the rest to
     ``array``.
@@ -94,6 +95,36 @@ def heavy_baskets(rows: DataFrame, threshold: int) -> DataFrame:
     )
 
 
+# Largest rows-per-basket seen for file-backed inputs in this session, keyed by
+# the input's canonical plan and file list. The bound only routes work: both
+# plans are exact for any basket, so a stale entry can cost time, never
+# correctness. Inputs without files (local data, streams) are always checked.
+_ROW_BOUNDS: dict[tuple, int] = {}
+_ROW_BOUNDS_MAX = 256
+
+
+def basket_row_bound(rows: DataFrame) -> int:
+    """Largest number of rows in any basket of ``rows`` (columns ``_b``, ...).
+
+    One aggregation job with partial aggregation; remembered per input for
+    file-backed inputs, so pairs, triples and support over the same table
+    share one check.
+    """
+    key = None
+    files = tuple(sorted(rows.inputFiles()))
+    if files:
+        key = (rows.sparkSession.sparkContext.applicationId, rows.semanticHash(), files)
+        if key in _ROW_BOUNDS:
+            return _ROW_BOUNDS[key]
+    top = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    bound = int(top or 0)
+    if key is not None:
+        if len(_ROW_BOUNDS) >= _ROW_BOUNDS_MAX:
+            _ROW_BOUNDS.pop(next(iter(_ROW_BOUNDS)))
+        _ROW_BOUNDS[key] = bound
+    return bound
+
+
 def _any_flag(cols: list[Column]) -> Column:
     out = cols[0]
     for c in cols[1:]:
@@ -262,7 +293,9 @@ def cooccurrence(
     else:
         threshold = heavy_threshold if heavy_threshold is not None else heavy_threshold_for(k)
         heavy = heavy_baskets(rows, threshold)
-        n_heavy = heavy.count()
+        # the (k-independent) largest basket decides whether the heavy set
+        # has to be built at all
+        n_heavy = 0 if basket_row_bound(rows) <= threshold else heavy.count()
         if n_heavy == 0:
             tuples = _array_tuples(rows, k, flagged)
         else:
