@@ -49,7 +49,7 @@ from cobasket.functions.keys import sortable_item, text_order, unwrap_item
 
 # Largest number of k-combinations one basket may emit from a single task in
 # the array plan; baskets that would emit more go to the blocked plan. The
-# default row threshold is derived from it per k (k=2: 2000, k=3: 230, k=4: 85).
+# default row threshold is derived from it per k (k=2: 2000, k=3: 230, k=4: 84).
 COMBO_BUDGET = 2_000_000
 DEFAULT_BLOCK = 1024
 DEFAULT_MAX_BROADCAST_HEAVY = 200_000
@@ -140,6 +140,9 @@ def _array_tuples(rows: DataFrame, k: int, flagged: bool) -> DataFrame:
         .agg(F.array_sort(F.collect_set(member)).alias("_items"))
         .where(F.size("_items") >= F.lit(k))
     )
+    if flagged:
+        # a basket without a flagged member cannot contribute; skip it before expanding
+        baskets = baskets.where(F.exists("_items", lambda m: m.getField("f")))
     t = expand_combinations(baskets, "_items", k, names)
     if not flagged:
         return t
