@@ -210,6 +210,25 @@ def q_pair_lookup(spark, sf_dir):
     return quality.lookup_counts(_pairs(spark, sf_dir, "join"), _pairs(spark, sf_dir), keys)
 
 
+def q_pair_multiset_check(spark, sf_dir):
+    """Raw sales rows against their deduplicated table, as multisets."""
+    s = _sales(spark, sf_dir)
+    return quality.multiset_diff(s, dedup.dedup(s))
+
+
+def q_skew_analysis(spark, sf_dir):
+    """Two products added to every basket: one pair dominates all others.
+    Auto-plan counts are reconciled two-sided against the join plan."""
+    s = _sales(spark, sf_dir)
+    hot = s.select("basket_id").distinct().select(
+        "basket_id", F.explode(F.array(F.lit(-1).cast("bigint"), F.lit(-2).cast("bigint"))).alias("product_id")
+    )
+    skewed = s.unionByName(hot)
+    return quality.skew_report(
+        cooccur.cooccurrence(skewed, 2), cooccur.cooccurrence(skewed, 2, plan="join")
+    )
+
+
 def q_triple_pair_closure(spark, sf_dir):
     s = _sales(spark, sf_dir)
     return quality.closure_missing(cooccur.cooccurrence(s, 3), cooccur.cooccurrence(s, 2))
@@ -376,6 +395,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "injection_stats": q_injection_stats,
     "pair_reconciliation": q_pair_reconciliation,
     "pair_lookup": q_pair_lookup,
+    "pair_multiset_check": q_pair_multiset_check,
+    "skew_analysis": q_skew_analysis,
     "triple_pair_closure": q_triple_pair_closure,
     "pair_incremental": q_pair_incremental,
     "pair_merge_partials": q_pair_merge_partials,
@@ -545,6 +566,18 @@ _ORACLES: dict[str, str] = {
         "SELECT product_1, product_2, baskets AS expected, baskets AS actual "
         f"FROM ({_PAIRS})"
     ),
+    "pair_multiset_check": (
+        f"SELECT (SELECT COUNT(*) FROM ({_SALES})) - (SELECT COUNT(*) FROM "
+        f"(SELECT DISTINCT basket_id, product_id FROM ({_SALES}))) AS left_extra, "
+        f"0::BIGINT AS right_extra"
+    ),
+    "skew_analysis": (
+        f"WITH s AS ({_SALES} UNION ALL SELECT basket_id, unnest([-1, -2]) AS product_id "
+        f"FROM (SELECT DISTINCT l_orderkey AS basket_id FROM lineitem)), "
+        f"p AS ({_tuples_sql(2, 'SELECT DISTINCT basket_id, product_id FROM s')}) "
+        f"SELECT max_by(product_1, baskets) AS dominant_1, max_by(product_2, baskets) AS dominant_2, "
+        f"MAX(baskets) AS dominant_baskets, COUNT(*) AS pairs, 0::BIGINT AS mismatches FROM p"
+    ),
     "triple_pair_closure": (
         f"SELECT COUNT(*) AS tuples, 3 * COUNT(*) AS subsets_checked, 0::BIGINT AS missing, "
         f"0::BIGINT AS undercounted FROM ({_tuples_sql(3)})"

@@ -130,3 +130,42 @@ def run_ratio(metrics: DataFrame, order: str, value: str, digits: int = 6) -> Da
         prev.alias("previous"),
         F.round(F.when(prev > 0, F.col(value) / prev), digits).alias("ratio"),
     )
+
+
+def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row: ``left_extra, right_extra``: rows (with multiplicity) found in
+    one frame more often than in the other; both 0 means equal multisets.
+
+    One aggregation over the tagged union (no join); columns are matched by
+    name and NULLs compare equal.
+    """
+    cols = left.columns
+    tagged = left.select(*cols, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
+        right.select(*cols, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
+    )
+    per_row = tagged.groupBy(*cols).agg(F.sum("_l").alias("_nl"), F.sum("_r").alias("_nr"))
+    return per_row.agg(
+        F.coalesce(F.sum(F.greatest(F.col("_nl") - F.col("_nr"), F.lit(0))), F.lit(0))
+        .cast("bigint")
+        .alias("left_extra"),
+        F.coalesce(F.sum(F.greatest(F.col("_nr") - F.col("_nl"), F.lit(0))), F.lit(0))
+        .cast("bigint")
+        .alias("right_extra"),
+    )
+
+
+def skew_report(counts: DataFrame, reference: DataFrame) -> DataFrame:
+    """One row for a skew check: the dominant pair, how many pairs were
+    counted, and how many differ from ``reference`` (two-sided).
+
+    ``dominant_1, dominant_2, dominant_baskets, pairs, mismatches``; the
+    dominant pair is the one with the most baskets (assumed unique).
+    """
+    d = reconcile_detail(counts, reference, product_columns(2))
+    return d.agg(
+        F.max_by("product_1", "left_value").alias("dominant_1"),
+        F.max_by("product_2", "left_value").alias("dominant_2"),
+        F.max("left_value").alias("dominant_baskets"),
+        F.count("left_value").alias("pairs"),
+        F.count(F.when(F.col("status") != "match", True)).alias("mismatches"),
+    )

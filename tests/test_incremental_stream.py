@@ -125,3 +125,22 @@ def test_flagged_counts_all_plans(spark):
             assert got == expected, (k, plan)
         assert as_counts(count_delta(new, old, k, new_is_small=True)) == expected
         full[k] = expected
+
+
+def test_multiset_diff_counts_multiplicity(spark):
+    from cobasket.operators.quality import multiset_diff
+
+    a = sales_df(spark, [("a", "1"), ("a", "1"), ("b", None)])
+    b = sales_df(spark, [("a", "1"), ("b", None), ("c", "2")])
+    r = multiset_diff(a, b).first()
+    assert (r.left_extra, r.right_extra) == (1, 1)
+    assert tuple(multiset_diff(a, a).first()) == (0, 0)
+
+
+def test_skew_report(spark):
+    from cobasket.operators.quality import skew_report
+
+    baskets = {str(i): [0, 1] + ([2] if i < 3 else []) for i in range(100)}
+    df = sales_df(spark, baskets_to_rows(baskets))
+    r = skew_report(cooccurrence(df, 2), cooccurrence(df, 2, plan="join")).first()
+    assert (r.dominant_1, r.dominant_2, r.dominant_baskets, r.pairs, r.mismatches) == ("0", "1", 100, 3, 0)
