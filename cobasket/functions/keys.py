@@ -8,16 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ByteType,
-    DataType,
-    IntegerType,
-    LongType,
-    ShortType,
-    StringType,
-)
-
-_INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
+from pyspark.sql.types import DataType, StringType
 
 # The characters Python's ``str.strip()`` removes (those for
 # which ``str.isspace()`` is true), in code point order. ``trim`` alone strips
@@ -38,10 +29,6 @@ def strip_space(col: Column | str) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def is_integral(dtype: DataType) -> bool:
-    return isinstance(dtype, _INTEGRAL)
-
-
 def column_type(df: DataFrame, name: str) -> DataType:
     return df.schema[name].dataType
 

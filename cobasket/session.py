@@ -7,7 +7,6 @@ scripts.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,22 +74,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_os_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through Hadoop's FileSystem, so it works for any scheme."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_os_path(path), exist_ok=True)
