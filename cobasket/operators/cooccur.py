@@ -125,6 +125,14 @@ def basket_row_bound(rows: DataFrame) -> int:
     return bound
 
 
+def rows_per_basket_bound(
+    df: DataFrame, basket: str = "basket_id", item: str = "product_id"
+) -> int:
+    """Largest number of (non-null) rows in any basket of ``df``; see
+    :func:`basket_row_bound` (remembered for file-backed inputs)."""
+    return basket_row_bound(_rows(df, basket, item, True, None))
+
+
 def _any_flag(cols: list[Column]) -> Column:
     out = cols[0]
     for c in cols[1:]:
@@ -258,6 +266,7 @@ def cooccurrence(
     max_broadcast_heavy: int = DEFAULT_MAX_BROADCAST_HEAVY,
     strict: bool = True,
     only_flagged: str | None = None,
+    max_basket_rows: int | None = None,
 ) -> DataFrame:
     """Count baskets per ascending k-combination of distinct items.
 
@@ -270,6 +279,10 @@ def cooccurrence(
     when baskets are known to be bounded. ``heavy_threshold`` defaults to
     the largest basket whose C(n, k) combinations fit :data:`COMBO_BUDGET`.
 
+    ``max_basket_rows`` is a known upper bound on rows per basket (e.g.
+    the sum of the bounds of two inputs being combined); when given, the
+    ``auto`` plan uses it instead of measuring the input.
+
     ``only_flagged`` names a boolean column; then a combination is counted in
     a basket only if at least one of its rows there is flagged (a row's flag
     must be the same for every copy of that basket/item). With flagged = new
@@ -298,7 +311,8 @@ def cooccurrence(
         heavy = heavy_baskets(rows, threshold)
         # the (k-independent) largest basket decides whether the heavy set
         # has to be built at all
-        n_heavy = 0 if basket_row_bound(rows) <= threshold else heavy.count()
+        bound = basket_row_bound(rows) if max_basket_rows is None else max_basket_rows
+        n_heavy = 0 if bound <= threshold else heavy.count()
         if n_heavy == 0:
             tuples = _array_tuples(rows, k, flagged)
         else:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cobasket.operators.cooccur import cooccurrence, product_columns
+from cobasket.operators.cooccur import cooccurrence, product_columns, rows_per_basket_bound
 from cobasket.operators.dedup import new_rows
 from cobasket.sources.sales import BASKET, PRODUCT
 
@@ -90,5 +90,15 @@ def update_counts(
     item: str = PRODUCT,
     **cooc_options,
 ) -> DataFrame:
-    """``stored`` counts (over ``old``) brought up to date with ``new`` rows."""
+    """``stored`` counts (over ``old``) brought up to date with ``new`` rows.
+
+    A basket of the combined rows has at most as many rows as it has in
+    ``old`` and ``new`` together, so the sum of the two inputs' bounds
+    (each measured once per input and remembered) routes the delta without
+    measuring the combined rows.
+    """
+    if "max_basket_rows" not in cooc_options and cooc_options.get("plan", "auto") == "auto":
+        cooc_options["max_basket_rows"] = rows_per_basket_bound(
+            old, basket, item
+        ) + rows_per_basket_bound(new, basket, item)
     return merge_counts(stored, count_delta(new, old, k, basket, item, **cooc_options))

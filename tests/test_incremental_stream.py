@@ -144,3 +144,13 @@ def test_skew_report(spark):
     df = sales_df(spark, baskets_to_rows(baskets))
     r = skew_report(cooccurrence(df, 2), cooccurrence(df, 2, plan="join")).first()
     assert (r.dominant_1, r.dominant_2, r.dominant_baskets, r.pairs, r.mismatches) == ("0", "1", 100, 3, 0)
+
+
+def test_update_counts_basket_heavy_only_when_combined(spark):
+    old_b = {"hot": list(range(0, 30)), "a": [1, 2]}
+    new_b = {"hot": list(range(30, 60)), "a": [3]}
+    old, new = sales_df(spark, baskets_to_rows(old_b)), sales_df(spark, baskets_to_rows(new_b))
+    stored = cooccurrence(old, 2)
+    got = update_counts(stored, new, old, 2, heavy_threshold=40, block=8)
+    full = {"hot": list(range(60)), "a": [1, 2, 3]}
+    assert as_counts(got) == brute_force(full, 2)
