@@ -195,6 +195,22 @@ def q_duplicate_injection(spark, sf_dir):
     return _injected(spark, sf_dir)
 
 
+def q_duplicate_injection_file(spark, sf_dir):
+    """Injected copies in scrambled order, written as gzip CSV and read back."""
+    li = _lineitem(spark, sf_dir).select(
+        F.col("l_orderkey").alias("basket_id"), F.col("l_suppkey").alias("product_id"), "l_linenumber"
+    )
+    out = scratch_path(spark, "with-dups")
+    injected = dedup.inject_duplicates(
+        li, DUP_RATIO, DUP_SEED, id_cols=["basket_id", "l_linenumber"], scramble=True
+    ).drop("l_linenumber")
+    injected.write.option("compression", "gzip").csv(out)
+    return src.read_sales_csv(spark, out).select(
+        F.col("basket_id").cast("bigint").alias("basket_id"),
+        F.col("product_id").cast("bigint").alias("product_id"),
+    )
+
+
 def q_injection_stats(spark, sf_dir):
     return dedup.injection_stats(_sales(spark, sf_dir), _injected(spark, sf_dir))
 
@@ -392,6 +408,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_new_rows": q_ingest_new_rows,
     "duplicate_rate": q_duplicate_rate,
     "duplicate_injection": q_duplicate_injection,
+    "duplicate_injection_file": q_duplicate_injection_file,
     "injection_stats": q_injection_stats,
     "pair_reconciliation": q_pair_reconciliation,
     "pair_lookup": q_pair_lookup,
@@ -553,6 +570,7 @@ _ORACLES: dict[str, str] = {
         f" / COUNT(*)::DOUBLE, 6) AS duplicate_ratio FROM ({_SALES})"
     ),
     "duplicate_injection": _INJECTED,
+    "duplicate_injection_file": _INJECTED,
     "injection_stats": (
         f"SELECT (SELECT COUNT(*) FROM lineitem) AS original_rows, "
         f"(SELECT COUNT(*) FROM ({_INJECTED})) - (SELECT COUNT(*) FROM lineitem) AS duplicate_rows, "
