@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 
 from cobasket.functions.combos import expand_combinations
 from cobasket.functions.keys import sortable_item, text_order, unwrap_item
+from cobasket.session import scratch_path
 
 # Largest number of k-combinations one basket may emit from a single task in
 # the array plan; baskets that would emit more go to the blocked plan. The
@@ -312,7 +313,14 @@ def cooccurrence(
         # the (k-independent) largest basket decides whether the heavy set
         # has to be built at all
         bound = basket_row_bound(rows) if max_basket_rows is None else max_basket_rows
-        n_heavy = 0 if bound <= threshold else heavy.count()
+        n_heavy = 0
+        if bound > threshold:
+            # materialize the heavy-basket set once in the shared checkpoint
+            # folder: its count, the broadcast and the split all read it back
+            path = scratch_path(df.sparkSession, "heavy-baskets")
+            heavy.write.parquet(path)
+            heavy = df.sparkSession.read.parquet(path)
+            n_heavy = heavy.count()
         if n_heavy == 0:
             tuples = _array_tuples(rows, k, flagged)
         else:
