@@ -100,8 +100,9 @@ def inject_duplicates(
         raise ValueError("ratio must be within [0, 1]")
     ids = list(id_cols) if id_cols else df.columns
     draw = hash_fraction(F.lit(seed), *ids)
-    extra = df.where(draw < F.lit(ratio))
-    out = df.unionByName(extra)
+    # one scan: each row is emitted once, or twice when drawn
+    copies = F.when(draw < F.lit(ratio), F.lit(2)).otherwise(F.lit(1))
+    out = df.select(*df.columns, F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).drop("_copy")
     if scramble:
         key = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
         out = out.withColumn("_perm", key).repartition("_perm").sortWithinPartitions("_perm").drop("_perm")

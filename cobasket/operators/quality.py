@@ -85,13 +85,16 @@ def closure_missing(upper: DataFrame, lower: DataFrame) -> DataFrame:
         raise ValueError("upper must hold tuples of size >= 2")
     up = product_columns(k)
     low = product_columns(k - 1)
-    subsets = [
-        upper.select(*[F.col(up[i]).alias(low[j]) for j, i in enumerate(idx)], F.col("baskets").alias("_ub"))
-        for idx in combinations(range(k), k - 1)
-    ]
-    sub = subsets[0]
-    for s in subsets[1:]:
-        sub = sub.unionByName(s)
+    # one pass over ``upper``: each tuple explodes into its k subsets
+    subsets = F.array(
+        *[
+            F.struct(*[F.col(up[i]).alias(low[j]) for j, i in enumerate(idx)])
+            for idx in combinations(range(k), k - 1)
+        ]
+    )
+    sub = upper.select(F.explode(subsets).alias("_s"), F.col("baskets").alias("_ub")).select(
+        *[F.col("_s").getField(c).alias(c) for c in low], "_ub"
+    )
     checked = sub.join(lower.select(*low, F.col("baskets").alias("_lb")), low, "left")
     # every tuple contributes exactly k subsets, so one aggregation gives all
     return checked.agg(
