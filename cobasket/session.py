@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings that matter for every plan in this package. AQE coalesces small
@@ -75,8 +76,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence test through Hadoop's FileSystem, so it works for any scheme."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    """Whether ``path`` exists, through the data source API (any scheme).
+
+    Resolving a ``binaryFile`` relation lists the path and raises
+    ``PATH_NOT_FOUND`` when it is missing; the glob matches no file, so no
+    content is read.
+    """
+    try:
+        spark.read.format("binaryFile").option("pathGlobFilter", "-no-file-").load(path)
+        return True
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return False
+        raise
