@@ -10,7 +10,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings that matter for every plan in this package. AQE coalesces small
@@ -73,19 +72,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, through the data source API (any scheme).
-
-    Resolving a ``binaryFile`` relation lists the path and raises
-    ``PATH_NOT_FOUND`` when it is missing; the glob matches no file, so no
-    content is read.
-    """
-    try:
-        spark.read.format("binaryFile").option("pathGlobFilter", "-no-file-").load(path)
-        return True
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc):
-            return False
-        raise

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -73,12 +74,14 @@ def read_shards(spark: SparkSession, shard_dir: str) -> DataFrame:
 def read_table_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Parquet table at ``path`` with ``schema``, or an empty frame if absent.
 
-    Existence is tested through Hadoop's FileSystem, so any scheme works.
+    The read itself resolves the path (one listing, any filesystem scheme);
+    ``PATH_NOT_FOUND`` means the table does not exist yet.
     """
-    from cobasket.session import path_exists
-
-    if path_exists(spark, path):
+    try:
         return spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
     return spark.createDataFrame([], schema)
 
 

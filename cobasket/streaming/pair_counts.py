@@ -23,8 +23,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from cobasket.operators.cooccur import product_columns
 from cobasket.operators.dedup import new_rows
 from cobasket.operators.incremental import count_delta, merge_counts
-from cobasket.session import path_exists
-from cobasket.sources.sales import BASKET, PRODUCT
+from cobasket.sources.sales import BASKET, PRODUCT, read_table_or_empty
 
 
 # Micro-batches up to this many rows are broadcast when probing stored rows
@@ -34,9 +33,7 @@ DEFAULT_SMALL_BATCH_ROWS = 250_000
 
 def _read_partitioned(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     full = StructType(schema.fields + [StructField("batch_id", LongType(), True)])
-    if path_exists(spark, path):
-        return spark.read.schema(full).parquet(path)
-    return spark.createDataFrame([], full)
+    return read_table_or_empty(spark, path, full)
 
 
 def apply_batch(
