@@ -627,6 +627,26 @@ _ORACLES: dict[str, str] = {
 }
 
 
+# ── document operators, where they are installed ────────────────────────────
+
+try:
+    from cobasket.llm import queries as _llm
+except ImportError:
+    pass
+else:
+    _QUERIES |= _llm.QUERIES
+    _ORACLES |= _llm.ORACLES
+
+try:
+    import corpus_pipeline as _pipeline
+except ImportError:
+    pass
+else:
+    _QUERIES["pipeline"] = _pipeline.run
+    if _pipeline.ORACLE_SQL:
+        _ORACLES["pipeline"] = _pipeline.ORACLE_SQL
+
+
 # ── contract ────────────────────────────────────────────────────────────────
 
 def entry(spark: SparkSession) -> DataFrame:
