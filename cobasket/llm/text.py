@@ -113,27 +113,61 @@ class WordIds(dict):
     """Token ids (packed little-endian uint32) of words, remembered.
 
     The tokenizer drops white space and never joins across it, so the ids of
-    a text are those of its words, end to end.
+    a text are those of its words, end to end. It also never joins letters and
+    the marks after them, and lower-cases, so that words of letters are looked
+    up without the marks and, in ASCII, in lower case.
     """
 
+    #: Marks that may follow letters; none of them begins a special token or a contraction.
+    MARKS = b".,;:!?$%&*#"
+
     def __init__(self, path: str):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.stems: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # the stems of before; those in use come back
+
+    def cut(self, word: bytes) -> tuple[bytes, bytes]:
+        """A word's letters and the marks after them; other words are not cut."""
+        stem = word.rstrip(self.MARKS)
+        if stem.isalpha():
+            return stem.lower(), word[len(stem) :]
+        if not stem.isascii() and stem.decode("utf-8").isalpha():
+            return stem, word[len(stem) :]
+        return word, b""
+
+    def learn(self, words: list[bytes]) -> None:
+        """Encode parts that are not known yet."""
+        if len(self.stems) >= CACHE_ENTRIES:
+            self.older, self.stems = self.stems, {}
+        new = []
+        for w in words:
+            if w not in self.stems:
+                known = self.older.get(w)
+                if known is None:
+                    new.append(w)
+                else:
+                    self.stems[w] = known
+        for lo in range(0, len(new), 20_000):
+            some = new[lo : lo + 20_000]
+            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)
+            for w, e in zip(some, found, strict=True):
+                self.stems[w] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed ids of each text."""
         split = [t.split() for t in texts]
         if len(self) >= CACHE_ENTRIES:
             self.clear()
-        new = list({w for words in split for w in words if w not in self})
-        for lo in range(0, len(new), 20_000):
-            some = new[lo : lo + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)
-            for w, e in zip(some, found, strict=True):
-                self[w] = np.array(e.ids, "<u4").tobytes()
+        new = [w for w in set().union(*split) if w not in self]
+        parts = [self.cut(w) for w in new]
+        self.learn(list({x for pair in parts for x in pair if x}))
+        self.stems[b""] = b""
+        for w, (stem, marks) in zip(new, parts, strict=True):
+            self[w] = self.stems[stem] + self.stems[marks]
         return [b"".join(map(self.__getitem__, words)) for words in split]
 
 
