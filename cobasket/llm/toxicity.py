@@ -35,13 +35,16 @@ from pyspark.sql import functions as F
 
 from cobasket.llm.quality_rank import held_out, logistic, sample, training_labels
 from cobasket.llm.text import CACHE_ENTRIES, chunks
+from cobasket.session import scratch_path
 
 MAX_ROWS = 20_000
 MAX_TERMS = 256
 RIDGE = 1e-4
 SPLIT = 3
+#: The least share of toxic texts among those with a mined term.
+MIN_SHARE = 0.9
 #: Lengths of word beginnings; 0 is the whole word.
-LENGTHS = (4, 5, 6, 7, 0)
+LENGTHS = (4, 5, 6, 7, 8, 0)
 #: Words that a text must have with a term: so many, and one of so many of its words.
 LEVELS = ((1, math.inf), (2, 250), (3, 100))
 # Common English insults.
@@ -55,9 +58,10 @@ PATTERNS = {
     "threat": re.compile(rb"\b(?:kill|hurt|destroy|hate) (?:you|him|her|them|yourself)\b"),
     "masked": re.compile(rb"\b[a-z]+[*@#$]{2,}[a-z]+\b"),
 }
-#: The patterns, shouting and repeated exclamation marks.
-N_PATTERNS = len(PATTERNS) + 2
+#: The lexicon, the patterns, shouting and repeated exclamation marks.
+N_PATTERNS = len(PATTERNS) + 3
 _WORD = re.compile(r"[^\W\d_]+")
+_LISTED = {f"0:{w}" for w in LEXICON}
 _COUNTS = "term string, toxic long, clean long"
 
 
@@ -105,8 +109,8 @@ def patterns(text: bytes) -> list[float]:
     return [*(float(p.search(lower) is not None) for p in PATTERNS.values()), float(letters >= 20 and capitals > 0.5 * letters), float(b"!!" in text)]
 
 
-def mine(rows: DataFrame, max_terms: int) -> list[str]:
-    """Terms (of rows label, text) that speak for toxicity, best first."""
+def mine(rows: DataFrame, max_terms: int) -> tuple[list[str], set[str]]:
+    """Terms (of rows label, text) that speak for toxicity, best first, and the lexicon without the words that clean texts have as often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, counts = Terms(), (Counter(), Counter())
@@ -129,14 +133,18 @@ def mine(rows: DataFrame, max_terms: int) -> list[str]:
     totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
-        return []
+        return [], _LISTED
     share = n1 / (n1 + n0)
     counted = rows.mapInArrow(run, _COUNTS).groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    path = scratch_path(rows.sparkSession, "term-counts")
+    counted.where("toxic > 2 or clean > 2").write.parquet(path)
+    counted = rows.sparkSession.read.parquet(path)
     both, own = F.col("toxic") + F.col("clean"), F.col("toxic") / (F.col("toxic") + F.col("clean"))
     clean = F.when(F.col("clean") > 0, F.col("clean") * F.ln((1 - own) / (1 - share))).otherwise(0.0)
     ratio = F.col("toxic") * F.ln(own / share) + clean
     # chance alone reaches a ratio of ln(terms) once in a list of that many
-    likely = counted.where(F.col("toxic") * 2 > both).withColumn("ratio", ratio).where(F.col("ratio") > math.log(1e5) + 2)
+    likely = counted.where(own >= MIN_SHARE).withColumn("ratio", ratio).where(F.col("ratio") > math.log(1e5) + 2)
+    common = counted.where(F.col("term").isin([f"0|{t}" for t in _LISTED]) & (own < MIN_SHARE)).collect()
     best = likely.withColumn("own", own).orderBy(F.desc("ratio"), "term").limit(8 * max_terms).collect()
     kept: list[tuple[str, str, float]] = []
     for r in best:
@@ -144,21 +152,20 @@ def mine(rows: DataFrame, max_terms: int) -> list[str]:
         # a longer or more frequent form of a kept term that is no better tells nothing new
         if len(kept) < max_terms and not any(text.startswith(x.partition(":")[2]) and x[0] <= at and own >= r.own for x, _, own in kept if x[2] != "0"):
             kept.append((r.term, text, r.own))
-    return [t for t, _, _ in kept]
+    return [t for t, _, _ in kept], _LISTED - {r.term[2:] for r in common}
 
 
 def votes(x: np.ndarray, terms: list[str]) -> np.ndarray:
     """Votes (1 toxic, -1 clean, 0 none) of all voters on rows of classifier inputs."""
     m = len(terms)
-    at, listed = np.array([int(t[0]) for t in terms], int), np.array([t.partition(":")[2] in LEXICON for t in terms], bool)
+    at = np.array([int(t[0]) for t in terms], int)
     hits = x[:, :m] > 0
     out = []
     for k in range(len(LEVELS)):
         own = np.flatnonzero(at == k)
         out += [np.where(hits[:, own[i::SPLIT]].any(1), 1, 0) for i in range(SPLIT)]
-    out.append(np.where(hits[:, listed].any(1), 1, 0))
-    out += [np.where(x[:, m + k] > 0, 1, 0) for k in range(x.shape[1] - m)]
-    out.append(np.where(hits.any(1), 0, -1))
+    out += [np.where(x[:, m + k] > 0, 1, 0) for k in range(N_PATTERNS)]
+    out.append(np.where(hits.any(1) | (x[:, m] > 0), 0, -1))
     return np.stack(out, 1)
 
 
@@ -208,9 +215,10 @@ def label_model(v: np.ndarray, prior: float, begin: np.ndarray | None = None, ro
 
 @dataclass
 class Classifier:
-    """Terms and the weights of terms, patterns and 1."""
+    """Terms, the lexicon in use, and the weights of terms, lexicon, patterns and 1."""
 
     terms: list[str]
+    listed: set[str]
     weights: np.ndarray
 
     def scores(self, x: np.ndarray) -> np.ndarray:
@@ -218,35 +226,38 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def inputs(texts: list[bytes], terms: list[str], seen: Terms) -> np.ndarray:
-    """Classifier inputs: 1 for each term that a text has, then its patterns."""
+def inputs(texts: list[bytes], terms: list[str], listed: set[str], seen: Terms) -> np.ndarray:
+    """Classifier inputs: 1 for each term that a text has, for any word of the lexicon in use, and for its patterns."""
     m, place = len(terms), {t: i for i, t in enumerate(terms)}
     x = np.zeros((len(texts), m + N_PATTERNS), np.float32)
     for i, text in enumerate(texts):
         words = text.split()
         for t, n in seen.count(words).items():
+            if t in listed:
+                x[i, m] = 1
             for k in range(level(n, len(words)) + 1):
                 j = place.get(f"{k}|{t}")
                 if j is not None:
                     x[i, j] = 1
-        x[i, m:] = patterns(text)
+        x[i, m + 1 :] = patterns(text)
     return x
 
 
-def known(terms: list[str]) -> Terms:
-    return Terms({t[2:] for t in terms})
+def known(terms: list[str], listed: set[str]) -> Terms:
+    return Terms({t[2:] for t in terms} | listed)
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms: int = MAX_TERMS) -> Classifier:
     """Mine terms, fit the label model on the sample's votes and the classifier on its posterior labels."""
     some = sample(training_labels(labels, "toxic"), max_rows).select(F.col("doc_id").alias("known_id"), "label")
     rows = docs.select("doc_id", "text").join(some, F.col("doc_id") == F.col("known_id"))
-    terms = mine(rows.select("label", "text"), max_terms)
+    # copies of one text are one witness
+    terms, listed = mine(rows.select("label", "text").distinct(), max_terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = known(terms)
+        seen = known(terms, listed)
         for batch, texts in chunks(batches):
-            x = inputs(texts, terms, seen).astype(bool)
+            x = inputs(texts, terms, listed, seen).astype(bool)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array([np.packbits(r).tobytes() for r in x], pa.binary())], names=["doc_id", "label", "x"])
 
     got = rows.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, x binary").collect()
@@ -255,22 +266,22 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_term
     y = np.array([r.label for r in got], float)
     share = float(y.mean()) if len(y) else 0.0
     if not 0 < share < 1:
-        return Classifier(terms, np.append(np.zeros(width), math.log((share + 1e-6) / (1 - share + 1e-6))))
+        return Classifier(terms, listed, np.append(np.zeros(width), math.log((share + 1e-6) / (1 - share + 1e-6))))
     x = np.stack([np.unpackbits(np.frombuffer(bytes(r.x), np.uint8), count=width) for r in got]).astype(float)
     v = votes(x, terms)
     post = label_model(v, share, y).posterior(v)
     # each row stands for both labels, weighted by its posterior
     one = np.concatenate([x, np.ones((len(x), 1))], 1)
     signs = np.concatenate([np.ones(len(x)), -np.ones(len(x))])
-    return Classifier(terms, logistic(np.concatenate([one, one]), RIDGE, signs, np.concatenate([post, 1 - post])))
+    return Classifier(terms, listed, logistic(np.concatenate([one, one]), RIDGE, signs, np.concatenate([post, 1 - post])))
 
 
 def score(docs: DataFrame, model: Classifier, cut: float = 0.7) -> DataFrame:
     """doc_id, held_out, score, predicted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = known(model.terms)
+        seen = known(model.terms, model.listed)
         for batch, texts in chunks(batches):
-            s = model.scores(inputs(texts, model.terms, seen))
+            s = model.scores(inputs(texts, model.terms, model.listed, seen))
             out = [batch.column(0), batch.column(1), pa.array(s, pa.float64()), pa.array(s >= cut).cast(pa.int32())]
             yield pa.record_batch(out, names=["doc_id", "held_out", "score", "predicted"])
 
