@@ -84,6 +84,33 @@ def q_pair_cooccurrence_partkey(spark, sf_dir):
     return cooccur.cooccurrence(_sales(spark, sf_dir, "l_partkey"), 2)
 
 
+def _crowded(spark: SparkSession, sf_dir: str, products: int) -> DataFrame:
+    """Sales of ``products`` products, and one basket (-1) that holds every row again: half of all rows."""
+    product = F.pmod(F.col("l_partkey") * 7 + F.col("l_suppkey") * 13, F.lit(products))
+    li = _lineitem(spark, sf_dir)
+    own = li.select(F.col("l_orderkey").alias("basket_id"), product.alias("product_id"))
+    return own.unionByName(li.select(F.lit(-1).cast("bigint").alias("basket_id"), product.alias("product_id")))
+
+
+def _by_count(counts: DataFrame, k: int) -> DataFrame:
+    """How many tuples have each count, and sums of their products."""
+    sums = [F.sum(c).alias(f"sum_{c}") for c in cooccur.product_columns(k)]
+    return counts.groupBy("baskets").agg(F.count(F.lit(1)).alias("tuples"), *sums)
+
+
+HEAVY_PAIR_PRODUCTS, HEAVY_TRIPLE_PRODUCTS = 2600, 300
+
+
+def q_heavy_pairs(spark, sf_dir):
+    """Pair counts where one basket of half of all rows goes through several blocks."""
+    return _by_count(cooccur.cooccurrence(_crowded(spark, sf_dir, HEAVY_PAIR_PRODUCTS), 2), 2)
+
+
+def q_heavy_triples(spark, sf_dir):
+    """Triple counts where one basket of half of all rows goes through several blocks."""
+    return _by_count(cooccur.cooccurrence(_crowded(spark, sf_dir, HEAVY_TRIPLE_PRODUCTS), 3), 3)
+
+
 def q_triple_cooccurrence(spark, sf_dir):
     return cooccur.cooccurrence(_sales(spark, sf_dir), 3)
 
@@ -135,38 +162,46 @@ def q_shard_pairs(spark, sf_dir):
     )
 
 
+def q_shard_file_pairs(spark, sf_dir):
+    """Pair counts from a folder of one text file per shard, named shard_<i>.csv."""
+    out = scratch_path(spark, "shard-files")
+    shard = bucket.assign_shards(_sales(spark, sf_dir), 4)
+    for i in range(4):
+        lines = shard.where(F.col("shard") == i).select(F.concat_ws(",", "basket_id", "product_id"))
+        lines.write.text(f"{out}/shard_{i:04d}.csv")
+    rows = src.read_shard_files(spark, out)
+    wrong = F.col("shard") != bucket.md5_shard("basket_id", 4)
+    rows = rows.select("product_id", F.when(wrong, F.lit(None)).otherwise(F.col("basket_id")).alias("basket_id"))
+    counts = cooccur.cooccurrence(rows, 2)
+    return counts.select(F.col("product_1").cast("bigint").alias("product_1"), F.col("product_2").cast("bigint").alias("product_2"), "baskets")
+
+
 def q_csv_clean_pairs(spark, sf_dir):
-    """Sales written as text CSV with padded keys, read back, cleaned, counted."""
+    """Lines with padded keys on disk, read back, cleaned, counted."""
     out = scratch_path(spark, "sales-csv")
     li = _lineitem(spark, sf_dir)
-    padded = li.select(
-        F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit(" "), F.col("l_orderkey").cast("string"), F.lit("\t")))
-        .otherwise(F.col("l_orderkey").cast("string"))
-        .alias("basket_id"),
-        F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit(" "), F.col("l_suppkey").cast("string")))
-        .otherwise(F.col("l_suppkey").cast("string"))
-        .alias("product_id"),
-    )
-    padded.write.mode("overwrite").option("compression", "gzip").option("escape", '"').csv(out)
+    order, supp = F.col("l_orderkey").cast("string"), F.col("l_suppkey").cast("string")
+    basket = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit(" "), order, F.lit("\t"))).otherwise(order)
+    product = F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit(" "), supp)).otherwise(supp)
+    # written as text: a CSV writer might trim
+    li.select(F.concat_ws(",", basket, product)).write.option("compression", "gzip").text(out)
     cleaned = clean.clean_sales(src.read_sales_csv(spark, out), numeric_products=True)
     return cooccur.cooccurrence(cleaned, 2)
 
 
 def q_sales_rejects(spark, sf_dir):
-    """Reject report over CSV text derived from lineitem with dirty keys:
-    blank baskets, empty products and non-integer products."""
+    """Reject report over dirty lines: blank baskets, empty products, lines of one field, and non-integer products."""
     out = scratch_path(spark, "dirty-csv")
     li = _lineitem(spark, sf_dir)
     ln, sk, pk = F.col("l_linenumber"), F.col("l_suppkey"), F.col("l_partkey")
     basket = F.when((ln == 6) & (sk % 10 == 0), F.lit(" \t")).otherwise(F.col("l_orderkey").cast("string"))
     product = (
-        F.when(ln == 7, F.lit(""))
+        F.when((ln == 7) & (sk % 2 == 0), F.lit(" "))
         .when((ln == 5) & (pk % 10 == 0), F.concat(F.lit("x"), sk.cast("string")))
-        .otherwise(sk.cast("string"))
+        .when(ln != 7, sk.cast("string"))
     )
-    li.select(basket.alias("basket_id"), product.alias("product_id")).write.option(
-        "compression", "gzip"
-    ).csv(out)
+    # concat_ws leaves out a null product and its comma: a line of one field
+    li.select(F.concat_ws(",", basket, product)).write.option("compression", "gzip").text(out)
     return clean.sales_rejects(src.read_sales_csv(spark, out), numeric_products=True)
 
 
@@ -196,19 +231,24 @@ def q_duplicate_injection(spark, sf_dir):
 
 
 def q_duplicate_injection_file(spark, sf_dir):
-    """Injected copies in scrambled order, written as gzip CSV and read back."""
-    li = _lineitem(spark, sf_dir).select(
-        F.col("l_orderkey").alias("basket_id"), F.col("l_suppkey").alias("product_id"), "l_linenumber"
-    )
-    out = scratch_path(spark, "with-dups")
-    injected = dedup.inject_duplicates(
-        li, DUP_RATIO, DUP_SEED, id_cols=["basket_id", "l_linenumber"], scramble=True
-    ).drop("l_linenumber")
-    injected.write.option("compression", "gzip").csv(out)
-    return src.read_sales_csv(spark, out).select(
-        F.col("basket_id").cast("bigint").alias("basket_id"),
-        F.col("product_id").cast("bigint").alias("product_id"),
-    )
+    """Every line drawn (ratio 1) or none (ratio 0) through the file writer: two and one copies of each row."""
+    out = scratch_path(spark, "dups")
+    _sales(spark, sf_dir).write.csv(f"{out}/drop.csv")
+    twice = export.write_with_dups(spark, [f"{out}/drop.csv"], f"{out}/all", ratio=1.0)
+    once = export.write_with_dups(spark, [f"{out}/drop.csv"], f"{out}/none", ratio=0.0)
+    rows = src.read_sales_csv(spark, [*twice, *once])
+    return rows.select(F.col("basket_id").cast("bigint").alias("basket_id"), F.col("product_id").cast("bigint").alias("product_id"))
+
+
+def q_hot_row_balance(spark, sf_dir):
+    """One row repeated for a third of the input, written to a shard of 8 files: how even the files are."""
+    out = scratch_path(spark, "hot-row")
+    li = _lineitem(spark, sf_dir)
+    hot = li.where(F.col("l_linenumber") <= 3).select(F.lit(-7).cast("bigint").alias("basket_id"), F.lit(1).cast("bigint").alias("product_id"))
+    export.write_shards(_sales(spark, sf_dir).unionByName(hot), out, 1, files_per_shard=8)
+    files = src.read_shards(spark, out).groupBy("_metadata.file_name").agg(F.count(F.lit(1)).alias("n"))
+    even = F.max("n") < 1.5 * F.avg("n")
+    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("rows"), even.alias("balanced"))
 
 
 def q_injection_stats(spark, sf_dir):
@@ -273,83 +313,122 @@ def q_run_ratio(spark, sf_dir):
 def q_export_roundtrip(spark, sf_dir):
     out = scratch_path(spark, "pairs-csv")
     export.write_counts_csv(_pairs(spark, sf_dir), out)
+    return export.read_counts_csv(spark, out, 2, "bigint")
+
+
+def q_export_text_ids(spark, sf_dir):
+    """Counts of text ids with leading zeros, exported and read back."""
+    out = scratch_path(spark, "pairs-csv")
+    padded = F.lpad(F.col("product_id").cast("string"), 6, "0")
+    export.write_counts_csv(cooccur.cooccurrence(_sales(spark, sf_dir).withColumn("product_id", padded), 2), out)
     return export.read_counts_csv(spark, out, 2)
 
 
+def q_export_triples(spark, sf_dir):
+    """A ranked k=3 export, read back."""
+    out = scratch_path(spark, "triples-csv")
+    export.write_counts_csv(cooccur.cooccurrence(_sales(spark, sf_dir), 3), out)
+    return export.read_counts_csv(spark, out, 3, "bigint")
+
+
 def q_export_preview(spark, sf_dir):
     out = scratch_path(spark, "pairs-csv")
     export.write_counts_csv(_pairs(spark, sf_dir), out, line_sep="\r\n")
-    return export.preview(spark, out, 2, 10)
+    return export.preview(spark, out, 2, 10, "bigint")
 
 
 def q_reencode_roundtrip(spark, sf_dir):
+    """Padded keys, a quoted empty field and a third column survive the change of codec."""
     gz, plain = scratch_path(spark, "sales-gz"), scratch_path(spark, "sales-plain")
-    _sales(spark, sf_dir).write.option("compression", "gzip").csv(gz)
+    li = _lineitem(spark, sf_dir)
+    line = F.concat(F.lit(" "), F.col("l_orderkey"), F.lit("\t,"), F.col("l_suppkey"), F.lit(',"",'), F.col("l_linenumber"))
+    li.select(line).write.option("compression", "gzip").text(gz)
     export.reencode_csv(spark, gz, plain, "none")
-    back = src.read_sales_csv(spark, plain)
-    return back.select(
-        F.col("basket_id").cast("bigint").alias("basket_id"),
-        F.col("product_id").cast("bigint").alias("product_id"),
-    )
+    return spark.read.text(plain).select(F.col("value").alias("line"))
 
 
-def q_ingest_roundtrip(spark, sf_dir):
-    """Two incremental ingest runs over CSV drops, plus one re-run with no new file."""
-    inbox = scratch_path(spark, "inbox")
-    table = scratch_path(spark, "sales-table")
-    log = scratch_path(spark, "ingest-log")
-    # a drop is many files (gzip is not splittable: one task per file)
+def _text(rows: DataFrame, files: int, path: str) -> None:
+    """Rows as ``files`` gzip CSV files (gzip can't be split: one task each)."""
+    rows.repartition(files).write.option("compression", "gzip").csv(path)
+
+
+def _bigints(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("basket_id").cast("bigint").alias("basket_id"), F.col("product_id").cast("bigint").alias("product_id"))
+
+
+def _two_runs(spark, sf_dir):
+    """Two ingest runs over CSV drops, and one re-run with no new file; the table, the log and the outcomes."""
+    inbox, table, log = (scratch_path(spark, x) for x in ("inbox", "sales-table", "ingest-log"))
     files = spark.sparkContext.defaultParallelism
+    runs = []
     for name, part in (("existing", _existing(spark, sf_dir)), ("incoming", _incoming(spark, sf_dir))):
-        part.repartition(files).write.option("compression", "gzip").csv(f"{inbox}-{name}")
-    # one drop directory per run: each drop's files become visible to the run
-    for name in ("existing", "incoming"):
-        ingest.ingest(spark, f"{inbox}-{name}", table, log)
-    ingest.ingest(spark, f"{inbox}-incoming", table, log)
-    return ingest.read_table(spark, table).select(
-        F.col("basket_id").cast("bigint").alias("basket_id"),
-        F.col("product_id").cast("bigint").alias("product_id"),
-    )
+        # a row without a product in each drop's file is rejected and reported
+        dirty = part.limit(1).select("basket_id", F.lit(None).cast("bigint").alias("product_id"))
+        _text(part.unionByName(dirty), files, f"{inbox}-{name}")
+        runs.append(ingest.ingest(spark, f"{inbox}-{name}", table, log))
+    runs.append(ingest.ingest(spark, f"{inbox}-incoming", table, log))
+    return table, log, runs
+
+
+def q_ingest_roundtrip(spark, sf_dir):
+    """The ingested table's rows."""
+    table, _, _ = _two_runs(spark, sf_dir)
+    return _bigints(ingest.read_table(spark, table))
+
+
+def q_ingest_runs(spark, sf_dir):
+    """What each run reports, and how many of its files the log has."""
+    _, log, runs = _two_runs(spark, sf_dir)
+    rows = [(i, r.batch_id, len(r.new_files) > 0, r.rows_read, r.rows_appended, r.table_rows, r.rejected.get("missing_product", 0)) for i, r in enumerate(runs)]
+    report = spark.createDataFrame(rows, "run int, batch_id bigint, new_files boolean, rows_read bigint, rows_appended bigint, table_rows bigint, rejected bigint")
+    logged = ingest.load_processed_log(spark, log).groupBy("batch_id").agg((F.count(F.lit(1)) > 0).alias("logged"))
+    return report.join(logged, "batch_id", "left").select(*report.columns, F.coalesce("logged", F.lit(False)).alias("logged"))
 
 
 def q_ingest_by_date(spark, sf_dir):
-    """Ingest into a table partitioned by ingestion date; keys read back."""
+    """Ingest into a table partitioned by ingestion date; keys read back, and whether their date is today's."""
     inbox = scratch_path(spark, "inbox")
     table, log = scratch_path(spark, "dated-table"), scratch_path(spark, "dated-log")
-    files = spark.sparkContext.defaultParallelism
-    _sales(spark, sf_dir).repartition(files).write.option("compression", "gzip").csv(inbox)
+    _text(_sales(spark, sf_dir), spark.sparkContext.defaultParallelism, inbox)
     ingest.ingest(spark, inbox, table, log, partition_by_date=True)
-    return spark.read.parquet(table).select(
-        F.col("basket_id").cast("bigint").alias("basket_id"),
-        F.col("product_id").cast("bigint").alias("product_id"),
+    dated = spark.read.parquet(table)
+    recent = F.datediff(F.current_date(), F.col("ingest_date")).between(0, 1)
+    return dated.select(
+        F.col("basket_id").cast("bigint").alias("basket_id"), F.col("product_id").cast("bigint").alias("product_id"), recent.alias("recent")
     )
 
 
-def _lineitem_stream(spark, sf_dir):
-    schema = _lineitem(spark, sf_dir).schema
-    return ingest_stream.file_stream(spark, sf_dir, "parquet", schema, glob="lineitem.parquet")
+def _streamed(spark, sf_dir, start):
+    """Run ``start(stream)`` over sales that arrive as files in two lots, one file a batch, with a restart between them."""
+    inbox = scratch_path(spark, "stream-in")
+    for lot, part in (("1", _existing(spark, sf_dir)), ("2", _incoming(spark, sf_dir))):
+        part.repartition(2, "basket_id", "product_id").write.mode("append").parquet(f"{inbox}/lot={lot}")
+        stream = ingest_stream.file_stream(spark, inbox, "parquet", part.schema, max_files_per_trigger=1)
+        ingest_stream.run_to_completion(start(stream))
 
 
 def q_stream_dedup(spark, sf_dir):
     table, ckpt = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-ckpt")
-    s = src.sales_from_table(_lineitem_stream(spark, sf_dir), "l_orderkey", "l_suppkey")
-    ingest_stream.run_to_completion(ingest_stream.start_dedup_stream(s, table, ckpt, mode="table"))
+    _streamed(spark, sf_dir, lambda s: ingest_stream.start_dedup_stream(s, table, ckpt, mode="table"))
     return spark.read.parquet(table)
 
 
 def q_stream_dedup_state(spark, sf_dir):
     table, ckpt = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-ckpt")
-    s = src.sales_from_table(_lineitem_stream(spark, sf_dir), "l_orderkey", "l_suppkey")
-    ingest_stream.run_to_completion(ingest_stream.start_dedup_stream(s, table, ckpt, mode="state"))
+    _streamed(spark, sf_dir, lambda s: ingest_stream.start_dedup_stream(s, table, ckpt, mode="state"))
     return spark.read.parquet(table)
 
 
 def q_stream_pair_counts(spark, sf_dir):
+    """Pair counts after four batches, a restart, and a replay of the last batch."""
     rows, counts = scratch_path(spark, "stream-rows"), scratch_path(spark, "stream-counts")
     ckpt = scratch_path(spark, "stream-ckpt")
-    s = src.sales_from_table(_lineitem_stream(spark, sf_dir), "l_orderkey", "l_suppkey")
-    ingest_stream.run_to_completion(pair_counts.start_pair_count_stream(s, rows, counts, ckpt, 2))
-    return pair_counts.read_counts(spark, counts, 2)
+    _streamed(spark, sf_dir, lambda s: pair_counts.start_pair_count_stream(s, rows, counts, ckpt, 2))
+    stored = spark.read.parquet(rows)
+    last = stored.agg(F.max("batch_id")).first()[0]
+    replayed = stored.where(F.col("batch_id") == last).select("basket_id", "product_id")
+    pair_counts.apply_batch(replayed, int(last), rows, counts, 2)
+    return pair_counts.read_counts(spark, counts, 2, must_exist=True)
 
 
 def q_schema_evolution(spark, sf_dir):
@@ -373,6 +452,13 @@ def q_synthetic_baskets(spark, sf_dir):
     return synth.baskets_for_keys(keyed, "o_orderkey", F.col("_p"), 5, SYNTH_SEED)
 
 
+def q_synthetic_dense(spark, sf_dir):
+    """Baskets of up to as many products as there are: sizes come out exactly as drawn."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    n = spark.read.parquet(f"{sf_dir}/region.parquet").agg(F.count(F.lit(1))).scalar()
+    return synth.baskets_for_keys(orders.withColumn("_p", n), "o_orderkey", F.col("_p"), 5, SYNTH_SEED)
+
+
 def q_synthetic_pairs(spark, sf_dir):
     """Generate once into the shared scratch folder, then count pairs on it."""
     path = scratch_path(spark, "generated")
@@ -394,6 +480,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pair_cooccurrence_partkey": q_pair_cooccurrence_partkey,
     "triple_cooccurrence": q_triple_cooccurrence,
     "quad_cooccurrence": q_quad_cooccurrence,
+    "heavy_pairs": q_heavy_pairs,
+    "heavy_triples": q_heavy_triples,
     "top_pairs": q_top_pairs,
     "top_triples": q_top_triples,
     "basket_size_histogram": q_basket_size_histogram,
@@ -402,6 +490,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shard_summary": q_shard_summary,
     "shard_roundtrip": q_shard_roundtrip,
     "shard_pairs": q_shard_pairs,
+    "shard_file_pairs": q_shard_file_pairs,
     "csv_clean_pairs": q_csv_clean_pairs,
     "sales_rejects": q_sales_rejects,
     "dedup_union": q_dedup_union,
@@ -409,6 +498,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_rate": q_duplicate_rate,
     "duplicate_injection": q_duplicate_injection,
     "duplicate_injection_file": q_duplicate_injection_file,
+    "hot_row_balance": q_hot_row_balance,
     "injection_stats": q_injection_stats,
     "pair_reconciliation": q_pair_reconciliation,
     "pair_lookup": q_pair_lookup,
@@ -419,15 +509,19 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pair_merge_partials": q_pair_merge_partials,
     "run_ratio": q_run_ratio,
     "export_roundtrip": q_export_roundtrip,
+    "export_text_ids": q_export_text_ids,
+    "export_triples": q_export_triples,
     "export_preview": q_export_preview,
     "reencode_roundtrip": q_reencode_roundtrip,
     "ingest_roundtrip": q_ingest_roundtrip,
+    "ingest_runs": q_ingest_runs,
     "ingest_by_date": q_ingest_by_date,
     "stream_dedup": q_stream_dedup,
     "stream_dedup_state": q_stream_dedup_state,
     "stream_pair_counts": q_stream_pair_counts,
     "schema_evolution": q_schema_evolution,
     "synthetic_baskets": q_synthetic_baskets,
+    "synthetic_dense": q_synthetic_dense,
     "synthetic_pairs": q_synthetic_pairs,
 }
 
@@ -481,32 +575,67 @@ _INJECTED = (
     f"WHERE {_DRAW} / 4294967296.0 < {DUP_RATIO}"
 )
 
-_SYNTH = f"""
-WITH keys AS (
-  SELECT o_orderkey AS k, (SELECT COUNT(*) FROM part) AS p,
-         1 + {_h(f"concat_ws('|', '{SYNTH_SEED}', CAST(o_orderkey AS VARCHAR), 'n')")} % 5 AS n
-  FROM orders
-), draws AS (
-  SELECT k, n, j, {_h(f"concat_ws('|', '{SYNTH_SEED}', CAST(k AS VARCHAR), CAST(j AS VARCHAR))")} % p AS prod
-  FROM keys, LATERAL (SELECT UNNEST(range(0, n + 8)) AS j)
-), firsts AS (
-  SELECT k, n, prod, MIN(j) AS j FROM draws GROUP BY k, n, prod
-), ranked AS (
-  SELECT k, n, prod, ROW_NUMBER() OVER (PARTITION BY k ORDER BY j) AS r FROM firsts
+def _synth_sql(products: str) -> str:
+    """Floyd's sample, one step of every basket at a time."""
+    draw = _h(f"concat_ws('|', '{SYNTH_SEED}', CAST(k AS VARCHAR), CAST(j AS VARCHAR))")
+    return f"""
+WITH RECURSIVE keys AS (
+  SELECT o_orderkey AS k, p, least(1 + {_h(f"concat_ws('|', '{SYNTH_SEED}', CAST(o_orderkey AS VARCHAR), 'n')")} % 5, p) AS n
+  FROM orders, (SELECT COUNT(*) AS p FROM {products})
+), steps AS (
+  SELECT k, p, p - n AS j, CAST([] AS BIGINT[]) AS taken FROM keys
+  UNION ALL
+  SELECT k, p, j + 1, list_append(taken, CASE WHEN list_contains(taken, {draw} % (j + 1)) THEN j ELSE {draw} % (j + 1) END)
+  FROM steps WHERE j < p
 )
 SELECT concat_ws('-', substr(md5(h), 1, 8), substr(md5(h), 9, 4), substr(md5(h), 13, 4),
                  substr(md5(h), 17, 4), substr(md5(h), 21, 12)) AS basket_id,
        CAST(prod AS VARCHAR) AS product_id
-FROM (SELECT *, concat_ws('|', '{SYNTH_SEED}', CAST(k AS VARCHAR)) AS h FROM ranked WHERE r <= n)
+FROM (SELECT concat_ws('|', '{SYNTH_SEED}', CAST(k AS VARCHAR)) AS h, unnest(taken) AS prod FROM steps WHERE j = p)
 """
 
+
+_SYNTH = _synth_sql("part")
+
 _SYNTH_PAIRS = (
     f"WITH d AS (SELECT DISTINCT basket_id, CAST(product_id AS BIGINT) AS product_id FROM ({_SYNTH})) "
     "SELECT t1.product_id AS product_1, t2.product_id AS product_2, COUNT(*) AS baskets "
     "FROM d t1 JOIN d t2 ON t1.basket_id = t2.basket_id AND t1.product_id < t2.product_id GROUP BY 1, 2"
 )
 
+_CROWD = "(l_partkey * 7 + l_suppkey * 13)"
+
+
+def _crowded_sql(products: int, k: int) -> str:
+    item = f"{_CROWD} % {products} AS product_id"
+    rows = f"SELECT DISTINCT * FROM (SELECT l_orderkey AS basket_id, {item} FROM lineitem UNION ALL SELECT -1, {item} FROM lineitem)"
+    sums = ", ".join(f"CAST(SUM(product_{i}) AS BIGINT) AS sum_product_{i}" for i in range(1, k + 1))
+    return f"SELECT baskets, COUNT(*) AS tuples, {sums} FROM ({_tuples_sql(k, rows)}) GROUP BY 1"
+
+
+_PADDED = "SELECT DISTINCT basket_id, lpad(CAST(product_id AS VARCHAR), 6, '0') AS product_id FROM (" + _SALES + ")"
+_N_EXISTING = f"(SELECT COUNT(*) FROM ({_EXISTING}))"
+_N_INCOMING = f"(SELECT COUNT(*) FROM ({_INCOMING}))"
+_D_EXISTING = f"(SELECT COUNT(*) FROM (SELECT DISTINCT * FROM ({_EXISTING})))"
+_D_UNION = f"(SELECT COUNT(*) FROM ({_UNION_D}))"
+
 _ORACLES: dict[str, str] = {
+    "heavy_pairs": _crowded_sql(HEAVY_PAIR_PRODUCTS, 2),
+    "heavy_triples": _crowded_sql(HEAVY_TRIPLE_PRODUCTS, 3),
+    "shard_file_pairs": _PAIRS,
+    "export_text_ids": _tuples_sql(2, _PADDED),
+    "export_triples": _tuples_sql(3),
+    "hot_row_balance": (
+        "SELECT CAST(8 AS BIGINT) AS files, CAST(COUNT(*) + COUNT(*) FILTER (WHERE l_linenumber <= 3) AS BIGINT) AS rows, "
+        "TRUE AS balanced FROM lineitem"
+    ),
+    "ingest_runs": (
+        f"SELECT CAST(0 AS INTEGER) AS run, CAST(0 AS BIGINT) AS batch_id, TRUE AS new_files, {_N_EXISTING} + 1 AS rows_read, "
+        f"{_D_EXISTING} AS rows_appended, {_D_EXISTING} AS table_rows, CAST(1 AS BIGINT) AS rejected, TRUE AS logged UNION ALL "
+        f"SELECT 1, 1, TRUE, {_N_INCOMING} + 1, {_D_UNION} - {_D_EXISTING}, {_D_UNION}, 1, TRUE UNION ALL "
+        f"SELECT 2, NULL, FALSE, 0, 0, {_D_UNION}, 0, FALSE"
+    ),
+    "synthetic_dense": _synth_sql("region"),
     "sales_projection": _SALES,
     "item_support": f"SELECT product_id AS product_1, COUNT(*) AS baskets FROM ({_D}) GROUP BY 1",
     "pair_cooccurrence": _PAIRS,
@@ -570,7 +699,7 @@ _ORACLES: dict[str, str] = {
         f" / COUNT(*)::DOUBLE, 6) AS duplicate_ratio FROM ({_SALES})"
     ),
     "duplicate_injection": _INJECTED,
-    "duplicate_injection_file": _INJECTED,
+    "duplicate_injection_file": f"{_SALES} UNION ALL {_SALES} UNION ALL {_SALES}",
     "injection_stats": (
         f"SELECT (SELECT COUNT(*) FROM lineitem) AS original_rows, "
         f"(SELECT COUNT(*) FROM ({_INJECTED})) - (SELECT COUNT(*) FROM lineitem) AS duplicate_rows, "
@@ -611,9 +740,11 @@ _ORACLES: dict[str, str] = {
     ),
     "export_roundtrip": _PAIRS,
     "export_preview": _top_sql(2),
-    "reencode_roundtrip": _SALES,
+    "reencode_roundtrip": (
+        "SELECT ' ' || l_orderkey || chr(9) || ',' || l_suppkey || ',\"\",' || l_linenumber AS line FROM lineitem"
+    ),
     "ingest_roundtrip": _UNION_D,
-    "ingest_by_date": _D,
+    "ingest_by_date": f"SELECT *, TRUE AS recent FROM ({_D})",
     "stream_dedup": _D,
     "stream_dedup_state": _D,
     "stream_pair_counts": _PAIRS,

@@ -34,7 +34,8 @@ def _blank(c: Column) -> Column:
     return c.isNull() | (c.cast("string") == F.lit(""))
 
 
-def _reason(df: DataFrame, basket: str, product: str, numeric_products: bool) -> Column:
+def reject_reason(df: DataFrame, basket: str = BASKET, product: str = PRODUCT, numeric_products: bool = False) -> Column:
+    """Why a row is rejected, or NULL if it is not."""
     b, p = _norm(df, basket), _norm(df, product)
     reason = F.when(_blank(b), F.lit("empty_basket")).when(_blank(p), F.lit("missing_product"))
     if numeric_products and isinstance(df.schema[product].dataType, StringType):
@@ -53,7 +54,7 @@ def clean_sales(
 
     Columns beyond the two keys are dropped (positional two-column model).
     """
-    reason = _reason(df, basket, product, numeric_products)
+    reason = reject_reason(df, basket, product, numeric_products)
     return df.where(reason.isNull()).select(
         _norm(df, basket).alias(BASKET), _norm(df, product).alias(PRODUCT)
     )
@@ -67,7 +68,7 @@ def sales_rejects(
 ) -> DataFrame:
     """Rejected row counts by reason: ``reason, rows``."""
     return (
-        df.select(_reason(df, basket, product, numeric_products).alias("reason"))
+        df.select(reject_reason(df, basket, product, numeric_products).alias("reason"))
         .where(F.col("reason").isNotNull())
         .groupBy("reason")
         .agg(F.count(F.lit(1)).alias("rows"))

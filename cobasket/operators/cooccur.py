@@ -15,26 +15,26 @@ Plans
     occurs in a third of all baskets costs one row per task, not one per
     basket).
 ``blocked`` (heavy baskets)
-    A basket with more rows than ``heavy_threshold`` is never collected into
-    one row or one task. Its items are hashed into ``s = ceil(n / block)``
-    blocks; block pair ``(a, b)``, ``a <= b``, is one join key, so the
-    C(n, 2) pairs of the basket are spread over s(s+1)/2 tasks with about
-    ``block`` items per side. Larger k extends pairs by salted joins with
-    about C(n, j-1) * n / block**2 salts at step j, so each task again sees
-    about ``block**2`` candidates.
+    A basket of more *distinct items* than ``heavy_threshold`` is never
+    collected into one row or one task. Its items are hashed into
+    ``s = ceil(n / block)`` blocks; block pair ``(a, b)``, ``a <= b``, is one
+    join key, so the C(n, 2) pairs of the basket are spread over s(s+1)/2
+    tasks with about ``block`` items per side. Larger k extends pairs by
+    salted joins with about C(n, j-1) * n / block**2 salts at step j, so each
+    task again sees about ``block**2`` candidates. The replicated sides carry
+    a merge hint: Catalyst prices them as they are before ``explode``.
 ``join``
     Chained self-joins on the basket with an ascending residual, the textbook
     SQL formulation. Kept as an independent plan for reconciliation; AQE's
     skew-join handling splits oversized basket partitions.
 ``auto``
-    Finds the largest basket's row count once per input (partial
-    aggregation, no collect; remembered for file-backed inputs), routes
-    baskets that would emit more than ``COMBO_BUDGET`` k-combinations (about
-    2000 rows for pairs, 230 for triples) to ``blocked``, the rest to
-    ``array``.
-    The heavy-basket set is broadcast only after its row count has been
-    checked against ``max_broadcast_heavy``; beyond that it is joined with
-    a salted shuffle join instead.
+    One aggregation finds the baskets whose *rows* could exceed the threshold.
+    Usually there are none, and ``array`` takes all. Otherwise the distinct
+    rows of those candidates are written to the shared scratch folder, their
+    distinct items are counted, and only baskets over the threshold by that
+    count go to ``blocked``; duplicates cost a candidate nothing but the one
+    distinct. Joins with the candidates are left to Spark, which knows the
+    written table's size.
 """
 
 from __future__ import annotations
@@ -46,15 +46,12 @@ from pyspark.sql import functions as F
 
 from cobasket.functions.combos import expand_combinations
 from cobasket.functions.keys import sortable_item, text_order, unwrap_item
-from cobasket.session import scratch_path
+from cobasket.session import stored
 
 # Largest number of k-combinations one basket may emit from a single task in
 # the array plan; baskets that would emit more go to the blocked plan. The
 # default row threshold is derived from it per k (k=2: 2000, k=3: 230, k=4: 84).
 COMBO_BUDGET = 2_000_000
-DEFAULT_BLOCK = 1024
-DEFAULT_MAX_BROADCAST_HEAVY = 200_000
-_HEAVY_JOIN_SALT = 64
 PLANS = ("auto", "array", "blocked", "join")
 
 
@@ -70,6 +67,11 @@ def heavy_threshold_for(k: int, budget: int = COMBO_BUDGET) -> int:
     return n
 
 
+def block_for(k: int) -> int:
+    """Items per block: half a threshold basket, so that a heavy basket has several blocks."""
+    return max(2, heavy_threshold_for(k) // 2)
+
+
 def _tuple_cols(k: int) -> list[str]:
     return [f"_c{i}" for i in range(1, k + 1)]
 
@@ -82,56 +84,16 @@ def _rows(df: DataFrame, basket: str, item: str, strict: bool, flag: str | None)
     return df.where(F.col(basket).isNotNull() & F.col(item).isNotNull()).select(*cols)
 
 
-def heavy_baskets(rows: DataFrame, threshold: int) -> DataFrame:
-    """Baskets with more than ``threshold`` rows, with their row count ``_n``.
-
-    Raw rows bound distinct items from above, so this set contains every
-    basket with more than ``threshold`` distinct items. Partial aggregation
-    keeps a hot basket at one row per map task.
-    """
-    return (
-        rows.groupBy("_b")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > F.lit(threshold))
-    )
+def candidate_baskets(rows: DataFrame, threshold: int) -> DataFrame:
+    """Baskets of more than ``threshold`` rows: a superset of those with as many
+    distinct items. Partial aggregation keeps a hot basket at one row per task."""
+    return rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_r")).where(F.col("_r") > F.lit(threshold)).select("_b")
 
 
-# Largest rows-per-basket seen for file-backed inputs in this session, keyed by
-# the input's canonical plan and file list. The bound only routes work: both
-# plans are exact for any basket, so a stale entry can cost time, never
-# correctness. Inputs without files (local data, streams) are always checked.
-_ROW_BOUNDS: dict[tuple, int] = {}
-_ROW_BOUNDS_MAX = 256
-
-
-def basket_row_bound(rows: DataFrame) -> int:
-    """Largest number of rows in any basket of ``rows`` (columns ``_b``, ...).
-
-    One aggregation job with partial aggregation; remembered per input for
-    file-backed inputs, so pairs, triples and support over the same table
-    share one check.
-    """
-    key = None
-    files = tuple(sorted(rows.inputFiles()))
-    if files:
-        key = (rows.sparkSession.sparkContext.applicationId, rows.semanticHash(), files)
-        if key in _ROW_BOUNDS:
-            return _ROW_BOUNDS[key]
-    top = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    bound = int(top or 0)
-    if key is not None:
-        if len(_ROW_BOUNDS) >= _ROW_BOUNDS_MAX:
-            _ROW_BOUNDS.pop(next(iter(_ROW_BOUNDS)))
-        _ROW_BOUNDS[key] = bound
-    return bound
-
-
-def rows_per_basket_bound(
-    df: DataFrame, basket: str = "basket_id", item: str = "product_id"
-) -> int:
-    """Largest number of (non-null) rows in any basket of ``df``; see
-    :func:`basket_row_bound` (remembered for file-backed inputs)."""
-    return basket_row_bound(_rows(df, basket, item, True, None))
+def _sized(distinct_rows: DataFrame) -> DataFrame:
+    """``distinct_rows`` with the basket's number of distinct items, ``_n``."""
+    sizes = stored(distinct_rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")), "basket-sizes")
+    return distinct_rows.join(sizes, "_b")
 
 
 def _any_flag(cols: list[Column]) -> Column:
@@ -176,19 +138,19 @@ def _join_tuples(rows: DataFrame, k: int, flagged: bool) -> DataFrame:
 
 
 def _extension_salts(n: str, m: int, block: int) -> Column:
-    """ceil(C(n, m) * n / block**2), at least 1, as an int column."""
+    """ceil(C(n, m) * n / block**2), at least 1."""
     c = F.lit(1.0)
     for i in range(m):
         c = c * (F.col(n) - F.lit(i)) / F.lit(float(i + 1))
-    return F.greatest(F.lit(1), F.ceil(c * F.col(n) / F.lit(float(block) ** 2))).cast("int")
+    return F.greatest(F.lit(1), F.ceil(c * F.col(n) / F.lit(float(block) ** 2))).cast("bigint")
 
 
 def _blocked_tuples(heavy_rows: DataFrame, k: int, block: int, flagged: bool) -> DataFrame:
     """k-combinations of heavy baskets; ``heavy_rows`` is (_b, _i[, _f], _n), distinct."""
-    s = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block))).cast("int")
+    s = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block))).cast("bigint")
     fcol = [F.col("_f")] if flagged else []
     base = heavy_rows.select("_b", "_i", *fcol, "_n", s.alias("_s")).withColumn(
-        "_k", F.pmod(F.xxhash64("_i"), F.col("_s")).cast("int")
+        "_k", F.pmod(F.xxhash64("_i"), F.col("_s"))
     )
     left = base.select(
         "_b",
@@ -203,10 +165,10 @@ def _blocked_tuples(heavy_rows: DataFrame, k: int, block: int, flagged: bool) ->
         F.col("_i").alias("_y"),
         *([F.col("_f").alias("_fy")] if flagged else []),
         F.col("_k").alias("_kb"),
-        F.explode(F.sequence(F.lit(0), F.col("_k"))).alias("_ka"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_k"))).alias("_ka"),
     )
     t = (
-        left.join(right, ["_b", "_ka", "_kb"])
+        left.join(right.hint("merge"), ["_b", "_ka", "_kb"])
         .where((F.col("_ka") < F.col("_kb")) | (F.col("_x") < F.col("_y")))
         .select(
             "_b",
@@ -221,15 +183,15 @@ def _blocked_tuples(heavy_rows: DataFrame, k: int, block: int, flagged: bool) ->
         # salts for this step: enough that one task sees about block**2
         # candidate extensions, i.e. ~C(n, j-1) * n / block**2 salts
         t = t.withColumn("_z", _extension_salts("_n", j - 1, block))
-        t = t.withColumn("_t", F.pmod(F.xxhash64(*prefix), F.col("_z")).cast("int")).drop("_z")
+        t = t.withColumn("_t", F.pmod(F.xxhash64(*prefix), F.col("_z"))).drop("_z")
         items = base.select(
             "_b",
             F.col("_i").alias(f"_c{j}"),
             *([F.col("_f").alias("_h")] if flagged else []),
-            F.explode(F.sequence(F.lit(0), _extension_salts("_n", j - 1, block) - 1)).alias("_t"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), _extension_salts("_n", j - 1, block) - 1)).alias("_t"),
         )
         t = (
-            t.join(items, ["_b", "_t"])
+            t.join(items.hint("merge"), ["_b", "_t"])
             .where(F.col(f"_c{j}") > F.col(f"_c{j - 1}"))
             .drop("_t")
         )
@@ -240,20 +202,17 @@ def _blocked_tuples(heavy_rows: DataFrame, k: int, block: int, flagged: bool) ->
     return t.select(*_tuple_cols(k))
 
 
-def _split_heavy(
-    rows: DataFrame, heavy: DataFrame, n_heavy: int, max_broadcast: int
-) -> tuple[DataFrame, DataFrame]:
-    """(light rows, heavy rows with _n). ``heavy`` holds (_b, _n)."""
-    if n_heavy <= max_broadcast:
-        hb = F.broadcast(heavy)
-        return rows.join(hb, "_b", "left_anti"), rows.join(hb, "_b")
-    # Too many heavy baskets to broadcast: salt the join so a hot basket's
-    # rows spread over _HEAVY_JOIN_SALT tasks; the heavy side is replicated.
-    salted = rows.withColumn("_h", F.pmod(F.xxhash64("_i"), F.lit(_HEAVY_JOIN_SALT)))
-    hs = heavy.withColumn("_h", F.explode(F.sequence(F.lit(0), F.lit(_HEAVY_JOIN_SALT - 1))))
-    light = salted.join(hs, ["_b", "_h"], "left_anti").drop("_h")
-    heavy_rows = salted.join(hs, ["_b", "_h"]).drop("_h")
-    return light, heavy_rows
+def _auto_tuples(rows: DataFrame, k: int, threshold: int, block: int, flagged: bool) -> DataFrame:
+    largest = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_r")).agg(F.max("_r")).first()[0]
+    if (largest or 0) <= threshold:
+        return _array_tuples(rows, k, flagged)
+    candidates = stored(candidate_baskets(rows, threshold), "candidate-baskets")
+    crowded = stored(rows.join(candidates, "_b", "left_semi").distinct(), "candidate-rows")
+    sized = _sized(crowded)
+    few = sized.where(F.col("_n") <= F.lit(threshold)).drop("_n")
+    many = sized.where(F.col("_n") > F.lit(threshold))
+    light = rows.join(candidates, "_b", "left_anti").unionByName(few)
+    return _array_tuples(light, k, flagged).unionByName(_blocked_tuples(many, k, block, flagged))
 
 
 def cooccurrence(
@@ -263,11 +222,9 @@ def cooccurrence(
     item: str = "product_id",
     plan: str = "auto",
     heavy_threshold: int | None = None,
-    block: int = DEFAULT_BLOCK,
-    max_broadcast_heavy: int = DEFAULT_MAX_BROADCAST_HEAVY,
+    block: int | None = None,
     strict: bool = True,
     only_flagged: str | None = None,
-    max_basket_rows: int | None = None,
 ) -> DataFrame:
     """Count baskets per ascending k-combination of distinct items.
 
@@ -275,14 +232,10 @@ def cooccurrence(
     ``baskets`` (bigint), unordered; see :func:`ranked` for the report order.
     Rows with a null basket or item are ignored (see ``clean.sales_rejects``).
 
-    ``plan="auto"`` runs one small job to size the heavy-basket set before
-    building the plan; ``plan="array"`` skips it and should only be used
-    when baskets are known to be bounded. ``heavy_threshold`` defaults to
-    the largest basket whose C(n, k) combinations fit :data:`COMBO_BUDGET`.
-
-    ``max_basket_rows`` is a known upper bound on rows per basket (e.g.
-    the sum of the bounds of two inputs being combined); when given, the
-    ``auto`` plan uses it instead of measuring the input.
+    ``plan="auto"`` first looks for baskets that may be heavy; ``plan="array"``
+    skips that and should only be used when baskets are known to be bounded.
+    ``heavy_threshold`` defaults to the largest basket whose C(n, k)
+    combinations fit :data:`COMBO_BUDGET`, ``block`` to half of that for k.
 
     ``only_flagged`` names a boolean column; then a combination is counted in
     a basket only if at least one of its rows there is flagged (a row's flag
@@ -305,29 +258,10 @@ def cooccurrence(
     elif plan == "join":
         tuples = _join_tuples(rows, k, flagged)
     elif plan == "blocked":
-        sizes = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-        tuples = _blocked_tuples(rows.distinct().join(sizes, "_b"), k, block, flagged)
+        tuples = _blocked_tuples(_sized(stored(rows.distinct(), "distinct-rows")), k, block or block_for(k), flagged)
     else:
         threshold = heavy_threshold if heavy_threshold is not None else heavy_threshold_for(k)
-        heavy = heavy_baskets(rows, threshold)
-        # the (k-independent) largest basket decides whether the heavy set
-        # has to be built at all
-        bound = basket_row_bound(rows) if max_basket_rows is None else max_basket_rows
-        n_heavy = 0
-        if bound > threshold:
-            # materialize the heavy-basket set once in the shared checkpoint
-            # folder: its count, the broadcast and the split all read it back
-            path = scratch_path(df.sparkSession, "heavy-baskets")
-            heavy.write.parquet(path)
-            heavy = df.sparkSession.read.parquet(path)
-            n_heavy = heavy.count()
-        if n_heavy == 0:
-            tuples = _array_tuples(rows, k, flagged)
-        else:
-            light, heavy_rows = _split_heavy(rows, heavy, n_heavy, max_broadcast_heavy)
-            tuples = _array_tuples(light, k, flagged).unionByName(
-                _blocked_tuples(heavy_rows.distinct(), k, block, flagged)
-            )
+        tuples = _auto_tuples(rows, k, threshold, block or block_for(k), flagged)
 
     counts = tuples.groupBy(*names).agg(F.count(F.lit(1)).alias("baskets"))
     return counts.select(

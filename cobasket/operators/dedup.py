@@ -94,7 +94,8 @@ def inject_duplicates(
     shuffle would not survive executor loss) and another engine can
     reproduce it. ``id_cols`` default to all columns; then identical rows
     share their draw. ``scramble`` mixes row order by a hash shuffle plus a
-    per-partition sort, without a global sort.
+    per-partition sort, without a global sort; the hash takes in each row's
+    position, so that equal rows spread over all tasks.
     """
     if not 0.0 <= ratio <= 1.0:
         raise ValueError("ratio must be within [0, 1]")
@@ -104,7 +105,7 @@ def inject_duplicates(
     copies = F.when(draw < F.lit(ratio), F.lit(2)).otherwise(F.lit(1))
     out = df.select(*df.columns, F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).drop("_copy")
     if scramble:
-        key = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
+        key = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns], F.monotonically_increasing_id())
         out = out.withColumn("_perm", key).repartition("_perm").sortWithinPartitions("_perm").drop("_perm")
     return out
 

@@ -85,7 +85,8 @@ def closure_missing(upper: DataFrame, lower: DataFrame) -> DataFrame:
         raise ValueError("upper must hold tuples of size >= 2")
     up = product_columns(k)
     low = product_columns(k - 1)
-    # one pass over ``upper``: each tuple explodes into its k subsets
+    # each tuple explodes into its k subsets, which meet their equals in each
+    # task first: at most one row per (k-1)-tuple goes on to the join
     subsets = F.array(
         *[
             F.struct(*[F.col(up[i]).alias(low[j]) for j, i in enumerate(idx)])
@@ -95,13 +96,21 @@ def closure_missing(upper: DataFrame, lower: DataFrame) -> DataFrame:
     sub = upper.select(F.explode(subsets).alias("_s"), F.col("baskets").alias("_ub")).select(
         *[F.col("_s").getField(c).alias(c) for c in low], "_ub"
     )
-    checked = sub.join(lower.select(*low, F.col("baskets").alias("_lb")), low, "left")
+    # subsets of one (k-1)-tuple by their count: how many lie above the lower
+    # count is then one array pass, in the few distinct counts it has
+    per = sub.groupBy(*low, "_ub").agg(F.count(F.lit(1)).alias("_n"))
+    per = per.groupBy(*low).agg(F.sum("_n").alias("_n"), F.collect_list(F.struct("_ub", "_n")).alias("_by"))
+    checked = per.join(lower.select(*low, F.col("baskets").alias("_lb")), low, "left")
+    above = F.aggregate(
+        F.filter("_by", lambda x: x["_ub"] > F.col("_lb")), F.lit(0).cast("bigint"), lambda a, x: a + x["_n"]
+    )
+    zero = F.lit(0).cast("bigint")
     # every tuple contributes exactly k subsets, so one aggregation gives all
     return checked.agg(
-        (F.count(F.lit(1)) / F.lit(k)).cast("bigint").alias("tuples"),
-        F.count(F.lit(1)).alias("subsets_checked"),
-        F.count(F.when(F.col("_lb").isNull(), True)).alias("missing"),
-        F.count(F.when(F.col("_lb") < F.col("_ub"), True)).alias("undercounted"),
+        (F.coalesce(F.sum("_n"), zero) / F.lit(k)).cast("bigint").alias("tuples"),
+        F.coalesce(F.sum("_n"), zero).alias("subsets_checked"),
+        F.coalesce(F.sum(F.when(F.col("_lb").isNull(), F.col("_n"))), zero).alias("missing"),
+        F.coalesce(F.sum(F.when(F.col("_lb").isNotNull(), above)), zero).alias("undercounted"),
     )
 
 
@@ -162,13 +171,18 @@ def skew_report(counts: DataFrame, reference: DataFrame) -> DataFrame:
     counted, and how many differ from ``reference`` (two-sided).
 
     ``dominant_1, dominant_2, dominant_baskets, pairs, mismatches``; the
-    dominant pair is the one with the most baskets (assumed unique).
+    dominant pair is the one with the most baskets (of equals, the largest ids).
     """
     d = reconcile_detail(counts, reference, product_columns(2))
+    top = F.max(F.when(F.col("left_value").isNotNull(), F.struct("left_value", "product_1", "product_2")))
     return d.agg(
-        F.max_by("product_1", "left_value").alias("dominant_1"),
-        F.max_by("product_2", "left_value").alias("dominant_2"),
-        F.max("left_value").alias("dominant_baskets"),
+        top.alias("_top"),
         F.count("left_value").alias("pairs"),
         F.count(F.when(F.col("status") != "match", True)).alias("mismatches"),
+    ).select(
+        F.col("_top.product_1").alias("dominant_1"),
+        F.col("_top.product_2").alias("dominant_2"),
+        F.col("_top.left_value").alias("dominant_baskets"),
+        "pairs",
+        "mismatches",
     )

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from cobasket.operators.bucket import SHARD, assign_shards
+from cobasket.functions.keys import md5_shard, strip_space
+from cobasket.operators.bucket import SHARD
 from cobasket.operators.cooccur import ranked, top_n
-from cobasket.sources.sales import BASKET, PRODUCT
+from cobasket.operators.dedup import inject_duplicates
+from cobasket.sources.sales import BASKET, read_sales_csv
+
+FILES_PER_SHARD = 4
 
 
 def write_shards(
@@ -15,34 +22,38 @@ def write_shards(
     out_dir: str,
     num_shards: int,
     basket: str = BASKET,
-    files_per_shard: int | None = None,
+    files_per_shard: int = FILES_PER_SHARD,
     compression: str = "gzip",
     mode: str = "overwrite",
 ) -> None:
     """Write sales rows as a shard dataset: ``out_dir/shard=<i>/part-*.csv.gz``.
 
-    Every basket lands in exactly one shard directory (stable md5 shard id).
-    Rows are spread over ``files_per_shard`` files inside a shard by a hash of
-    the whole row, so a basket holding a third of all rows is written by
-    several tasks. ``overwrite`` replaces the dataset as a whole, so files of
-    an earlier run with more shards cannot linger and be read twice.
-    Shards with no rows get no directory; ``shard_balance`` reports them.
-    ``files_per_shard`` defaults to the input's partition count divided by
-    ``num_shards``, so the write keeps the input's parallelism instead of
-    funnelling everything through ``num_shards`` tasks.
+    Every basket lands in exactly one shard directory: the stable md5 shard id
+    of its text without white space at the ends (values are written as they
+    are). Inside a shard, rows go to ``files_per_shard`` files by a hash of the
+    row and of its position in the input, so that neither a basket nor a single
+    row repeated for a third of the input ends in one task. ``overwrite``
+    replaces the dataset as a whole, so files of an earlier run with more
+    shards cannot linger and be read twice. Shards with no rows get no
+    directory; ``shard_balance`` reports them.
     """
-    cols = df.columns
-    if files_per_shard is None:
-        files_per_shard = max(1, -(-df.rdd.getNumPartitions() // num_shards))
-    assigned = assign_shards(df, num_shards, basket)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(files_per_shard))
-    (
-        assigned.repartition(num_shards * files_per_shard, F.col(SHARD), spread)
-        .write.mode(mode)
-        .partitionBy(SHARD)
-        .option("compression", compression)
+    key = strip_space(basket) if isinstance(df.schema[basket].dataType, StringType) else F.col(basket)
+    position = F.monotonically_increasing_id()
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], position), F.lit(files_per_shard))
+    assigned = df.select(*df.columns, md5_shard(key, num_shards).alias(SHARD), spread.cast("int").alias("_file"))
+    # one task for each file
+    task = F.col(SHARD) * files_per_shard + F.col("_file")
+    placed = assigned.repartitionById(num_shards * files_per_shard, task).drop("_file")
+    _csv_writer(placed.write.mode(mode).partitionBy(SHARD), compression).csv(out_dir)
+
+
+def _csv_writer(writer: DataFrameWriter, compression: str) -> DataFrameWriter:
+    """Values as they are: Spark's CSV writer trims white space unless told not to."""
+    return (
+        writer.option("compression", compression)
         .option("escape", '"')
-        .csv(out_dir)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
     )
 
 
@@ -63,48 +74,41 @@ def write_counts_csv(
     out = ranked(counts)
     if single_file:
         out = out.coalesce(1)
-    w = out.write.mode("overwrite").option("header", True).option("compression", compression)
+    w = _csv_writer(out.write.mode("overwrite").option("header", True), compression)
     if line_sep:
         w = w.option("lineSep", line_sep)
     w.csv(out_dir)
 
 
-def read_counts_csv(spark: SparkSession, path: str, k: int) -> DataFrame:
-    """Read a count export back with typed columns (bigint ids and counts)."""
-    from pyspark.sql.types import LongType, StructField, StructType
+def read_counts_csv(spark: SparkSession, path: str, k: int, id_type: str = "string") -> DataFrame:
+    """Read a count export back: ids as text, or as ``id_type`` where that is known; counts as bigint."""
+    columns = ", ".join([*(f"product_{i} {id_type}" for i in range(1, k + 1)), "baskets bigint"])
+    return spark.read.schema(columns).option("header", True).option("escape", '"').option("mode", "FAILFAST").csv(path)
 
-    schema = StructType(
-        [StructField(f"product_{i}", LongType(), True) for i in range(1, k + 1)]
-        + [StructField("baskets", LongType(), True)]
-    )
-    return spark.read.schema(schema).option("header", True).csv(path)
 
+def preview(spark: SparkSession, path: str, k: int, n: int = 10, id_type: str = "string") -> DataFrame:
+    """Top ``n`` rows of an exported count file, in report order (a top-n of each task, then one merge)."""
+    return top_n(read_counts_csv(spark, path, k, id_type), n)
 
-def preview(spark: SparkSession, path: str, k: int, n: int = 10) -> DataFrame:
-    """Top ``n`` rows of an exported count file, in report order."""
-    return top_n(read_counts_csv(spark, path, k), n)
 
-
-def reencode_csv(
-    spark: SparkSession,
-    src: str,
-    dst: str,
-    compression: str = "none",
-    columns: tuple[str, ...] = (BASKET, PRODUCT),
-) -> None:
+def reencode_csv(spark: SparkSession, src: str, dst: str, compression: str = "none") -> None:
     """Rewrite a CSV dataset with another codec (e.g. gzip to plain text).
 
-    Values are read as text and written back unchanged.
+    Lines are copied as they are, so all columns, quotes and white space stay.
     """
-    from pyspark.sql.types import StringType, StructField, StructType
-
-    schema = StructType([StructField(c, StringType(), True) for c in columns])
-    (
-        spark.read.schema(schema)
-        .option("escape", '"')
-        .csv(src)
-        .write.mode("overwrite")
-        .option("compression", compression)
-        .option("escape", '"')
-        .csv(dst)
-    )
+    lines = spark.read.option("lineSep", "\n").text(src)
+    lines.write.mode("overwrite").option("compression", compression).option("lineSep", "\n").text(dst)
+
+
+def write_with_dups(spark: SparkSession, inputs: Sequence[str], out_dir: str, ratio: float = 0.15, seed: int = 42) -> list[str]:
+    """For each sales CSV, a gzip CSV with drawn rows repeated, in scrambled order: ``out_dir/<base>_with_dups``."""
+    written = []
+    for path in inputs:
+        base = path.rstrip("/").rsplit("/", 1)[-1].removesuffix(".gz").removesuffix(".csv")
+        out = f"{out_dir.rstrip('/')}/{base}_with_dups"
+        # the position in the input draws each row by itself, copies included
+        rows = read_sales_csv(spark, path).withColumn("_at", F.monotonically_increasing_id())
+        injected = inject_duplicates(rows, ratio, seed, id_cols=["_at"], scramble=True).drop("_at")
+        _csv_writer(injected.write.mode("overwrite"), "gzip").csv(out)
+        written.append(out)
+    return written

@@ -3,56 +3,42 @@
 Each run:
 
 1. lists the input directory (distributed ``binaryFile`` listing, metadata
-   only) and anti-joins it with the processed-file log;
-2. reads only the new files, cleans them and removes duplicates;
-3. anti-joins them with the table, and **appends** the remaining rows;
-4. then appends the file paths to the log.
-
-The table is never overwritten while it is being read (an overwrite of the
-path a plan reads can delete the input before it is consumed). Progress is
-recorded only after the data commit; a crash between the two re-reads the
-same files next time and the anti-join turns them into no rows, so runs are
-at-least-once and idempotent. Single writer per table.
+   only), anti-joins it with the processed-file log and writes that list, the
+   drop, to the scratch folder;
+2. reads only the drop's files, counts clean rows and rejects by reason, and
+   writes the distinct clean rows to the scratch folder;
+3. finds those that the table lacks and **appends** them;
+4. then appends the drop's list to the log.
+
+The table is partitioned by a stable bucket of the basket, so that a run reads
+only the buckets that occur in its drop. It is never overwritten while it is
+being read (an overwrite of the path a plan reads can delete the input before
+it is consumed). Progress is recorded only after the data commit; a crash
+between the two re-reads the same files next time and finds no new row in them,
+so runs are at-least-once and idempotent. Single writer per table.
 
 The log is a small Parquet table of ``path, batch_id, ingested_at`` kept on
-the same filesystem as the table, not a local text file.
+the same filesystem as the table, not a local text file. The drop's paths pass
+through the driver, as Spark's readers take and list their paths there.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
-from cobasket.operators.clean import clean_sales
+from cobasket.functions.keys import md5_shard
+from cobasket.operators.clean import clean_sales, reject_reason
 from cobasket.operators.dedup import KEYS, new_rows
-from cobasket.sources.sales import SALES_SCHEMA, list_files, read_sales_csv, read_table_or_empty
-
-# Size estimate of new files once parsed and hashed for a broadcast: gzip
-# text expands about tenfold, and a hashed relation of short strings takes
-# about four times the text.
-GZIP_EXPANSION = 10
-HASHED_FACTOR = 4
-
+from cobasket.session import fits_broadcast, stored
+from cobasket.sources.sales import BASKET, SALES_SCHEMA, list_files, read_sales_csv, read_table_or_empty
 
-def estimated_broadcast_bytes(files: list[tuple[str, int]]) -> int:
-    """Upper-end estimate of the in-memory size of ``(path, length)`` files."""
-    return sum(
-        length * (GZIP_EXPANSION if path.endswith(".gz") else 1) * HASHED_FACTOR
-        for path, length in files
-    )
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: never)."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
-    units = {"b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
-            return int(raw[: -len(suffix)]) * units[suffix]
-    return int(raw)
+#: Buckets of an ingested table; fixed for the table's life.
+BUCKETS = 64
+BUCKET = "bucket"
 
 LOG_SCHEMA = StructType(
     [
@@ -65,10 +51,18 @@ LOG_SCHEMA = StructType(
 
 @dataclass
 class IngestResult:
+    """What a run did: files and rows read, rows rejected by reason, rows appended, and the table's rows after it."""
+
     new_files: list[str]
-    rows_read: int | None
+    rows_read: int
     rows_appended: int
+    table_rows: int
     batch_id: int | None
+    rejected: dict[str, int] = field(default_factory=dict)
+
+
+def bucket_of(basket: Column | str = BASKET) -> Column:
+    return md5_shard(F.coalesce(F.col(basket) if isinstance(basket, str) else basket, F.lit("")), BUCKETS)
 
 
 def load_processed_log(spark: SparkSession, log_path: str) -> DataFrame:
@@ -83,11 +77,9 @@ def find_new_files(spark: SparkSession, input_dir: str, log_path: str) -> DataFr
     return listing.join(done, "path", "left_anti")
 
 
-def append_processed_log(
-    spark: SparkSession, log_path: str, paths: list[str], batch_id: int
-) -> None:
-    rows = spark.createDataFrame([(p, batch_id) for p in paths], "path string, batch_id bigint")
-    rows.withColumn("ingested_at", F.current_timestamp()).write.mode("append").parquet(log_path)
+def _table(spark: SparkSession, table_path: str) -> DataFrame:
+    schema = StructType([*SALES_SCHEMA.fields, StructField(BUCKET, IntegerType(), True)])
+    return read_table_or_empty(spark, table_path, schema)
 
 
 def ingest(
@@ -97,56 +89,51 @@ def ingest(
     log_path: str,
     numeric_products: bool = False,
     partition_by_date: bool = False,
-    count_read: bool = False,
     broadcast_bytes: int | None = None,
 ) -> IngestResult:
     """Run one incremental ingest; see the module docstring.
 
-    ``count_read`` also reports the number of clean rows in the new files
-    (one more pass over those files only). ``broadcast_bytes`` bounds the
-    estimated size of a drop that is broadcast against the table (default:
-    the session's ``spark.sql.autoBroadcastJoinThreshold``; -1 never).
+    ``broadcast_bytes`` bounds the measured size of a drop's distinct rows that
+    is broadcast against the table (default: the session's
+    ``spark.sql.autoBroadcastJoinThreshold``; -1 never).
 
     ``partition_by_date`` adds an ``ingest_date`` column and partitions the
-    table by it (dedup is still on the two keys across all dates).
+    table by it first (dedup is still on the two keys across all dates).
     """
-    new = find_new_files(spark, input_dir, log_path).orderBy("path")
-    # file names and sizes only: the listing is metadata, the data stays distributed
-    found = new.collect()
-    new_files = [r.path for r in found]
-    new_bytes = estimated_broadcast_bytes([(r.path, int(r.length)) for r in found])
-    limit = broadcast_limit(spark) if broadcast_bytes is None else broadcast_bytes
-    if not new_files:
-        return IngestResult([], 0 if count_read else None, 0, None)
-
-    log = load_processed_log(spark, log_path)
-    last = log.agg(F.max("batch_id")).first()[0]
-    batch_id = 0 if last is None else int(last) + 1
+    drop = stored(find_new_files(spark, input_dir, log_path), "drop")
+    paths = [r.path for r in drop.select("path").collect()]
+    table = _table(spark, table_path)
+    if not paths:
+        return IngestResult([], 0, 0, table.count(), None)
 
-    incoming = clean_sales(read_sales_csv(spark, new_files), numeric_products=numeric_products)
-    existing = read_table_or_empty(spark, table_path, SALES_SCHEMA).select(*KEYS)
-
-    # Metrics are observed at the top of the written plan only: AQE may
-    # replace an empty subtree and drop an observation placed inside it.
-    rows_read = incoming.count() if count_read else None
-    obs_out = Observation("ingest_added")
-    # A small drop (estimated from the file sizes) is broadcast and the
-    # table is only scanned; a large one goes through the shuffle plan.
-    small = 0 <= new_bytes <= limit
-    to_add = new_rows(incoming, existing, KEYS, incoming_is_small=small)
-    if partition_by_date:
-        to_add = to_add.withColumn("ingest_date", F.current_date())
-    to_add = to_add.observe(obs_out, F.count(F.lit(1)).alias("rows"))
+    last = load_processed_log(spark, log_path).agg(F.max("batch_id")).first()[0]
+    batch_id = 0 if last is None else int(last) + 1
 
-    writer = to_add.write.mode("append")
+    raw = read_sales_csv(spark, paths)
+    reason = reject_reason(raw, numeric_products=numeric_products)
+    outcome = {r.reason: r.n for r in raw.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    clean = clean_sales(raw, numeric_products=numeric_products).dropDuplicates(list(KEYS))
+    incoming = stored(clean.withColumn(BUCKET, bucket_of()), "incoming")
+
+    # at most BUCKETS values; the filter on the partition column prunes the scan
+    touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]
+    existing = table.where(F.col(BUCKET).isin(touched)).select(*KEYS)
+    to_add = new_rows(incoming, existing, KEYS, incoming_is_small=fits_broadcast(incoming, broadcast_bytes))
+    to_add = stored(to_add.withColumn(BUCKET, bucket_of()), "added")
+    appended = to_add.count()
+    # a few files for each bucket; a large one is split
+    placed = to_add.hint("rebalance", BUCKET)
     if partition_by_date:
-        writer = writer.partitionBy("ingest_date")
-    writer.parquet(table_path)
+        placed = placed.withColumn("ingest_date", F.current_date())
+    by = [*(["ingest_date"] if partition_by_date else []), BUCKET]
+    placed.write.mode("append").partitionBy(*by).parquet(table_path)
 
-    append_processed_log(spark, log_path, new_files, batch_id)
-    return IngestResult(new_files, rows_read, int(obs_out.get.get("rows", 0)), batch_id)
+    entry = drop.select("path", F.lit(batch_id).cast("bigint").alias("batch_id"), F.current_timestamp().alias("ingested_at"))
+    entry.write.mode("append").parquet(log_path)
+    rejected = {k: v for k, v in outcome.items() if k is not None}
+    return IngestResult(paths, sum(outcome.values()), appended, _table(spark, table_path).count(), batch_id, rejected)
 
 
 def read_table(spark: SparkSession, table_path: str) -> DataFrame:
     """Current contents of an ingested table (fresh file listing each call)."""
-    return read_table_or_empty(spark, table_path, SALES_SCHEMA)
+    return read_table_or_empty(spark, table_path, SALES_SCHEMA).select(*KEYS)

@@ -71,6 +71,21 @@ def read_shards(spark: SparkSession, shard_dir: str) -> DataFrame:
     )
 
 
+def read_shard_files(spark: SparkSession, shard_dir: str) -> DataFrame:
+    """A folder of one CSV per shard, ``shard_<i>.csv`` or ``.csv.gz``.
+
+    The ``shard`` column comes from the file's name.
+    """
+    rows = (
+        spark.read.schema(SALES_SCHEMA)
+        .option("header", False)
+        .option("escape", '"')
+        .csv([f"{shard_dir.rstrip('/')}/shard_[0-9]*.csv*"])
+    )
+    number = F.regexp_extract("_metadata.file_path", r"shard_(\d+)\.csv", 1)
+    return rows.select(BASKET, PRODUCT, number.cast("int").alias("shard"))
+
+
 def read_table_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Parquet table at ``path`` with ``schema``, or an empty frame if absent.
 

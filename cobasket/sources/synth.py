@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from cobasket.sources.sales import BASKET, PRODUCT
 
-# Extra draws per basket beyond its size, to absorb repeated draws.
-_SPARE_DRAWS = 8
-
 
 def _h32(*parts: Column) -> Column:
     text = F.concat_ws("|", *[p.cast("string") for p in parts])
@@ -45,26 +42,23 @@ def baskets_for_keys(
 ) -> DataFrame:
     """``basket_id, product_id`` rows: one synthetic basket per row of ``keys``.
 
-    Basket size is ``1 + h(seed, key, 'n') % max_size``; products are the
-    first ``size`` distinct values among ``size + 8`` draws
-    ``h(seed, key, j) % num_products``. With ``num_products`` much smaller
-    than ``max_size + 8`` a basket can come out smaller than drawn.
+    Basket size is ``1 + h(seed, key, 'n') % max_size`` (at most
+    ``num_products``); products are a sample without replacement by Floyd's
+    method: for j from ``num_products - size`` up, draw
+    ``h(seed, key, j) % (j + 1)`` and take j itself if that was taken before.
+    Each step adds one product, so a basket has exactly the drawn size.
     """
-    # Generation costs a dozen md5s per basket; when the key input arrives in
-    # fewer partitions than the cluster can run (one row group, one small
-    # file), spread it first so the work is not serialized in a few tasks.
-    parallelism = keys.sparkSession.sparkContext.defaultParallelism
-    if keys.rdd.getNumPartitions() < parallelism:
-        keys = keys.repartition(parallelism, key)
     k = F.col(key)
     s = F.lit(seed)
     p = num_products if isinstance(num_products, Column) else F.lit(num_products)
-    size = (F.lit(1) + F.pmod(_h32(s, k, F.lit("n")), F.lit(max_size))).cast("int")
-    draws = F.transform(
-        F.sequence(F.lit(0), size + F.lit(_SPARE_DRAWS - 1)),
-        lambda j: F.pmod(_h32(s, k, j), p),
-    )
-    picked = F.slice(F.array_distinct(draws), 1, size)
+    p = p.cast("bigint")
+    size = F.least(F.lit(1) + F.pmod(_h32(s, k, F.lit("n")), F.lit(max_size)), p)
+
+    def take(taken: Column, j: Column) -> Column:
+        drawn = F.pmod(_h32(s, k, j), j + 1)
+        return F.array_append(taken, F.when(F.array_contains(taken, drawn), j).otherwise(drawn))
+
+    picked = F.aggregate(F.sequence(p - size, p - 1), F.array().cast("array<bigint>"), take)
     return keys.select(uuid_text(s, k).alias(BASKET), F.explode(picked).alias("_p")).select(
         BASKET, F.col("_p").cast("string").alias(PRODUCT)
     )

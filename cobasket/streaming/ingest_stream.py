@@ -10,7 +10,8 @@ Two dedup modes:
 ``table``
     ``foreachBatch`` appends the rows of each micro-batch that are not yet in
     the Parquet table (anti-join). The table is the state, so nothing grows
-    in the state store; a replayed batch appends nothing.
+    in the state store; a replayed batch appends nothing. A batch's distinct
+    rows are written to the shared scratch folder once and measured there.
 ``state``
     ``dropDuplicates`` in the streaming state store plus the file sink.
     Without event time the state keeps every key forever, so prefer
@@ -26,8 +27,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from cobasket.operators.dedup import KEYS, new_rows
+from cobasket.session import fits_broadcast, stored
 from cobasket.sources.sales import SALES_SCHEMA, read_table_or_empty
 
+#: Files of one micro-batch.
+MAX_FILES_PER_TRIGGER = 1000
+
 
 def file_stream(
     spark: SparkSession,
@@ -35,12 +40,13 @@ def file_stream(
     fmt: str = "csv",
     schema: StructType = SALES_SCHEMA,
     glob: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
 ) -> DataFrame:
     """A streaming DataFrame over files arriving in ``directory``.
 
     ``glob`` filters file names (e.g. ``"*.csv*"`` or ``"lineitem*.parquet"``);
-    a single-file path is not a valid stream source, its directory is.
+    a single-file path is not a valid stream source, its directory is. A
+    backlog comes in batches of ``max_files_per_trigger`` files (None: at once).
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
@@ -60,11 +66,12 @@ def start_dedup_stream(
     mode: str = "table",
     available_now: bool = True,
     query_name: str | None = None,
-    small_batch_rows: int = 250_000,
+    broadcast_bytes: int | None = None,
 ) -> StreamingQuery:
     """Start a query that keeps ``table_path`` free of duplicate keys.
 
-    In ``table`` mode a micro-batch of at most ``small_batch_rows`` rows is
+    In ``table`` mode a micro-batch whose distinct rows measure at most
+    ``broadcast_bytes`` (default: the session's broadcast threshold) is
     broadcast against the table; a larger one is merged by one aggregation.
     """
     keys = list(keys)
@@ -81,15 +88,13 @@ def start_dedup_stream(
 
         def _append_new(batch: DataFrame, batch_id: int) -> None:
             spark = batch.sparkSession
-            batch = batch.persist()
-            # a checked-small batch probes the table through a broadcast, so
-            # the table is scanned but not shuffled on every trigger
-            small = batch.count() <= small_batch_rows
+            batch = stored(batch.dropDuplicates(keys), "batch")
+            # a small batch probes the table through a broadcast, so the
+            # table is scanned but not shuffled on every trigger
+            small = fits_broadcast(batch, broadcast_bytes)
             existing = read_table_or_empty(spark, table_path, schema)
-            new_rows(batch, existing, keys, incoming_is_small=small).write.mode("append").parquet(
-                table_path
-            )
-            batch.unpersist()
+            added = new_rows(batch, existing, keys, incoming_is_small=small)
+            added.write.mode("append").parquet(table_path)
 
         writer = rows.writeStream.foreachBatch(_append_new)
     else:

@@ -2,7 +2,9 @@
 
 Layout (both Parquet, partitioned by micro-batch id):
 
-* ``rows_path/batch_id=<b>``: the distinct rows that batch ``b`` added;
+* ``rows_path/batch_id=<b>/bucket=<i>``: the distinct rows that batch ``b``
+  added, by a stable bucket of the basket, so that a later batch reads only the
+  buckets that occur in it;
 * ``counts_path/batch_id=<b>``: the count delta of batch ``b``.
 
 Batch ``b`` treats only partitions ``< b`` as old rows and overwrites its
@@ -21,18 +23,19 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from cobasket.operators.cooccur import product_columns
+from cobasket.functions.keys import md5_shard
 from cobasket.operators.dedup import new_rows
 from cobasket.operators.incremental import count_delta, merge_counts
+from cobasket.session import fits_broadcast, stored
 from cobasket.sources.sales import BASKET, PRODUCT, read_table_or_empty
 
-
-# Micro-batches up to this many rows are broadcast when probing stored rows
-# (two bigint keys: a hashed relation of roughly Spark's 10 MB broadcast default).
-DEFAULT_SMALL_BATCH_ROWS = 250_000
+BUCKETS = 32
+BUCKET = "bucket"
 
 
 def _read_partitioned(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    full = StructType(schema.fields + [StructField("batch_id", LongType(), True)])
+    names = {f.name for f in schema.fields}
+    full = StructType(schema.fields + [StructField("batch_id", LongType(), True)] * ("batch_id" not in names))
     return read_table_or_empty(spark, path, full)
 
 
@@ -44,34 +47,37 @@ def apply_batch(
     k: int = 2,
     basket: str = BASKET,
     item: str = PRODUCT,
-    small_batch_rows: int = DEFAULT_SMALL_BATCH_ROWS,
+    broadcast_bytes: int | None = None,
     **cooc_options,
 ) -> None:
     """Fold one micro-batch into the rows and count-delta tables (replay-safe)."""
     spark = batch.sparkSession
     keys = [basket, item]
-    # the batch feeds two writes; keep it instead of re-reading its files
-    batch = batch.select(*keys).persist()
-    # the count fills the cache and bounds the batch, so a small batch can be
-    # broadcast against the stored rows instead of shuffling them
-    small = batch.count() <= small_batch_rows
-    row_schema = batch.schema
-    old = _read_partitioned(spark, rows_path, row_schema).where(F.col("batch_id") < batch_id)
-    # the added rows feed the rows write, the heavy-basket check and the delta
-    added = new_rows(batch, old.select(*keys), keys, incoming_is_small=small).persist()
-    delta = count_delta(
-        added, old.select(*keys), k, basket, item, new_is_small=small, disjoint=True, **cooc_options
+    bucket = md5_shard(F.coalesce(F.col(basket).cast("string"), F.lit("")), BUCKETS)
+    batch = stored(batch.select(*keys).dropDuplicates(keys).withColumn(BUCKET, bucket), "batch")
+    small = fits_broadcast(batch.select(*keys), broadcast_bytes)
+    schema = StructType([*batch.schema.fields, StructField("batch_id", LongType(), True)])
+    # at most BUCKETS values; filters on partition columns prune the scan
+    touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]
+    rows = _read_partitioned(spark, rows_path, schema).where(F.col(BUCKET).isin(touched))
+    old = rows.where(F.col("batch_id") < batch_id).select(*keys)
+    added = new_rows(batch, old, keys, incoming_is_small=small).withColumn(BUCKET, bucket)
+    _write_partition(added, batch_id, rows_path, BUCKET)
+    # read back what was written, so that it isn't found a second time
+    written = _read_partitioned(spark, rows_path, schema).where(F.col("batch_id") == batch_id).select(*keys)
+    delta = count_delta(written, old, k, basket, item, new_is_small=small, disjoint=True, **cooc_options)
+    _write_partition(delta, batch_id, counts_path)
+
+
+def _write_partition(df: DataFrame, batch_id: int, path: str, *by: str) -> None:
+    """Replace the partitions of one batch; an empty batch leaves its id with no rows."""
+    (
+        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id", *by)
+        .parquet(path)
     )
-    for df, path in ((added, rows_path), (delta, counts_path)):
-        (
-            df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
-    added.unpersist()
-    batch.unpersist()
 
 
 def start_pair_count_stream(
@@ -96,8 +102,16 @@ def start_pair_count_stream(
     return writer.start()
 
 
-def read_counts(spark: SparkSession, counts_path: str, k: int, item_type=LongType()) -> DataFrame:
-    """Current counts: the sum of every batch's delta, zero rows dropped."""
+def read_counts(
+    spark: SparkSession, counts_path: str, k: int, item_type=LongType(), must_exist: bool = False
+) -> DataFrame:
+    """Current counts: the sum of every batch's delta, zero rows dropped.
+
+    Before the first batch there is no table: then there are no counts, or an
+    error with ``must_exist``.
+    """
+    if must_exist:
+        spark.read.parquet(counts_path)
     schema = StructType(
         [StructField(c, item_type, True) for c in product_columns(k)]
         + [StructField("baskets", LongType(), True)]

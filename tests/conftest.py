@@ -1,11 +1,10 @@
 from __future__ import annotations
 
-import collections
-import itertools
 import os
 import sys
 import tempfile
 
+import duckdb
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -34,13 +33,21 @@ def baskets_to_rows(baskets: dict) -> list[tuple[str, str]]:
     return [(str(b), str(p)) for b, items in baskets.items() for p in items]
 
 
+def sql_counts(rows, k: int) -> dict:
+    """Counts by DuckDB's self-join of distinct (basket, product) rows: tuples of ints -> baskets."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE sales (basket VARCHAR, product BIGINT)")
+    rows = [(str(b), int(p)) for b, p in rows]
+    if rows:
+        con.executemany("INSERT INTO sales VALUES (?, ?)", rows)
+    ids = [f"t{i}.product" for i in range(k)]
+    joins = "".join(f" JOIN d t{i} ON t{i}.basket = t0.basket AND t{i}.product > t{i - 1}.product" for i in range(1, k))
+    sql = f"WITH d AS (SELECT DISTINCT * FROM sales) SELECT {', '.join(ids)}, count(*) FROM d t0{joins} GROUP BY ALL"
+    return {tuple(r[:-1]): r[-1] for r in con.execute(sql).fetchall()}
+
+
 def brute_force(baskets: dict, k: int) -> dict:
-    """Reference counts: tuples of ints in ascending order -> baskets."""
-    counts: dict = collections.Counter()
-    for items in baskets.values():
-        for combo in itertools.combinations(sorted({int(x) for x in items}), k):
-            counts[combo] += 1
-    return dict(counts)
+    return sql_counts(baskets_to_rows(baskets), k)
 
 
 def as_counts(df) -> dict:

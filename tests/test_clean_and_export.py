@@ -93,11 +93,12 @@ def test_export_preview_and_reencode(spark, tmp):
     with gzip.open(os.path.join(out, part[0]), "rt", newline="") as f:
         text = f.read()
     assert text.startswith("product_1,product_2,baskets\r\n1,2,2\r\n")
-    assert [tuple(r) for r in preview(spark, out, 2, 1).collect()] == [(1, 2, 2)]
+    assert [tuple(r) for r in preview(spark, out, 2, 1).collect()] == [("1", "2", 2)]
+    assert [tuple(r) for r in preview(spark, out, 2, 1, "bigint").collect()] == [(1, 2, 2)]
     assert read_counts_csv(spark, out, 2).count() == 2
     plain = os.path.join(tmp, "plain")
-    reencode_csv(spark, out, plain, "none", columns=("product_1", "product_2", "baskets"))
-    assert any(f.endswith(".csv") for f in os.listdir(plain))
+    reencode_csv(spark, out, plain, "none")
+    assert spark.read.text(plain).count() == 3
 
 
 def test_empty_result_writes_header_only(spark, tmp):
@@ -106,3 +107,45 @@ def test_empty_result_writes_header_only(spark, tmp):
     part = [f for f in os.listdir(out) if f.startswith("part-")]
     with gzip.open(os.path.join(out, part[0]), "rt") as f:
         assert f.read().strip() == "product_1,product_2,baskets"
+
+
+def test_reencode_copies_lines_as_they_are(spark, tmp):
+    src, dst = os.path.join(tmp, "src"), os.path.join(tmp, "dst")
+    os.makedirs(src)
+    text = ' b1 ,7,extra\r\n"",\n,"",\t x\n"q""x",8\n'
+    _write(os.path.join(src, "a.csv.gz"), text, gz=True)
+    reencode_csv(spark, src, dst, "none")
+    parts = [os.path.join(dst, f) for f in os.listdir(dst) if f.startswith("part-")]
+    assert "".join(open(p, newline="").read() for p in parts) == text
+
+
+def test_padded_values_keep_their_text_and_their_shard(spark, tmp):
+    df = sales_df(spark, [(" b1\t", " 7 "), ("b1", "8"), ("b1 ", "")])
+    write_shards(df, tmp + "/s", 16)
+    back = read_shards(spark, tmp + "/s")
+    assert sorted((r.basket_id, r.product_id) for r in back.collect() if r.product_id) == [(" b1\t", " 7 "), ("b1", "8")]
+    assert back.select("shard").distinct().count() == 1
+
+
+def test_a_repeated_row_spreads_over_files(spark, tmp):
+    df = spark.range(4000).select(F.lit("b").alias("basket_id"), F.lit("1").alias("product_id"))
+    write_shards(df, tmp + "/s", 1, files_per_shard=8)
+    sizes = [r.n for r in read_shards(spark, tmp + "/s").groupBy("_metadata.file_name").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.5 * min(sizes)
+
+
+def test_text_ids_survive_an_export(spark, tmp):
+    df = sales_df(spark, [("a", "01"), ("a", "2"), ("b", "01"), ("b", "2"), ("c", "1"), ("c", "x y")])
+    write_counts_csv(cooccurrence(df, 2, strict=False), tmp + "/p")
+    assert sorted(map(tuple, read_counts_csv(spark, tmp + "/p", 2).collect())) == [("01", "2", 2), ("1", "x y", 1)]
+
+
+def test_files_with_duplicates_are_named_after_their_inputs(spark, tmp):
+    from cobasket.plans.export import write_with_dups
+
+    for name in ("one.csv", "two.csv"):
+        _write(os.path.join(tmp, name), "".join(f"{name}{i},{i}\n" for i in range(500)))
+    out = write_with_dups(spark, [tmp + "/one.csv", tmp + "/two.csv"], tmp + "/out", ratio=0.2)
+    assert [os.path.basename(p) for p in out] == ["one_with_dups", "two_with_dups"]
+    counts = read_sales_csv(spark, out).groupBy("basket_id").count().collect()
+    assert len(counts) == 1000 and {r["count"] for r in counts} == {1, 2} and 120 < sum(r["count"] for r in counts) - 1000 < 280

@@ -54,7 +54,7 @@ def _drop(path, name, rows):
 def test_ingest_incremental_idempotent(spark, tmp):
     inbox, table, log = (os.path.join(tmp, x) for x in ("inbox", "table", "log"))
     _drop(inbox, "d1.csv", [("b1", "1"), ("b1", "1"), ("b1", "2")])
-    r1 = ingest(spark, inbox, table, log, count_read=True)
+    r1 = ingest(spark, inbox, table, log)
     assert (len(r1.new_files), r1.rows_read, r1.rows_appended, r1.batch_id) == (1, 3, 2, 0)
     # no new file: nothing read, nothing written
     r2 = ingest(spark, inbox, table, log)
@@ -64,7 +64,15 @@ def test_ingest_incremental_idempotent(spark, tmp):
     r3 = ingest(spark, inbox, table, log)
     assert (r3.rows_appended, r3.batch_id) == (1, 1)
     assert sorted(tuple(r) for r in read_table(spark, table).collect()) == [("b1", "1"), ("b1", "2"), ("b2", "1")]
-    assert load_processed_log(spark, log).count() == 2
+    assert (r1.table_rows, r2.table_rows, r3.table_rows, r1.rejected) == (2, 2, 3, {})
+    # rejects are reported by reason, with the rows read and the table's total
+    _drop(inbox, "d3.csv", [("", "1"), ("b9", " "), ("b3", "4")])
+    r4 = ingest(spark, inbox, table, log, broadcast_bytes=-1)
+    assert (r4.rows_read, r4.rows_appended, r4.table_rows, r4.rejected) == (3, 1, 4, {"empty_basket": 1, "missing_product": 1})
+    assert load_processed_log(spark, log).count() == 3
+    # the table's buckets prune the scan
+    plan = read_table(spark, table).sparkSession.read.parquet(table).where("bucket = 3")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan
     # files that are not CSV are ignored
     _drop(inbox, "notes.txt", [("x", "9")])
     assert ingest(spark, inbox, table, log).new_files == []
