@@ -84,7 +84,7 @@ def test_lines_that_share_everything(spark):
     rows = [(i, f"{same}\n\n {same.upper()}\nshort\nÄ{'ä' * 18}\nown {i}") for i in range(40)] + [(5, "short\nshort")]
     got = lines.digest(lines.dedup_lines(frame(spark, rows))).collect()
     assert sorted(map(tuple, got), key=str) == plain_lines(rows)
-    assert {r.doc_id for r in got if r.n_dropped == 0 and r.n_lines == 6} == set()
+    assert {r.doc_id for r in got if r.n_dropped == 0 and r.n_lines == 6} == {39}
 
 
 def test_lines_by_sql_and_other_columns(spark, corpus, empty):
@@ -154,7 +154,7 @@ def test_thresholds_follow_each_group(spark):
         words = [f"w{(i * 7 + j * 13) % 97}x{j}" for j in range(50)]
         code, junk = i % 3 == 0, i % 30 == 1
         marks = (20 + i % 5 if code else 30 if junk else i % 2)
-        rows.append((i, " ".join(words) + " #" * marks, "en", "code" if code else "web", 0))
+        rows.append((i, " ".join(w + "#" * (j < marks) for j, w in enumerate(words)), "en", "code" if code else "web", 0))
     rows += [(10_000, "plain words " * 3, None, None, 0), (10_001, " ".join(f"lone{i}" for i in range(30)), "xx", None, 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = {r.doc_id: r.kept for r in rules.report(docs).collect()}

@@ -67,8 +67,8 @@ def test_signatures_estimate_the_probability_jaccard():
     a, b = draw.integers(1, 5, 60).astype(float), draw.integers(1, 5, 60).astype(float)
     a[:10], b[50:] = 0, 0
     exact = sum(1 / sum(np.maximum(a / a[i], b / b[i])) for i in range(60) if a[i] and b[i])
-    s = near.signatures([keys[a > 0], keys[b > 0], keys[:0], keys[:1]], [a[a > 0], b[b > 0], a[:0], np.ones(1)], 4000)
-    assert abs((s[0] == s[1]).mean() - exact) < 0.04
+    s = near.signatures([keys[a > 0], keys[b > 0], keys[:0], keys[:1]], [a[a > 0], b[b > 0], a[:0], np.ones(1)], 2000)
+    assert abs((s[0] == s[1]).mean() - exact) < 0.05
     assert not s[2].any() and (s[3] == keys[0]).all()
 
 

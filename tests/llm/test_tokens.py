@@ -65,7 +65,7 @@ def test_quantise_keeps_rare_symbols():
 def test_files_hold_all_ids_in_order(spark, request, name):
     docs = request.getfixturevalue(name)
     path = scratch_path(spark, "t")
-    tokens.write_tokens(docs, path, block_tokens=5000, partitions=3)
+    tokens.write_tokens(docs, path, block_tokens=500, partitions=3)
     got = sorted(tokens.read_tokens(spark, path, with_ids=True).collect(), key=lambda r: r.start)
     rows = sorted(((r.doc_id, r.text) for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
     start = 0
