@@ -7,6 +7,7 @@ ASCII characters, so texts stay UTF-8 bytes and are never decoded for it.
 from __future__ import annotations
 
 import os
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -127,6 +128,9 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # lower-case ASCII letters reach the model as they are, which saves the steps before it
+        plain = ["the", "zebra", "q", "counterclockwise"]
+        self.direct = all([t.id for t in self.tokenizer.model.tokenize(x)] == self.tokenizer.encode(x, add_special_tokens=False).ids for x in plain)
         self.stems: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}  # the stems of before; those in use come back
 
@@ -151,6 +155,15 @@ class WordIds(dict):
                     new.append(w)
                 else:
                     self.stems[w] = known
+        if self.direct:
+            model, rest = self.tokenizer.model, []
+            for w in new:
+                if w.isalpha() and w.islower():
+                    ids = [t.id for t in model.tokenize(w.decode())]
+                    self.stems[w] = struct.pack(f"<{len(ids)}I", *ids)
+                else:
+                    rest.append(w)
+            new = rest
         for lo in range(0, len(new), 20_000):
             some = new[lo : lo + 20_000]
             found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)
