@@ -126,7 +126,8 @@ def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
             sets = [np.unique(shingles(t.split())).astype("<u8").tobytes() for t in texts]
             yield pa.record_batch([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
 
-    wanted = ids.select(F.col("doc_id").alias("wanted"))
+    # the ids grow with the input: merged at every size, never broadcast
+    wanted = ids.select(F.col("doc_id").alias("wanted")).hint("merge")
     return docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi").mapInArrow(run, _SETS)
 
 
@@ -171,10 +172,10 @@ def verify(pairs: DataFrame, sets: DataFrame, least: float, block: int = BLOCK)
 
     def run(table: pa.Table) -> pa.Table:
         ids = table.column("member").to_pylist()
-        hub = ids.index(None)
-        found = Sets(table.column("shingles").to_pylist()).similar(hub, np.array([i for i in range(len(ids)) if i != hub], np.int64), least)
-        name = table.column("hub")[0].as_py()
-        return _links([(max(name, ids[i]), min(name, ids[i])) for i in found])
+        sets, name = Sets(table.column("shingles").to_pylist()), table.column("hub")[0].as_py()
+        members = np.array([i for i, x in enumerate(ids) if x is not None], np.int64)
+        found = {ids[k] for i, x in enumerate(ids) if x is None for k in sets.similar(i, members, least)}
+        return _links([(max(name, x), min(name, x)) for x in sorted(found)])
 
     return members.unionByName(hubs).groupBy("hub", "part").applyInArrow(run, _LINKS)
 
@@ -247,8 +248,8 @@ def classes(docs: DataFrame, least: float = MIN_SIMILARITY, bands: int = BANDS,
     pairs = few.where("hub < member").unionByName(many.where("hub <> member")).select(F.least("hub", "member").alias("x"), F.greatest("hub", "member").alias("y"), "hub").groupBy("x", "y").agg(F.min("hub").alias("hub"))
     pairs = _stored(pairs.select("hub", (F.col("x") + F.col("y") - F.col("hub")).alias("member")), "pairs")
     ids = pairs.select(F.explode(F.array("hub", "member")).alias("doc_id")).distinct()
-    # rows of one doc_id may differ in text: each set belongs to the doc_id's representative text
-    sets = _stored(shingle_sets(docs, ids).groupBy("doc_id").agg(F.min("shingles").alias("shingles")), "shingle-sets")
+    # rows of one doc_id may differ in text: then each of them stands for it
+    sets = _stored(shingle_sets(docs, ids), "shingle-sets")
     links = _stored(verify(pairs, sets, least, block), "verified")
     found = _stored(components(links), "classes")
     # what large buckets hold beyond one class
