@@ -191,7 +191,10 @@ def label_model(v: np.ndarray, prior: float, begin: np.ndarray | None = None, ro
     n, m = v.shape
     prior = min(max(prior, 1e-3), 1 - 1e-3)
     one = [v == k for k in (-1, 0, 1)]
-    post = np.where((v > 0).any(1), 0.9, np.where((v < 0).any(1), 0.1, prior)) if begin is None else np.clip(begin, 0.05, 0.95)
+    if begin is None:  # the share of class 1, from the rows with the most votes for it
+        begin = np.zeros(n)
+        begin[np.argsort(-v.sum(1), kind="stable")[: round(prior * n)]] = 1
+    post = np.clip(begin, 0.05, 0.95)
     weight, correlation = np.ones(m), np.eye(m)
     model = None
     for r in range(rounds):
