@@ -5,11 +5,15 @@ rate, per language and source, replace fixed cutoffs. A sketch is a count for
 each logarithmic bin of ratio ``GAMMA`` (quantiles are then right to 1 %):
 sketches merge by adding their counts, so they come from one aggregation with
 partial sums, do not depend on the order of rows, and those of a language or of
-all documents are sums of those of its sources. A rate fails if it lies above
-the upper quartile by more than ``FENCE`` interquartile ranges and the rate's
-slack, the least spread that counts as one. A (lang, source) of fewer than
-``MIN_ROWS`` documents takes its language's sketch, and such a language that of
-all documents.
+all documents are sums of those of its sources, in which a source weighs as
+``MIN_ROWS`` documents at most, so that a hot one does not set the limits of the
+others. A rate fails if it lies above the upper quartile by more than ``FENCE``
+interquartile ranges and the rate's slack, the least spread that counts as one.
+The upper quartile is the lower one mirrored at the median: what makes up less
+than half of a group, at its upper end, is no part of the spread. A (lang,
+source) of fewer than ``MIN_ROWS`` documents takes its language's sketch, and
+such a language that of all documents. In a group that is junk by more than half,
+junk is what is usual.
 
 Defined results: a null text has no words; an empty text fails the base rule; a
 null lang or source is a group of its own; repeated rows are judged each; an
@@ -20,7 +24,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cobasket.session import scratch_path
@@ -36,6 +40,8 @@ MIN_ROWS = 200
 RATES = {"symbol_rate": 0.1, "mark_rate": 0.25, "dup_line_rate": 0.3, "repeat_rate": 0.15}
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _ZERO = -(2**30)
+#: Weights are whole numbers, so that their sums do not depend on the order of rows.
+_WHOLE = 1_000_000
 
 
 def _occurrences(text: Column, chars: str) -> Column:
@@ -98,17 +104,24 @@ def sketches(measured: DataFrame) -> DataFrame:
     return long.groupBy("lang", "source", F.col("x.rate").alias("rate"), place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def quantiles(sketch: DataFrame, keys: list[str], shares: dict[str, float]) -> DataFrame:
-    """keys, rate, rows, and a column for each share; sketches of the same keys are merged."""
-    merged = sketch.groupBy(*keys, "rate", "bin").agg(F.sum("n").alias("n"))
+def weighted(sketch: DataFrame, most: int) -> DataFrame:
+    """The sketches with a weight beside n, of ``most`` documents at most for each source."""
+    rows = F.sum("n").over(Window.partitionBy("lang", "source", "rate"))
+    return sketch.withColumn("weight", F.round(F.col("n") * (_WHOLE * F.least(F.lit(1.0), most / rows))).cast("long"))
+
+
+def quantiles(sketch: DataFrame, keys: list[str], shares: dict[str, float], weight: str = "n") -> DataFrame:
+    """keys, rate, rows, and a column for each share of the weight; sketches of the same keys are merged."""
+    merged = sketch.groupBy(*keys, "rate", "bin").agg(F.sum("n").alias("n"), F.sum(weight).alias("w"))
     # a sketch has a few hundred bins, whatever it counts
-    bins = merged.groupBy(*keys, "rate").agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins"), F.sum("n").alias("rows"))
+    sums = [F.sum("n").alias("rows"), F.sum("w").alias("total")]
+    bins = merged.groupBy(*keys, "rate").agg(F.sort_array(F.collect_list(F.struct("bin", "w"))).alias("bins"), *sums)
     start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("int").alias("bin"))
 
     def at(share: float) -> Column:
         def step(a: Column, x: Column) -> Column:
-            seen = a["seen"] + x["n"]
-            return F.struct(seen.alias("seen"), F.coalesce(a["bin"], F.when(seen >= F.col("rows") * share, x["bin"])).alias("bin"))
+            seen = a["seen"] + x["w"]
+            return F.struct(seen.alias("seen"), F.coalesce(a["bin"], F.when(seen >= F.col("total") * share, x["bin"])).alias("bin"))
 
         found = F.aggregate("bins", start, step)["bin"]
         return F.when(found == _ZERO, 0.0).otherwise(2 * F.pow(F.lit(GAMMA), found) / (GAMMA + 1))
@@ -121,14 +134,19 @@ def thresholds(measured: DataFrame, fence: float = FENCE, min_rows: int = MIN_RO
     path = scratch_path(measured.sparkSession, "sketches")
     sketches(measured).write.parquet(path)
     sketch = measured.sparkSession.read.parquet(path)
-    shares = {"q1": 0.25, "q3": 0.75}
+    shares = {"q1": 0.25, "mid": 0.5}
+    level = weighted(sketch, min_rows)
+    renamed = lambda to: [F.col(c).alias(f"{to}_{c}") for c in ("rows", *shares)]
     own = quantiles(sketch, ["lang", "source"], shares)
-    lang = quantiles(sketch, ["lang"], shares).select(F.col("lang").alias("l"), F.col("rate").alias("lr"), *[F.col(c).alias(f"l_{c}") for c in ("rows", "q1", "q3")])
-    every = quantiles(sketch, [], shares).select(F.col("rate").alias("ar"), *[F.col(c).alias(f"a_{c}") for c in ("rows", "q1", "q3")])
+    lang = quantiles(level, ["lang"], shares, "weight")
+    lang = lang.select(F.col("lang").alias("l"), F.col("rate").alias("lr"), *renamed("l"))
+    every = quantiles(level, [], shares, "weight")
+    every = every.select(F.col("rate").alias("ar"), *renamed("a"))
     both = own.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("rate") == F.col("lr"))).join(every, F.col("rate") == F.col("ar"))
     pick = lambda c: F.when(F.col("rows") >= min_rows, F.col(c)).when(F.col("l_rows") >= min_rows, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}"))
     slack = F.create_map(*[F.lit(x) for pair in RATES.items() for x in pair])[F.col("rate")]
-    top = both.select("lang", "source", "rate", (pick("q3") + fence * (pick("q3") - pick("q1")) + slack).alias("top"))
+    half = pick("mid") - pick("q1")
+    top = both.select("lang", "source", "rate", (pick("mid") + half + fence * 2 * half + slack).alias("top"))
     return top.groupBy(F.col("lang").alias("t_lang"), F.col("source").alias("t_source")).agg(*[F.max(F.when(F.col("rate") == r, F.col("top"))).alias(f"{r}_top") for r in RATES])
 
 

@@ -162,6 +162,23 @@ def test_thresholds_follow_each_group(spark):
     assert not got[10_000] and got[10_001]
 
 
+@pytest.mark.parametrize("share", [30, 45])
+def test_a_hot_source_with_much_junk(spark, share):
+    """Junk goes, also that of sources below MIN_ROWS whose language is mostly the hot source's; clean texts stay."""
+    rows, junk = [], set()
+    for i in range(2500):
+        source, of_100 = ("hot", share) if i < 1000 else ("mostly", 80) if i < 2200 else (f"small{i % 3}", 10)
+        marks = i % 3
+        if i * 37 % 100 < of_100:
+            marks = 30 + i % 60
+            junk.add(i)
+        rows.append((i, " ".join(f"w{(i * 7 + j * 13) % 97}x{j}" + "#" * (marks // 50 + (j < marks % 50)) for j in range(50)), "en", source, 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    gone = {r.doc_id for r in rules.report(docs).collect() if not r.kept}
+    others = set(range(1000)) | set(range(2200, 2500))
+    assert gone & others == junk & others
+
+
 def test_sketch_quantiles_are_right_to_two_percent(spark):
     values = [0.0] * 40 + [0.001 * 1.07**i for i in range(160)]
     rows = [("l", "s", *[v] * 4) for v in values]
