@@ -5,8 +5,10 @@ name, ``:`` or ``=``, a value of 6 or more characters), ``access`` (AKIA keys of
 20 or more) and ``hex`` (lower-case hexadecimal runs of 24 or more).
 
 The method adds ``value``: what follows a credential name in wider contexts
-(more names, any characters up to white space or the closing quote), where no
-base span lies, if it would take an attacker at least ``10**MIN_COST`` guesses.
+(more names, any characters up to white space or, with white space, to the
+closing quote), if it would take an attacker at least ``10**MIN_COST`` guesses.
+A value of which one base span covers all is not listed again; else it may
+overlap base spans.
 The cost of a value is that of its cheapest segmentation into dictionary words
 (rank, case and letter substitutions), dates, repeats of a unit, keyboard walks
 and brute-force characters, found by dynamic programming over positions; costs
@@ -170,15 +172,16 @@ def scan(text: bytes) -> tuple[list[tuple[int, int, int]], list[float]]:
     added, costs = [], []
     if any(x in lower for x in _CONTEXT_NAMES):
         taken = sorted((a, b) for a, _, b in base)
-        at = 0
+        at = reach = 0
         for m in CONTEXT.finditer(text):
             a, b = m.span(m.lastindex)
-            while at < len(taken) and taken[at][1] <= a:
+            while at < len(taken) and taken[at][0] <= a:
+                reach = max(reach, taken[at][1])
                 at += 1
-            if at < len(taken) and taken[at][0] < b:
+            if reach >= b:
                 continue
             value = text[a:b].decode("utf-8", "replace")
-            if len(value) >= MIN_VALUE and " " not in value and (cost := guess_cost(value)) >= MIN_COST:
+            if len(value) >= MIN_VALUE and (cost := guess_cost(value)) >= MIN_COST:
                 added.append((a, 3, b))
                 costs.append(cost)
     return sorted(base + added), costs

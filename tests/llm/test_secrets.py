@@ -62,6 +62,22 @@ def test_tricky_texts(spark):
     assert values[3][0] == "kX9#vQ2m!zR7" and "summer2020" not in values[3]
 
 
+PARTLY = {
+    "password=hunter2x!Q9#z now": ["hunter2x!Q9#z"],
+    'token: "kX9vQ2mz!zR7#p", secret=kX9vQ2mzR7p and': ["kX9vQ2mz!zR7#p"],
+    "api_key=0123456789abcdef01234567Z#x9 pwd=0123456789abcdef01234567": ["0123456789abcdef01234567Z#x9"],
+    'é passphrase: "correct zebra Quantum9 staple"': ["correct zebra Quantum9 staple"],
+    "secret = 'kX9vQ2mz and zR7#p'": ["kX9vQ2mz and zR7#p"],
+    'password: "password password password" pass: "a b"': [],
+}
+
+
+def test_values_that_base_spans_cover_in_part_and_values_with_spaces(spark):
+    texts = list(PARTLY)
+    rows = secrets.find_secrets(frame(spark, list(enumerate(texts)))).collect()
+    assert {texts[r.doc_id]: check(r, texts[r.doc_id]) for r in rows} == PARTLY
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(["token", "password", "API_key", "=", ":", " ", '"', "'", "abc", "AKIA", "0f" * 6, "Z9Z9Z9", "é", "\n", "secret"]), max_size=14).map("".join))
 def test_base_spans_of_random_texts(text):
