@@ -1,11 +1,13 @@
 """Near duplicates: ProbMinHash signatures, banding, exact verification, classes.
 
-Shingles are five consecutive words (fewer words: the whole sequence); a
-shingle weighs 1 + ln(count). ProbMinHash lets each shingle arrive again and
+Shingles are five consecutive words (fewer words: the whole sequence); each
+distinct shingle weighs 1, however often it occurs, as links are by the sets too:
+with weights by count, texts that repeat a section would not meet those that do
+not. ProbMinHash lets each shingle arrive again and
 again, by a Poisson process of rate its weight; each arrival draws one of the
 registers, which keeps the earliest arrival and its shingle, and a shingle stops
 once it is later than every register. Two texts agree in a register with the
-probability Jaccard of their weights. ``BANDS`` bands of ``ROWS`` registers give
+probability Jaccard of their weights, here that of the sets. ``BANDS`` bands of ``ROWS`` registers give
 candidates; a pair is linked if the exact Jaccard similarity of the two shingle
 sets is at least ``MIN_SIMILARITY``. Classes are the connected components.
 
@@ -100,9 +102,8 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
             keys, weights, names = [], [], []
             for text in texts:
                 words = text.split()
-                key, count = np.unique(shingles(words), return_counts=True)
-                keys.append(key)
-                weights.append(1 + np.log(count))
+                keys.append(np.unique(shingles(words)))
+                weights.append(np.ones(len(keys[-1])))
                 names.append(xxhash.xxh3_128_digest(b" ".join(words)))
             own = band_keys(signatures(keys, weights, bands * rows), bands, rows).view(np.int64)
             listed = pa.ListArray.from_arrays(pa.array(np.arange(0, own.size + 1, bands), pa.int32()), pa.array(own.ravel()))

@@ -61,6 +61,19 @@ def test_a_large_cluster_of_near_copies(spark, small, block):
     assert {r.doc_id: r.class_id for r in got} == plain_classes(rows)
 
 
+def test_copies_that_repeat_a_section(spark):
+    """Set similarity 0.8 or a little more, a section of one text alone repeated 5 to 50 times."""
+    rows = []
+    for i in range(200):
+        words = [f"w{i}x{j}" for j in range(400)]
+        section = " ".join(words[:100])
+        times = (5, 10, 50)[i % 3]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([section] * times + words[100:330 + i % 20]))]
+    got = {r.doc_id: r.class_id for r in near.classes(frame(spark, rows).repartition(4)).collect()}
+    assert got == plain_classes(rows)
+    assert sum(got[2 * i + 1] == 2 * i for i in range(200)) == 200
+
+
 def test_signatures_estimate_the_probability_jaccard():
     draw = np.random.default_rng(1)
     keys = draw.integers(1, 2**63, 60).astype(np.uint64)
