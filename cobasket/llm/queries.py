@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cobasket.llm import leaks, lines, near, packing, quality_rank, rules, secrets, substrings, tokens, toxicity
+from cobasket.llm import align, audit, langid, leaks, lines, near, packing, quality_rank, rules, secrets, substrings, tokens, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -63,15 +63,32 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(_table(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters keep and remove at each step of all their orders, by source."""
+    return audit.audit(_table(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document: doc_id, held_out, lang_pred, score."""
+    return langid.languages(_table(spark, sf_dir))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers line up in every document."""
+    return align.align(_table(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_secrets, op3_quality_rank, op4_toxicity, op5_packing,
         op6_substring_dedup, op7_line_dedup, op8_minhash, op9_quality_rules, op10_decontamination,
+        op11_filter_audit, op12_language_id, op13_token_alignment,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op6_substring_dedup": substrings.ORACLE,
     "op7_line_dedup": lines.ORACLE,
+    "op11_filter_audit": audit.ORACLE,
 }
