@@ -36,7 +36,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -51,10 +51,13 @@ from cobasket.session import stored
 CACHE_BYTES = 96 << 20
 #: A unit of more characters is not remembered.
 LONG = 64
+#: Characters of units that are encoded as one text.
+RUN = 2048
 #: Characters that are or may count as white space, or stand for it, in one of the tokenizers.
 _BLANK = r"\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u2581\u3000\ufeff"
 #: A space behind any other character, and not at the end.
 _CUT = re.compile(rf" (?<=[^{_BLANK}] )(?!\Z)")
+_BLANK_END = re.compile(rf"[{_BLANK}]\Z")
 _ODD = re.compile(rf"[{_BLANK}] ")
 _BLOCKS = (
     "block long, doc_ids binary, doc_nulls binary, numbers binary, hashes binary, units binary, unit_ends binary, "
@@ -71,49 +74,53 @@ def byte_letters() -> dict[str, int]:
     return out
 
 
-def token_ends(spans: list[tuple[int, int]], pieces: list[bytes]) -> list[int]:
-    """Where tokens end: at the end of a span that fits the token's bytes, else as many bytes on as the token has."""
-    out, at = [], 0
-    for (lo, hi), piece in zip(spans, pieces, strict=True):
-        at = hi if lo == at and hi - lo == len(piece) else at + len(piece)
-        out.append(at)
-    return out
+def token_ends(lo: np.ndarray, hi: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Where tokens of byte spans ``lo`` to ``hi`` end.
+
+    A span that ends where the next one begins, and where the decoded bytes end too, is
+    a cut. Between cuts, tokens end as many bytes on as they decode to.
+    """
+    exact = np.cumsum(sizes)
+    cut = (hi > lo) & np.append(hi[:-1] <= lo[1:], True)[: len(hi)] & (hi == exact)
+    at = np.flatnonzero(cut)
+    run = np.searchsorted(at, np.arange(len(hi)))
+    before = np.concatenate([[0], hi[at]])[run], np.concatenate([[0], exact[at]])[run]
+    return np.where(cut, hi, before[0] + exact - before[1])
 
 
-def byte_spans(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Character spans as byte spans."""
-    if text.isascii():
-        return spans
-    at = [0]
-    for c in text:
-        at.append(at[-1] + len(c.encode("utf-8")))
-    return [(at[lo], at[hi]) for lo, hi in spans]
+def byte_places(text: str) -> np.ndarray:
+    """The byte at which each character of a text begins, and the text ends."""
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    sizes = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
+    return np.concatenate([[0], np.cumsum(sizes)])
 
 
-@dataclass(slots=True)
-class Unit:
-    """A unit's tokens: how many, their groups as text, and the id pairs of its links (A's id in the high half)."""
+#: A unit's tokens: how many of A and B, how many groups and links, the groups as text, and the id pairs of its
+#: links as packed uint64, A's id in the high half. A plain tuple, as a process holds very many of them.
+Unit = tuple[int, int, int, int, bytes, bytes]
+NO_TOKENS: Unit = (0, 0, 0, 0, b"", b"")
 
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: bytes
-    links: np.ndarray
 
+def line_up(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray, unit_ends: np.ndarray) -> list[Unit]:
+    """Groups and links of two token rows over the same bytes, for each of the units that end at ``unit_ends``."""
+    shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
+    # bytes between neighbouring ends belong to one token of either
+    ends = np.union1d(a_ends, b_ends)
+    links = a[np.searchsorted(a_ends, ends)].astype(np.uint64) << np.uint64(32) | b[np.searchsorted(b_ends, ends)].astype(np.uint64)
+    a_group, b_group = np.searchsorted(shared, a_ends), np.searchsorted(shared, b_ends)
+    order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+    a_marks, b_marks = np.where(_last(a_group), "|", ","), np.where(_last(b_group), ";", ",")
+    texts = [f"{i}{m}" for i, m in zip(np.concatenate([a, b])[order].tolist(), np.concatenate([a_marks, b_marks])[order].tolist(), strict=True)]
+    at = [np.searchsorted(x, unit_ends, side="right") for x in (a_ends, b_ends, shared, ends)]
+    tokens, places, packed = [0, *(at[0] + at[1]).tolist()], [0, *(8 * at[3]).tolist()], links.tobytes()
+    groups = ["".join(texts[lo:hi])[:-1].encode() for lo, hi in pairwise(tokens)]
+    pairs = [packed[lo:hi] for lo, hi in pairwise(places)]
+    return list(zip(*(np.diff(x, prepend=0).tolist() for x in at), groups, pairs, strict=True))
 
-def line_up(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> Unit:
-    """Groups and links of two token rows over the same bytes."""
-    groups, links = [], []
-    i = j = first_a = first_b = 0
-    while i < len(a):
-        links.append(a[i] << 32 | b[j])
-        here, there = a_ends[i], b_ends[j]
-        if here == there:
-            groups.append(",".join(map(str, a[first_a : i + 1])) + "|" + ",".join(map(str, b[first_b : j + 1])))
-            first_a, first_b = i + 1, j + 1
-        i += here <= there
-        j += there <= here
-    return Unit(len(a), len(b), len(groups), ";".join(groups).encode(), np.array(links, np.uint64))
+
+def _last(group: np.ndarray) -> np.ndarray:
+    """Whether each entry is the last of its run."""
+    return np.append(group[1:] != group[:-1], True)[: len(group)]
 
 
 class Aligner(dict):
@@ -130,13 +137,16 @@ class Aligner(dict):
         self.b = SentencePieceProcessor(model_file=b_path)
         letters = byte_letters()
         vocabulary = self.a.get_vocab()
-        self.a_bytes = {i: bytes(letters[c] for c in t) for t, i in vocabulary.items() if all(c in letters for c in t)}
-        for special in self.a.get_added_tokens_decoder():
-            self.a_bytes.pop(special, None)
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        special = self.a.get_added_tokens_decoder()
+        for t, i in vocabulary.items():
+            if i not in special and all(c in letters for c in t):
+                self.a_bytes[i] = bytes(letters[c] for c in t)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode("utf-8") for i, p in enumerate(pieces)]
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("\u2581", " ").encode("utf-8") for i, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = (np.array([len(t) for t in table], np.int64) for table in (self.a_bytes, self.b_bytes))
         # a token with such a space would join units
-        self.cuts = not any(_CUT.search(t.decode("utf-8", "replace") + "x") for t in [*self.a_bytes.values(), *self.b_bytes])
+        self.cuts = not any(_CUT.search(t.decode("utf-8", "replace") + "x") for t in [*self.a_bytes, *self.b_bytes])
         self.held = 0
 
     def split(self, text: str) -> list[str]:
@@ -147,24 +157,56 @@ class Aligner(dict):
             return text.split(" ")
         return _CUT.split(text)
 
+    def runs(self, units: list[str]) -> list[list[str]]:
+        """Units to encode as one text each: those that end in a blank, or are long, alone."""
+        out, run, held = [], [], 0
+        for u in units:
+            if not self.cuts or len(u) > RUN or _BLANK_END.search(u):
+                out.append([u])
+                continue
+            run.append(u)
+            held += len(u) + 1
+            if held > RUN:
+                out.append(run)
+                run, held = [], 0
+        return [*out, run] if run else out
+
     def learn(self, units: list[str]) -> dict[str, Unit | None]:
         """The given units, encoded."""
-        out = {}
-        whole = [" " + u for u in units]
-        for u, text, a, b in zip(
-            units, whole, self.a.encode_batch(whole, add_special_tokens=False), self.b.encode(units, return_type="proto"), strict=True
-        ):
-            raw = text.encode("utf-8")
-            a_ids, b_ids = a.ids, [p.id for p in b.pieces]
-            a_pieces, b_pieces = [self.a_bytes.get(i, b"") for i in a_ids], [self.b_bytes[i] for i in b_ids]
-            if b"".join(a_pieces) != raw or b"".join(b_pieces) != raw:
-                out[u] = None
-                continue
-            # the space that B puts before a text has no byte in its spans
-            b_spans = [(p.begin + (k > 0), p.end + 1) for k, p in enumerate(b.pieces)]
-            out[u] = line_up(a_ids, token_ends(byte_spans(text, a.offsets), a_pieces), b_ids, token_ends(b_spans, b_pieces))
+        out: dict[str, Unit | None] = {}
+        runs = self.runs(units)
+        while runs:
+            whole = [" " + " ".join(run) for run in runs]
+            a, b = self.a.encode_batch(whole, add_special_tokens=False), self.b.encode([w[1:] for w in whole], return_type="proto")
+            again = []
+            for run, text, x, y in zip(runs, whole, a, b, strict=True):
+                found = self.encoded(run, text, x, y)
+                if found is not None:
+                    out.update(zip(run, found, strict=True))
+                elif len(run) == 1:
+                    out[run[0]] = None
+                else:
+                    again += [[u] for u in run]
+            runs = again
         return out
 
+    def encoded(self, run: list[str], text: str, a, b) -> list[Unit] | None:
+        """Units of a run from its tokens of both; None unless both give back the text."""
+        raw = text.encode("utf-8")
+        a_ids, pieces = a.ids, b.pieces
+        b_ids = [p.id for p in pieces]
+        if b"".join([self.a_bytes[i] for i in a_ids]) != raw or b"".join([self.b_bytes[i] for i in b_ids]) != raw:
+            return None
+        places = byte_places(text)
+        spans = places[np.array(a.offsets, np.int64).reshape(-1, 2)]
+        a_ids, b_ids = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+        a_ends = token_ends(spans[:, 0], spans[:, 1], self.a_sizes[a_ids])
+        # the space that B puts before a text has no byte in its spans
+        end = np.array([p.end for p in pieces], np.int64) + 1
+        b_ends = token_ends(np.append(0, end[:-1]), end, self.b_sizes[b_ids])
+        unit_ends = places[np.cumsum([len(u) + 1 for u in run])]
+        return line_up(a_ids, a_ends, b_ids, b_ends, unit_ends)
+
     def units(self, names: list[str]) -> list[Unit | None]:
         """All of ``names``, from memory or encoded."""
         new = [u for u in names if u not in self]
@@ -178,7 +220,7 @@ class Aligner(dict):
         for u, unit in fresh.items():
             if len(u) <= LONG:
                 self[u] = unit
-                self.held += 500 + len(u) + (len(unit.groups) + unit.links.nbytes if unit else 0)
+                self.held += 500 + len(u) + (len(unit[4]) + len(unit[5]) if unit else 0)
         return out
 
 
@@ -218,18 +260,20 @@ def _block(block: int, doc_ids: list, texts: list[bytes], coder: Aligner) -> pa.
     places = [np.fromiter(map(number.__getitem__, x), np.int64, len(x)) for x in split]
     ends = np.cumsum([len(p) for p in places], dtype=np.int64)
     at = np.concatenate([np.zeros(0, np.int64), *places])
-    known = [u or Unit(0, 0, 0, b"", np.zeros(0, np.uint64)) for u in units]
-    sizes = np.array([len(u.links) for u in known], np.int64)
-    of = lambda field: _sums(np.array([getattr(u, field) for u in known], np.int64)[at], ends)
-    numbers = np.stack([of("n_a"), of("n_b"), of("n_groups"), _sums(sizes[at], ends)])
-    hashes = b"".join(hashlib.sha256(b";".join([known[k].groups for k in p.tolist()])).digest() for p in places)
-    pairs, links = np.unique(np.concatenate([np.zeros(0, np.uint64), *[u.links for u in known]]), return_inverse=True)
+    known = [u or NO_TOKENS for u in units]
+    counts = np.array([u[:4] for u in known], np.int64).reshape(-1, 4)
+    sizes = counts[:, 3]
+    numbers = np.stack([_sums(counts[at, k], ends) for k in range(4)])
+    hashes = b"".join(hashlib.sha256(b";".join([known[k][4] for k in p.tolist()])).digest() for p in places)
+    pairs, links = np.unique(np.frombuffer(b"".join([u[5] for u in known]), "<u8"), return_inverse=True)
     link_ends = np.cumsum(sizes)
-    # documents that hold a pair: distinct (document, unit), then distinct (document, pair)
-    doc = np.repeat(np.arange(len(texts)), [len(p) for p in places])
-    doc, unit = np.divmod(np.unique(doc * max(1, len(known)) + at), max(1, len(known)))
-    held = np.repeat(doc, sizes[unit]) * max(1, len(pairs)) + links[_runs((link_ends - sizes)[unit], sizes[unit])]
-    n = np.bincount(np.unique(held) % max(1, len(pairs)), minlength=len(pairs))
+    # documents that hold a pair
+    n, held = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), bool)
+    for p in places:
+        own = links[_runs((link_ends - sizes)[p], sizes[p])]
+        held[own] = True
+        n += held
+        held[own] = False
     values = [
         np.array([d or 0 for d in doc_ids], "<i8").tobytes(), bytes(d is None for d in doc_ids), numbers.astype("<i8").tobytes(), hashes,
         at.astype("<u4").tobytes(), ends.astype("<i8").tobytes(), links.astype("<u4").tobytes(), link_ends.astype("<i8").tobytes(),

@@ -282,13 +282,21 @@ def test_units_are_forgotten_and_long_ones_not_remembered(monkeypatch):
     monkeypatch.setattr(align, "CACHE_BYTES", 50_000)
     for lo in range(0, 2000, 100):
         names = [f"w{i}" for i in range(lo, lo + 100)] + ["y" * 1000]
-        assert [u.links.size > 0 for u in coder.units(names)] == [True] * 101
+        assert [len(u[5]) > 0 for u in coder.units(names)] == [True] * 101
         assert len(coder) < 400 and "y" * 1000 not in coder
 
 
 def test_spans_are_refined_where_they_do_not_fit():
+    ends = lambda spans, sizes: align.token_ends(*np.array(spans).T, np.array(sizes)).tolist()
     # two tokens of one character of three bytes, both with its span, then a letter
-    assert align.token_ends([(0, 3), (0, 3), (3, 4)], [b"\xe6\x97", b"\xa5", b"x"]) == [2, 3, 4]
-    assert align.token_ends([(0, 2), (2, 2), (2, 6)], [b" h", b"\xf0", b"\x9f\xa7\x90"]) == [2, 3, 6]
-    unit = align.line_up([7, 8], [1, 3], [5, 6], [2, 3])
-    assert unit.groups == b"7,8|5,6" and unit.n_groups == 1 and [(int(x) >> 32, int(x) & 0xFFFFFFFF) for x in unit.links] == [(7, 5), (8, 5), (8, 6)]
+    assert ends([(0, 3), (0, 3), (3, 4)], [2, 1, 1]) == [2, 3, 4]
+    # byte-fallback tokens without a span, before the one that has it
+    assert ends([(0, 2), (2, 2), (2, 2), (2, 6), (6, 7)], [2, 1, 1, 2, 1]) == [2, 3, 4, 6, 7]
+    # a span that disagrees with the bytes
+    assert ends([(0, 5), (5, 6)], [2, 4]) == [2, 6]
+    # " é日", then "x" of another unit
+    assert align.byte_places(" é日x").tolist() == [0, 1, 3, 6, 7]
+    a, b = (np.array([7, 8, 9]), np.array([1, 3, 4])), (np.array([5, 6, 4]), np.array([2, 3, 4]))
+    units = align.line_up(*a, *b, np.array([3, 4]))
+    assert [u[:5] for u in units] == [(2, 2, 1, 3, b"7,8|5,6"), (1, 1, 1, 1, b"9|4")]
+    assert [[(x >> 32, x & 0xFFFFFFFF) for x in np.frombuffer(u[5], "<u8").tolist()] for u in units] == [[(7, 5), (8, 5), (8, 6)], [(9, 4)]]
