@@ -26,7 +26,7 @@ from cobasket.plans import export, ingest  # noqa: E402
 from cobasket.session import scratch_path  # noqa: E402
 from cobasket.sources import sales as src  # noqa: E402
 from cobasket.sources import synth  # noqa: E402
-from cobasket.streaming import ingest_stream, pair_counts  # noqa: E402
+from cobasket.streaming import ingest_stream, keyed_ingest, pair_counts  # noqa: E402
 
 NUM_SHARDS = 16
 DUP_RATIO = 0.15
@@ -240,6 +240,40 @@ def q_duplicate_injection_file(spark, sf_dir):
     return rows.select(F.col("basket_id").cast("bigint").alias("basket_id"), F.col("product_id").cast("bigint").alias("product_id"))
 
 
+def q_duplicate_injection_drawn(spark, sf_dir):
+    """One occurrence in about seven drawn for a second copy, through the file writer."""
+    out = scratch_path(spark, "drawn")
+    _sales(spark, sf_dir).write.csv(f"{out}/drop.csv")
+    (written,) = export.write_with_dups(spark, [f"{out}/drop.csv"], f"{out}/drawn", ratio=DUP_RATIO, seed=DUP_SEED)
+    return _bigints(src.read_sales_csv(spark, written))
+
+
+def q_export_order(spark, sf_dir):
+    """Rows of a ranked and of a shuffled export, and whether they stand in rank order on disk."""
+    out = scratch_path(spark, "order")
+    counts = _pairs(spark, sf_dir)
+    export.write_counts_csv(counts, f"{out}/ranked")
+    counts.repartition(4).write.option("header", True).csv(f"{out}/shuffled")
+    checks = [export.order_check(spark, f"{out}/{name}", 2, "bigint").withColumn("export", F.lit(name)) for name in ("ranked", "shuffled")]
+    return checks[0].unionByName(checks[1]).select("export", "rows", (F.col("violations") == 0).alias("in_order"))
+
+
+LONG_ID = "9" * 20
+
+
+def _long_ids(spark, sf_dir):
+    """Sales whose products are texts of 20 to 40 digits, some negative, some with leading zeros, and some short."""
+    sk = F.col("product_id")
+    text = sk.cast("string")
+    long = F.when(sk % 4 == 0, F.concat(F.lit("-" + LONG_ID), text)).when(sk % 4 == 1, F.concat(F.lit(LONG_ID * 2), text))
+    return _sales(spark, sf_dir).withColumn("product_id", long.when(sk % 4 == 2, F.concat(F.lit("00" + LONG_ID), text)).otherwise(text))
+
+
+def q_long_id_pairs(spark, sf_dir):
+    """Pair counts of ids of any length, in order of their value."""
+    return cooccur.cooccurrence(_long_ids(spark, sf_dir), 2)
+
+
 def q_hot_row_balance(spark, sf_dir):
     """One row repeated for a third of the input, written to a shard of 8 files: how even the files are."""
     out = scratch_path(spark, "hot-row")
@@ -419,6 +453,37 @@ def q_stream_dedup_state(spark, sf_dir):
     return spark.read.parquet(table)
 
 
+def q_stream_dedup_window(spark, sf_dir):
+    """Sales that arrive by year, those of its last 30 days once more with the next year: each is kept once.
+
+    A sale is forgotten some time after the watermark has passed it, so that the state ends
+    with a part of all sales.
+    """
+    inbox, table, ckpt = (scratch_path(spark, x) for x in ("window-in", "window-table", "window-ckpt"))
+    sales = _lineitem(spark, sf_dir).select(
+        F.col("l_orderkey").alias("basket_id"), F.col("l_suppkey").alias("product_id"),
+        "l_linenumber", "l_partkey", F.col("l_shipdate").cast("timestamp").alias("sold_at"),
+    )
+    event = ["basket_id", "l_linenumber", "l_partkey", "sold_at"]
+    year, late = F.year("sold_at"), F.year(F.col("sold_at") + F.expr("INTERVAL 30 DAYS"))
+    whole = sales.select("*", F.explode(F.array_distinct(F.array(year, late))).alias("lot"))
+    first, last = whole.agg(F.min("lot"), F.max("lot")).first()
+    for lot in range(first, last + 1):
+        # one file for each year, a batch of its own
+        whole.where(F.col("lot") == lot).drop("lot").coalesce(1).write.mode("append").parquet(f"{inbox}/lot={lot}")
+    progress = []
+    for _ in range(2):  # the second run finds nothing new
+        stream = ingest_stream.file_stream(spark, inbox, "parquet", sales.schema, max_files_per_trigger=1)
+        run = ingest_stream.start_dedup_stream(
+            stream, table, ckpt, event, mode="window", event_time="sold_at", delay="40 days", columns=["basket_id", "product_id"]
+        )
+        ingest_stream.run_to_completion(run)
+        progress += [p.stateOperators[0].numRowsTotal for p in run.recentProgress if p.stateOperators]
+    kept = spark.read.schema("basket_id bigint, product_id bigint").parquet(table)
+    rows = sales.agg(F.count(F.lit(1))).first()[0]
+    return kept.withColumn("state_bounded", F.lit(progress[-1] < 0.4 * rows and max(progress) < 0.7 * rows))
+
+
 def q_stream_pair_counts(spark, sf_dir):
     """Pair counts after four batches, a restart, and a replay of the last batch."""
     rows, counts = scratch_path(spark, "stream-rows"), scratch_path(spark, "stream-counts")
@@ -431,6 +496,47 @@ def q_stream_pair_counts(spark, sf_dir):
     return pair_counts.read_counts(spark, counts, 2, must_exist=True)
 
 
+def q_keyed_pair_counts(spark, sf_dir):
+    """Pair counts of a stream into keyed tables: four batches, a restart, and replays of a merged and of the last batch."""
+    rows = keyed_ingest.sales_table(spark, scratch_path(spark, "keyed-rows"), _sales(spark, sf_dir).schema, keep_batches=True, fanout=2)
+    counts = keyed_ingest.counts_table(spark, scratch_path(spark, "keyed-counts"), 2, fanout=2)
+    ckpt = scratch_path(spark, "stream-ckpt")
+    _streamed(spark, sf_dir, lambda s: keyed_ingest.start_counts(s, rows, counts, ckpt, 2))
+    last = rows.last_batch()
+    for batch in (0, last):
+        again = rows.read().where(F.col("batch_id") == batch).drop("batch_id")
+        keyed_ingest.apply_batch(again, batch, rows, counts, 2)
+    return keyed_ingest.read_counts(counts)
+
+
+def _keyed_runs(spark, sf_dir):
+    """The drops of ``_two_runs`` through a file stream, a restart between them, and a third run without a new file."""
+    inbox, ckpt = scratch_path(spark, "keyed-in"), scratch_path(spark, "keyed-ckpt")
+    table = keyed_ingest.sales_table(spark, scratch_path(spark, "keyed-table"))
+    outcomes = keyed_ingest.outcomes_table(spark, scratch_path(spark, "keyed-outcomes"))
+    files = spark.sparkContext.defaultParallelism
+    for lot, part in (("1", _existing(spark, sf_dir)), ("2", _incoming(spark, sf_dir)), ("3", None)):
+        if part is not None:
+            dirty = part.limit(1).select("basket_id", F.lit(None).cast("bigint").alias("product_id"))
+            _text(part.unionByName(dirty), files, f"{inbox}/lot={lot}")
+        stream = ingest_stream.file_stream(spark, inbox, max_files_per_trigger=files)
+        ingest_stream.run_to_completion(keyed_ingest.start_ingest(stream, table, outcomes, ckpt))
+    return table, outcomes
+
+
+def q_keyed_ingest_roundtrip(spark, sf_dir):
+    """The rows of a keyed table after a streamed ingest."""
+    table, _ = _keyed_runs(spark, sf_dir)
+    return _bigints(table.read())
+
+
+def q_keyed_ingest_runs(spark, sf_dir):
+    """What each batch of a streamed ingest reports."""
+    _, outcomes = _keyed_runs(spark, sf_dir)
+    rejected = F.coalesce(F.element_at("rejected", "missing_product"), F.lit(0)).alias("rejected")
+    return outcomes.read().select("batch_id", "rows_read", "distinct_rows", "rows_appended", "table_rows", rejected)
+
+
 def q_schema_evolution(spark, sf_dir):
     """Two file generations of one table, the second with an extra column."""
     table = scratch_path(spark, "evolving")
@@ -519,6 +625,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedup": q_stream_dedup,
     "stream_dedup_state": q_stream_dedup_state,
     "stream_pair_counts": q_stream_pair_counts,
+    "stream_dedup_window": q_stream_dedup_window,
+    "duplicate_injection_drawn": q_duplicate_injection_drawn,
+    "export_order": q_export_order,
+    "long_id_pairs": q_long_id_pairs,
+    "keyed_pair_counts": q_keyed_pair_counts,
+    "keyed_ingest_roundtrip": q_keyed_ingest_roundtrip,
+    "keyed_ingest_runs": q_keyed_ingest_runs,
     "schema_evolution": q_schema_evolution,
     "synthetic_baskets": q_synthetic_baskets,
     "synthetic_dense": q_synthetic_dense,
@@ -603,6 +716,19 @@ _SYNTH_PAIRS = (
     "FROM d t1 JOIN d t2 ON t1.basket_id = t2.basket_id AND t1.product_id < t2.product_id GROUP BY 1, 2"
 )
 
+_LONG = f"""CASE product_id % 4 WHEN 0 THEN '-{LONG_ID}' || product_id WHEN 1 THEN '{LONG_ID * 2}' || product_id
+WHEN 2 THEN '00{LONG_ID}' || product_id ELSE CAST(product_id AS VARCHAR) END"""
+# by value: negative ones by digits downwards, then short, 20 and more, and 40 and more digits
+_LONG_PAIRS = f"""
+WITH d AS (
+  SELECT DISTINCT basket_id, {_LONG} AS id, CASE product_id % 4 WHEN 0 THEN 0 WHEN 3 THEN 1 WHEN 2 THEN 2 ELSE 3 END AS kind,
+         CASE WHEN product_id % 4 = 0 THEN -product_id ELSE product_id END AS place
+  FROM ({_SALES}) WHERE basket_id IS NOT NULL AND product_id IS NOT NULL
+)
+SELECT a.id AS product_1, b.id AS product_2, COUNT(*) AS baskets FROM d a JOIN d b
+ON a.basket_id = b.basket_id AND (a.kind < b.kind OR (a.kind = b.kind AND a.place < b.place)) GROUP BY 1, 2
+"""
+
 _CROWD = "(l_partkey * 7 + l_suppkey * 13)"
 
 
@@ -748,6 +874,24 @@ _ORACLES: dict[str, str] = {
     "stream_dedup": _D,
     "stream_dedup_state": _D,
     "stream_pair_counts": _PAIRS,
+    "stream_dedup_window": f"SELECT *, TRUE AS state_bounded FROM ({_SALES})",
+    "duplicate_injection_drawn": (
+        f"{_SALES} UNION ALL SELECT basket_id, product_id FROM "
+        f"(SELECT *, row_number() OVER (PARTITION BY basket_id, product_id) AS i FROM ({_SALES})) "
+        f"WHERE {_h(f"concat_ws('|', '{DUP_SEED}', CAST(basket_id AS VARCHAR), CAST(product_id AS VARCHAR), CAST(i AS VARCHAR))")} / 4294967296.0 < {DUP_RATIO}"
+    ),
+    "export_order": (
+        f"SELECT 'ranked' AS export, COUNT(*) AS rows, TRUE AS in_order FROM ({_PAIRS}) UNION ALL "
+        f"SELECT 'shuffled', COUNT(*), FALSE FROM ({_PAIRS})"
+    ),
+    "long_id_pairs": _LONG_PAIRS,
+    "keyed_pair_counts": _PAIRS,
+    "keyed_ingest_roundtrip": _UNION_D,
+    "keyed_ingest_runs": (
+        f"SELECT CAST(0 AS BIGINT) AS batch_id, {_N_EXISTING} + 1 AS rows_read, {_D_EXISTING} AS distinct_rows, {_D_EXISTING} AS rows_appended, "
+        f"{_D_EXISTING} AS table_rows, CAST(1 AS BIGINT) AS rejected UNION ALL "
+        f"SELECT 1, {_N_INCOMING} + 1, (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM ({_INCOMING}))), {_D_UNION} - {_D_EXISTING}, {_D_UNION}, 1"
+    ),
     "schema_evolution": (
         f"SELECT basket_id, product_id, CAST(NULL AS DOUBLE) AS quantity, 1 AS gen FROM ({_EXISTING}) "
         "UNION ALL SELECT l_orderkey AS basket_id, l_suppkey AS product_id, l_quantity AS quantity, 2 AS gen "

@@ -20,6 +20,10 @@ WHITESPACE = (
 )
 
 
+#: An integer of any length; group 1 has its digits without leading zeros.
+_INTEGER = r"^\s*[+-]?0*([0-9]+)\s*$"
+
+
 def strip_space(col: Column | str) -> Column:
     """Remove leading and trailing white space (as ``str.strip()`` does).
 
@@ -37,16 +41,25 @@ def sortable_item(df: DataFrame, item: str, strict: bool = True) -> Column:
     """An expression that orders items the way tuples are written.
 
     Integer ids compare as numbers directly. String ids compare by their
-    integer value first and by the text second, so ``"2" < "10"`` and
-    ``"01" < "1"``. With ``strict`` a non-integer text raises (ANSI cast);
-    otherwise it sorts after all integers (``try_cast`` gives NULL, and the
-    NULL-first struct field is flipped to last with a flag).
+    integer value first, of any number of digits, and by the text second, so
+    ``"2" < "10"`` and ``"01" < "1"``. Values beyond 64 bits compare by sign,
+    number of digits and digits (for negative ones all reversed). With
+    ``strict`` a non-integer text fails the job; otherwise it sorts after all
+    integers.
     """
-    dtype = column_type(df, item)
-    if not isinstance(dtype, StringType):
+    if not isinstance(column_type(df, item), StringType):
         return F.col(item)
-    num = F.col(item).cast("bigint") if strict else F.expr(f"try_cast(`{item}` AS BIGINT)")
-    return F.struct(num.isNull().alias("o0"), num.alias("o1"), F.col(item).alias("v"))
+    text = F.col(item)
+    num = text.try_cast("bigint")
+    long = num.isNull() & text.rlike(_INTEGER)
+    minus = text.rlike(r"^\s*-")
+    digits = F.regexp_extract(text, _INTEGER, 1)
+    size = F.char_length(digits)
+    other = F.raise_error(F.concat(F.lit("not an integer: "), text)).cast("int") if strict else F.lit(2)
+    kind = F.when(num.isNotNull() | text.isNull(), 0).when(long & minus, -1).when(long, 1).otherwise(other)
+    length = F.when(long, F.when(minus, -size).otherwise(size))
+    order = F.when(long, F.when(minus, F.translate(digits, "0123456789", "9876543210")).otherwise(digits))
+    return F.struct(kind.alias("o0"), num.alias("o1"), length.alias("o2"), order.alias("o3"), text.alias("v"))
 
 
 def unwrap_item(df: DataFrame, item: str, col: Column) -> Column:

@@ -39,7 +39,7 @@ def reject_reason(df: DataFrame, basket: str = BASKET, product: str = PRODUCT, n
     b, p = _norm(df, basket), _norm(df, product)
     reason = F.when(_blank(b), F.lit("empty_basket")).when(_blank(p), F.lit("missing_product"))
     if numeric_products and isinstance(df.schema[product].dataType, StringType):
-        reason = reason.when(p.try_cast("bigint").isNull(), F.lit("non_integer_product"))
+        reason = reason.when(~p.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.lit("non_integer_product"))
 
     return reason
 

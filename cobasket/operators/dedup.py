@@ -11,6 +11,8 @@ from cobasket.functions.keys import hash_fraction
 from cobasket.sources.sales import BASKET, PRODUCT
 
 KEYS = (BASKET, PRODUCT)
+#: Copies of one row that a task expands at a time.
+COPIES = 1 << 16
 
 
 def dedup(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -110,6 +112,32 @@ def inject_duplicates(
     return out
 
 
+def inject_by_occurrence(df: DataFrame, ratio: float = 0.15, seed: int = 42, scramble: bool = False) -> DataFrame:
+    """Every row once, plus one extra copy of each occurrence drawn with ``ratio``.
+
+    Equal rows are counted, and the i-th of them is drawn if
+    ``md5(seed | values | i) < ratio`` (nulls left out). So each copy has a draw of
+    its own, and the result depends neither on the order nor on the partitions of
+    the input, nor on retries. A row of very many copies is expanded by several
+    tasks, ``COPIES`` at a time. ``scramble`` mixes the order by a hash of the same
+    values.
+    """
+    if not 0.0 <= ratio <= 1.0:
+        raise ValueError("ratio must be within [0, 1]")
+    columns = df.columns
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / COPIES).cast("bigint"))
+    spread = counted.select("*", F.explode(parts).alias("_part")).repartition(*columns, "_part")
+    first = F.col("_part") * COPIES + 1
+    each = F.sequence(first, F.least(F.col("_n"), first + COPIES - 1))
+    rows = spread.select(*columns, F.explode(each).alias("_at"))
+    times = F.when(hash_fraction(F.lit(seed), *columns, "_at") < F.lit(ratio), F.lit(2)).otherwise(F.lit(1))
+    out = rows.select("*", F.explode(F.sequence(F.lit(1), times)).alias("_time"))
+    if scramble:
+        out = out.withColumn("_perm", F.xxhash64(F.lit(seed), *columns, "_at", "_time")).repartition("_perm").sortWithinPartitions("_perm")
+    return out.select(*columns)
+
+
 def injection_stats(original: DataFrame, injected: DataFrame) -> DataFrame:
     """One row: ``original_rows, duplicate_rows, total_rows``."""
     sides = original.select(F.lit(1).alias("_o"), F.lit(0).alias("_t")).unionByName(

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from cobasket.functions.keys import md5_shard, strip_space
 from cobasket.operators.bucket import SHARD
-from cobasket.operators.cooccur import ranked, top_n
-from cobasket.operators.dedup import inject_duplicates
+from cobasket.operators.cooccur import product_columns, ranked, top_n
+from cobasket.operators.dedup import inject_by_occurrence
 from cobasket.sources.sales import BASKET, read_sales_csv
 
 FILES_PER_SHARD = 4
@@ -91,6 +91,31 @@ def preview(spark: SparkSession, path: str, k: int, n: int = 10, id_type: str =
     return top_n(read_counts_csv(spark, path, k, id_type), n)
 
 
+def order_check(spark: SparkSession, path: str, k: int, id_type: str = "string") -> DataFrame:
+    """One row: the rows of a count export, and how many stand before a row of higher rank.
+
+    Rows are compared with the one before them in their file's split, and each
+    split's first row with the last of the split before; splits follow on each other
+    by file name and place. Only splits, one row each, meet in one window.
+    """
+    rows = read_counts_csv(spark, path, k, id_type)
+    rank = F.struct((-F.col("baskets")).alias("n"), *[F.col(c).cast("string").alias(c) for c in product_columns(k)])
+    # within a split, rows are numbered in the order they are read
+    placed = rows.select(rank.alias("rank"), "_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+    split = Window.partitionBy("file_name", "file_block_start").orderBy("at")
+    wrong = placed.withColumn("wrong", (F.lag("rank").over(split) > F.col("rank")).cast("int"))
+    splits = wrong.groupBy("file_name", "file_block_start").agg(
+        F.sum("wrong").alias("inside"), F.min_by("rank", "at").alias("head"), F.max_by("rank", "at").alias("tail"), F.count(F.lit(1)).alias("n")
+    )
+    before = F.lag("tail").over(Window.orderBy("file_name", "file_block_start"))
+    ends = splits.withColumn("outside", (before > F.col("head")).cast("int"))
+    zero = F.lit(0).cast("bigint")
+    return ends.agg(
+        F.coalesce(F.sum("n"), zero).alias("rows"),
+        (F.coalesce(F.sum("inside"), zero) + F.coalesce(F.sum("outside"), zero)).alias("violations"),
+    )
+
+
 def reencode_csv(spark: SparkSession, src: str, dst: str, compression: str = "none") -> None:
     """Rewrite a CSV dataset with another codec (e.g. gzip to plain text).
 
@@ -106,9 +131,7 @@ def write_with_dups(spark: SparkSession, inputs: Sequence[str], out_dir: str, ra
     for path in inputs:
         base = path.rstrip("/").rsplit("/", 1)[-1].removesuffix(".gz").removesuffix(".csv")
         out = f"{out_dir.rstrip('/')}/{base}_with_dups"
-        # the position in the input draws each row by itself, copies included
-        rows = read_sales_csv(spark, path).withColumn("_at", F.monotonically_increasing_id())
-        injected = inject_duplicates(rows, ratio, seed, id_cols=["_at"], scramble=True).drop("_at")
+        injected = inject_by_occurrence(read_sales_csv(spark, path), ratio, seed, scramble=True)
         _csv_writer(injected.write.mode("overwrite"), "gzip").csv(out)
         written.append(out)
     return written

@@ -5,7 +5,7 @@ once per query, and ``trigger(availableNow=True)`` processes whatever is new
 and stops, which is the batch ingest's behaviour with exactly-once
 bookkeeping.
 
-Two dedup modes:
+Three dedup modes:
 
 ``table``
     ``foreachBatch`` appends the rows of each micro-batch that are not yet in
@@ -16,6 +16,11 @@ Two dedup modes:
     ``dropDuplicates`` in the streaming state store plus the file sink.
     Without event time the state keeps every key forever, so prefer
     ``table`` for unbounded key spaces.
+``window``
+    ``dropDuplicatesWithinWatermark``: rows carry an event time, or take their
+    file's modification time (``file_stream(arrival="arrived_at")``), and a key is
+    forgotten once the watermark has passed it by ``delay``. Duplicates whose times
+    lie within ``delay`` of each other go; the state holds only recent keys.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -41,12 +47,14 @@ def file_stream(
     schema: StructType = SALES_SCHEMA,
     glob: str | None = None,
     max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+    arrival: str | None = None,
 ) -> DataFrame:
     """A streaming DataFrame over files arriving in ``directory``.
 
     ``glob`` filters file names (e.g. ``"*.csv*"`` or ``"lineitem*.parquet"``);
     a single-file path is not a valid stream source, its directory is. A
     backlog comes in batches of ``max_files_per_trigger`` files (None: at once).
+    ``arrival`` names a column that takes the modification time of the row's file.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
@@ -55,7 +63,8 @@ def file_stream(
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(directory)
+    rows = reader.load(directory)
+    return rows.withColumn(arrival, F.col("_metadata.file_modification_time")) if arrival else rows
 
 
 def start_dedup_stream(
@@ -67,16 +76,26 @@ def start_dedup_stream(
     available_now: bool = True,
     query_name: str | None = None,
     broadcast_bytes: int | None = None,
+    event_time: str | None = None,
+    delay: str = "1 hour",
+    columns: Sequence[str] | None = None,
 ) -> StreamingQuery:
     """Start a query that keeps ``table_path`` free of duplicate keys.
 
     In ``table`` mode a micro-batch whose distinct rows measure at most
     ``broadcast_bytes`` (default: the session's broadcast threshold) is
     broadcast against the table; a larger one is merged by one aggregation.
+    In ``window`` mode ``event_time`` and ``delay`` bound the state, and the table
+    has ``columns`` (default: the keys).
     """
     keys = list(keys)
     rows = stream.select(*keys)
-    if mode == "state":
+    if mode == "window":
+        if event_time is None:
+            raise ValueError("mode 'window' needs an event_time column")
+        recent = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+        writer = recent.select(*(columns or keys)).writeStream.format("parquet").option("path", table_path).outputMode("append")
+    elif mode == "state":
         writer = (
             rows.dropDuplicates(keys)
             .writeStream.format("parquet")
@@ -98,7 +117,7 @@ def start_dedup_stream(
 
         writer = rows.writeStream.foreachBatch(_append_new)
     else:
-        raise ValueError("mode must be 'table' or 'state'")
+        raise ValueError("mode must be 'table', 'state' or 'window'")
     writer = writer.option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
