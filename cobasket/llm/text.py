@@ -7,6 +7,7 @@ ASCII characters, so texts stay UTF-8 bytes and are never decoded for it.
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterable, Iterator
 
@@ -110,18 +111,22 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+#: Where a word's marks follow its letters; none of these marks begins a special token or a contraction.
+_MARKED = re.compile(rb"(?:(?<=[A-Za-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))(?=[.,;:!?$%&*#])")
+#: Longer words are not remembered.
+LONG_WORD = 128
+
+
 class WordIds(dict):
     """Token ids (packed little-endian uint32) of words, remembered.
 
     The tokenizer drops white space and never joins across it, so the ids of
     a text are those of its words, end to end. It also never joins letters and
-    the marks after them, and lower-cases, so that words of letters are looked
-    up without the marks and, in ASCII, in lower case.
+    the marks after them, and lower-cases, so texts are lower-cased (in ASCII) and
+    cut between letters and marks as a whole, which leaves fewer words to encode.
+    Words not met for a while are forgotten.
     """
 
-    #: Marks that may follow letters; none of them begins a special token or a contraction.
-    MARKS = b".,;:!?$%&*#"
-
     def __init__(self, path: str):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -131,57 +136,54 @@ class WordIds(dict):
         # lower-case ASCII letters reach the model as they are, which saves the steps before it
         plain = ["the", "zebra", "q", "counterclockwise"]
         self.direct = all([t.id for t in self.tokenizer.model.tokenize(x)] == self.tokenizer.encode(x, add_special_tokens=False).ids for x in plain)
-        self.stems: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}  # the stems of before; those in use come back
-
-    def cut(self, word: bytes) -> tuple[bytes, bytes]:
-        """A word's letters and the marks after them; other words are not cut."""
-        stem = word.rstrip(self.MARKS)
-        if stem.isalpha():
-            return stem.lower(), word[len(stem) :]
-        if not stem.isascii() and stem.decode("utf-8").isalpha():
-            return stem, word[len(stem) :]
-        return word, b""
+        self.older: dict[bytes, bytes] = {}  # the words of before; those in use come back
+
+    def words(self, text: bytes) -> list[bytes]:
+        """A text's words, cut between letters and the marks after them."""
+        # special tokens tell cases apart, and so may letters before a combining mark
+        if b"<|" not in text and b"\xcc" not in text:
+            text = text.lower()
+        return _MARKED.sub(b" ", text).split()
 
     def learn(self, words: list[bytes]) -> None:
-        """Encode parts that are not known yet."""
-        if len(self.stems) >= CACHE_ENTRIES:
-            self.older, self.stems = self.stems, {}
+        """Encode words that are not known yet."""
+        older, rest = self.older, []
         new = []
         for w in words:
-            if w not in self.stems:
-                known = self.older.get(w)
-                if known is None:
-                    new.append(w)
-                else:
-                    self.stems[w] = known
+            known = older.get(w)
+            if known is None:
+                new.append(w)
+            else:
+                self[w] = known
         if self.direct:
-            model, rest = self.tokenizer.model, []
+            tokenize, pack = self.tokenizer.model.tokenize, struct.pack
             for w in new:
                 if w.isalpha() and w.islower():
-                    ids = [t.id for t in model.tokenize(w.decode())]
-                    self.stems[w] = struct.pack(f"<{len(ids)}I", *ids)
+                    ids = [t.id for t in tokenize(w.decode())]
+                    self[w] = pack(f"<{len(ids)}I", *ids)
                 else:
                     rest.append(w)
-            new = rest
-        for lo in range(0, len(new), 20_000):
-            some = new[lo : lo + 20_000]
+        else:
+            rest = new
+        for lo in range(0, len(rest), 20_000):
+            some = rest[lo : lo + 20_000]
             found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)
             for w, e in zip(some, found, strict=True):
-                self.stems[w] = np.array(e.ids, "<u4").tobytes()
+                self[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed ids of each text."""
-        split = [t.split() for t in texts]
+        split = [self.words(t) for t in texts]
         if len(self) >= CACHE_ENTRIES:
+            self.older = dict(self)
             self.clear()
-        new = [w for w in set().union(*split) if w not in self]
-        parts = [self.cut(w) for w in new]
-        self.learn(list({x for pair in parts for x in pair if x}))
-        self.stems[b""] = b""
-        for w, (stem, marks) in zip(new, parts, strict=True):
-            self[w] = self.stems[stem] + self.stems[marks]
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        new = list(set().union(*split).difference(self))
+        self.learn(new)
+        out = [b"".join(map(self.__getitem__, words)) for words in split]
+        for w in new:
+            if len(w) > LONG_WORD:
+                del self[w]
+        return out
 
 
 _IDS: dict[str, WordIds] = {}

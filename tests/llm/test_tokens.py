@@ -142,3 +142,24 @@ def test_a_placement_minimises_the_sum_of_squares():
         legal = [h for h in range(32 - size + 1) if h == 0 or p.level[h]]
         least = min(map(after, legal))
         assert p.best(size) == max(h for h in legal if after(h) == least)
+
+
+def test_words_cut_from_their_marks_encode_like_whole_texts():
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from cobasket.llm import text
+
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    coder = text.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    parts = ["The", "été,", "É.", "J̌.", "T̈x!", "…,", "×.", "÷,", "¡hola!", "it's,", "WE'LL.", "<|endoftext|>,", "<|ENDOFTEXT|>.", "a.b", "x,,y", "#tag", "$5,", "ß?", "İ,",
+             "日本,", "1.5,", "!!!", "naïve;", "Ünïcödé:", "á.", "Å,", "e.g.,", "'s.", "ll'", "A&B", "50%,", "\x00,", "_a_.", "é" * 200 + ".", "q" * 300 + ","]
+    draw = random.Random(6)
+    texts = [*parts, *[draw.choice([" ", "\n", "  "]).join(draw.choices(parts, k=12)) for _ in range(200)], ""]
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    for lo in (0, 0, 100):
+        got = [list(memoryview(x).cast("I")) for x in coder.encode([t.encode() for t in texts[lo:]])]
+        assert got == want[lo:]
+    assert all(len(w) <= text.LONG_WORD for w in coder)
