@@ -17,7 +17,8 @@ Defined results: a null or empty text has no votes but that of no hit; labels
 other than 0 and 1 are left out; a doc_id that is labelled twice counts once,
 with its larger label; without labels of both kinds the score is the share of
 label 1 (0 without labels); repeated rows are scored each; an empty table stays
-empty; only doc_id and text are read.
+empty; copies of one text under one doc_id are learned from once; only doc_id and
+text are read.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from cobasket.llm.quality_rank import held_out, logistic, sample, training_labels
 from cobasket.llm.text import CACHE_ENTRIES, chunks
-from cobasket.session import scratch_path
+from cobasket.session import scratch_path, stored
 
 MAX_ROWS = 20_000
 MAX_TERMS = 256
@@ -252,8 +253,10 @@ def known(terms: list[str], listed: set[str]) -> Terms:
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_terms: int = MAX_TERMS) -> Classifier:
     """Mine terms, fit the label model on the sample's votes and the classifier on its posterior labels."""
-    some = sample(training_labels(labels, "toxic"), max_rows).select(F.col("doc_id").alias("known_id"), "label")
-    rows = docs.select("doc_id", "text").join(some, F.col("doc_id") == F.col("known_id"))
+    some = stored(sample(training_labels(labels, "toxic"), max_rows).select(F.col("doc_id").alias("known_id"), "label"), "label-sample")
+    # at most max_rows ids go to the texts, and their rows are written once, one for each id and text
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), F.col("doc_id") == F.col("known_id"))
+    rows = stored(rows.select("doc_id", "label", "text").dropDuplicates(["doc_id", "label", "text"]), "labelled-texts")
     # copies of one text are one witness
     terms, listed = mine(rows.select("label", "text").distinct(), max_terms)
 
@@ -272,7 +275,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_term
         return Classifier(terms, listed, np.append(np.zeros(width), math.log((share + 1e-6) / (1 - share + 1e-6))))
     x = np.stack([np.unpackbits(np.frombuffer(bytes(r.x), np.uint8), count=width) for r in got]).astype(float)
     v = votes(x, terms)
-    post = label_model(v, share, y).posterior(v)
+    post = label_model(v, share).posterior(v)
     # each row stands for both labels, weighted by its posterior
     one = np.concatenate([x, np.ones((len(x), 1))], 1)
     signs = np.concatenate([np.ones(len(x)), -np.ones(len(x))])
