@@ -268,10 +268,15 @@ def classes(docs: DataFrame, least: float = MIN_SIMILARITY, bands: int = BANDS,
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Of each class the document of the smallest doc_id, with its own columns; rows without doc_id stay."""
-    chosen = classes(docs).groupBy("doc_id").agg(F.min("class_id").alias("class_id")).where("doc_id = class_id").select(F.col("doc_id").alias("chosen"))
-    chosen = _stored(chosen, "chosen")
+    """Of each class the document of the smallest doc_id, with its own columns; rows without doc_id stay.
+
+    Rows of one doc_id: of those with the same text one stays. Where their texts differ, all texts of a
+    doc_id stay that is the smallest of a class of any of them, so that no text is lost with its doc_id.
+    """
+    chosen = _stored(classes(docs).where("doc_id = class_id").select(F.col("doc_id").alias("chosen")).distinct(), "chosen")
     rows = docs.select(F.struct("*").alias("doc")).withColumn("id", F.col("doc.doc_id"))
     kept = rows.where("id is not null").join(chosen, F.col("id") == F.col("chosen"))
-    first = kept.withColumn("turn", F.row_number().over(Window.partitionBy("id").orderBy("doc.text"))).where("turn = 1")
+    text = F.coalesce("doc.text", F.lit(""))
+    same = Window.partitionBy("id", F.xxhash64(text), F.xxhash64(F.lit(1), text)).orderBy(F.col("doc.text").isNull())
+    first = kept.withColumn("turn", F.row_number().over(same)).where("turn = 1")
     return first.select("doc").unionByName(rows.where("id is null").select("doc")).select("doc.*")

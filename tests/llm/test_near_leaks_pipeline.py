@@ -92,6 +92,14 @@ def test_components_of_chains_and_stars(spark):
     assert near.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_keep_one_loses_no_text_of_a_repeated_doc_id(spark):
+    text = lambda n: " ".join(f"w{n}x{i}" for i in range(40))
+    rows = [(1, text(1)), (1, text(2)), (1, text(2)), (2, text(3)), (3, text(3)), (5, text(4)), (5, text(1)), (6, None), (6, ""), (None, text(1))]
+    got = sorted(((r.doc_id, r.text) for r in near.keep_one(frame(spark, rows)).collect()), key=str)
+    # 3 is a copy of 2; the texts of 5 stay, as one of them has no copy; of equal rows one stays
+    assert [d for d, _ in got] == [1, 1, 2, 5, 5, 6, None] and {t for _, t in got if t} == {text(n) for n in (1, 2, 3, 4)}
+
+
 def test_keep_one_keeps_columns_and_one_of_each_class(spark, corpus, odd, empty):
     clash = corpus.selectExpr("*", "1 AS rep", "2 AS class_id", "3 AS doc", "4 AS id", "5 AS turn")
     kept = near.keep_one(clash)
