@@ -17,10 +17,15 @@ def _random_rows(seed, n_baskets=60, n_products=12):
     return b, baskets_to_rows(b)
 
 
-def test_merge_counts_accumulates(spark):
-    stored = spark.createDataFrame([("1", "2", 5)], "product_1 string, product_2 string, baskets bigint")
-    new = cooccurrence(sales_df(spark, [("b1", "1"), ("b1", "2")]), 2)
-    assert as_counts(merge_counts(stored, new)) == {(1, 2): 6}
+def test_merged_parts_equal_the_whole_and_cancel_out(spark):
+    _, rows = _random_rows(8)
+    keyed = lambda even: sales_df(spark, [r for r in rows if (int(r[0][1:]) % 2 == 0) == even])
+    whole = cooccurrence(sales_df(spark, rows), 2)
+    merged = merge_counts(cooccurrence(keyed(True), 2), cooccurrence(keyed(False), 2))
+    assert as_counts(merged) == as_counts(whole)
+    # counts taken away again leave no rows of zero
+    taken = whole.select("product_1", "product_2", (-F.col("baskets")).alias("baskets"))
+    assert merge_counts(merged, taken).count() == 0
 
 
 def test_update_counts_equals_recompute(spark):
@@ -47,14 +52,18 @@ def test_reconcile_is_two_sided(spark):
     assert got == {(1, 2): 3, (1, 3): 1, (2, 3): 0}
 
 
-def test_closure_between_triples_and_pairs(spark):
-    baskets, rows = _random_rows(55, 50, 10)
-    df = sales_df(spark, rows)
-    r = closure_missing(cooccurrence(df, 3), cooccurrence(df, 2)).first()
-    assert r.missing == 0 and r.undercounted == 0 and r.subsets_checked == 3 * r.tuples
-    broken = cooccurrence(df, 2).where(~((F.col("product_1") == "0") & (F.col("product_2") == "1")))
-    if (0, 1) in {t[:2] for t in brute_force(baskets, 3)}:
-        assert closure_missing(cooccurrence(df, 3), broken).first().missing > 0
+def test_closure_finds_each_pair_that_triples_need(spark):
+    baskets = {f"c{i}": [i % 4, 4 + i % 3, 7 + i % 2] for i in range(24)} | {"pair": [0, 1]}
+    df = sales_df(spark, baskets_to_rows(baskets))
+    triples, pairs = cooccurrence(df, 3), cooccurrence(df, 2)
+    r = closure_missing(triples, pairs).first()
+    assert (r.missing, r.undercounted) == (0, 0) and r.subsets_checked == 3 * r.tuples
+    first = F.col("product_1") == "0"
+    # (0, 4) is part of triples and (0, 1) of none
+    assert closure_missing(triples, pairs.where(~(first & (F.col("product_2") == "4")))).first().missing > 0
+    assert closure_missing(triples, pairs.where(~(first & (F.col("product_2") == "1")))).first().missing == 0
+    low = pairs.withColumn("baskets", F.when(first & (F.col("product_2") == "4"), 0).otherwise(F.col("baskets")))
+    assert closure_missing(triples, low).first().undercounted > 0
 
 
 def test_run_ratio(spark):
