@@ -104,7 +104,7 @@ def list_files(spark: SparkSession, directory: str, suffix_regex: str = r"\.csv(
     """Non-recursive listing: ``path, modificationTime, length``.
 
     Uses the ``binaryFile`` source with the content column pruned away, so
-    only file metadata is read, and the listing itself is distributed.
+    only file metadata is read. A flat folder is listed by the driver.
     """
     return (
         spark.read.format("binaryFile")
