@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from cobasket.operators import bucket, clean, cooccur, dedup, incremental, quality  # noqa: E402
-from cobasket.plans import export, ingest  # noqa: E402
+from cobasket.plans import basket_table, export, ingest  # noqa: E402
 from cobasket.session import scratch_path  # noqa: E402
 from cobasket.sources import sales as src  # noqa: E402
 from cobasket.sources import synth  # noqa: E402
@@ -111,6 +111,41 @@ def q_heavy_triples(spark, sf_dir):
     return _by_count(cooccur.cooccurrence(_crowded(spark, sf_dir, HEAVY_TRIPLE_PRODUCTS), 3), 3)
 
 
+def _stored_baskets(sales: DataFrame) -> basket_table.BasketTable:
+    return basket_table.write_baskets(sales, scratch_path(sales.sparkSession, "baskets"))
+
+
+def q_stored_item_support(spark, sf_dir):
+    return _stored_baskets(_sales(spark, sf_dir)).cooccurrence(1)
+
+
+def q_stored_pairs(spark, sf_dir):
+    """Pair counts of a table bucketed by basket: no exchange by basket."""
+    return _stored_baskets(_sales(spark, sf_dir)).cooccurrence(2)
+
+
+def q_stored_heavy_triples(spark, sf_dir):
+    """Triples of a stored table, written by one session's catalog entry and opened by another, with one very large basket."""
+    written = _stored_baskets(_crowded(spark, sf_dir, HEAVY_TRIPLE_PRODUCTS))
+    return _by_count(basket_table.open_baskets(spark, written.path).cooccurrence(3), 3)
+
+
+def q_stored_heavy_pairs(spark, sf_dir):
+    """Pairs of a stored table whose largest basket lies outside of the buckets."""
+    return _by_count(_stored_baskets(_crowded(spark, sf_dir, HEAVY_PAIR_PRODUCTS)).cooccurrence(2), 2)
+
+
+def q_stored_reconciliation(spark, sf_dir):
+    """Array against join counts, both from one bucketed table."""
+    table = _stored_baskets(_sales(spark, sf_dir))
+    return quality.reconcile(table.cooccurrence(2), table.cooccurrence(2, plan="join"), cooccur.product_columns(2))
+
+
+def q_stored_size_histogram(spark, sf_dir):
+    sizes = _stored_baskets(_sales(spark, sf_dir)).sizes()
+    return sizes.groupBy("basket_size").agg(F.count(F.lit(1)).alias("baskets"))
+
+
 def q_triple_cooccurrence(spark, sf_dir):
     return cooccur.cooccurrence(_sales(spark, sf_dir), 3)
 
@@ -371,6 +406,13 @@ def q_export_preview(spark, sf_dir):
     return export.preview(spark, out, 2, 10, "bigint")
 
 
+def q_export_head(spark, sf_dir):
+    """The first rows of a ranked export, as its first file has them."""
+    out = scratch_path(spark, "pairs-csv")
+    export.write_counts_csv(_pairs(spark, sf_dir), out)
+    return export.head(spark, out, 2, 10, "bigint")
+
+
 def q_reencode_roundtrip(spark, sf_dir):
     """Padded keys, a quoted empty field and a third column survive the change of codec."""
     gz, plain = scratch_path(spark, "sales-gz"), scratch_path(spark, "sales-plain")
@@ -633,6 +675,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyed_ingest_roundtrip": q_keyed_ingest_roundtrip,
     "keyed_ingest_runs": q_keyed_ingest_runs,
     "schema_evolution": q_schema_evolution,
+    "stored_item_support": q_stored_item_support,
+    "stored_pairs": q_stored_pairs,
+    "stored_heavy_pairs": q_stored_heavy_pairs,
+    "stored_heavy_triples": q_stored_heavy_triples,
+    "stored_reconciliation": q_stored_reconciliation,
+    "stored_size_histogram": q_stored_size_histogram,
+    "export_head": q_export_head,
     "synthetic_baskets": q_synthetic_baskets,
     "synthetic_dense": q_synthetic_dense,
     "synthetic_pairs": q_synthetic_pairs,
@@ -900,6 +949,16 @@ _ORACLES: dict[str, str] = {
     "synthetic_baskets": _SYNTH,
     "synthetic_pairs": _SYNTH_PAIRS,
 }
+# the same results from stored tables, and from the export's first file
+_ORACLES |= {
+    "stored_item_support": _ORACLES["item_support"],
+    "stored_pairs": _PAIRS,
+    "stored_heavy_pairs": _ORACLES["heavy_pairs"],
+    "stored_heavy_triples": _ORACLES["heavy_triples"],
+    "stored_reconciliation": _ORACLES["pair_reconciliation"],
+    "stored_size_histogram": _ORACLES["basket_size_histogram"],
+    "export_head": _ORACLES["export_preview"],
+}
 
 
 # ── document operators, where they are installed ────────────────────────────

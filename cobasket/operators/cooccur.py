@@ -270,6 +270,43 @@ def cooccurrence(
     )
 
 
+def sized_cooccurrence(
+    light: DataFrame,
+    heavy: DataFrame | None,
+    k: int,
+    basket: str,
+    item: str,
+    size: str,
+    plan: str = "array",
+    strict: bool = True,
+    block: int | None = None,
+) -> DataFrame:
+    """Counts as :func:`cooccurrence`, of distinct rows that carry their basket's size.
+
+    ``light`` baskets go through ``plan`` ("array" or "join"), ``heavy`` ones (others than
+    those, or None) through the blocked plan. Nothing is read to route them.
+    """
+    if k < 1:
+        raise ValueError("k must be >= 1")
+    if plan not in ("array", "join"):
+        raise ValueError("plan must be array or join")
+    rows = _rows(light, basket, item, strict, None)
+    if k == 1:
+        tuples = rows.select(F.col("_i").alias("_c1"))
+    else:
+        tuples = _array_tuples(rows, k, False) if plan == "array" else _join_tuples(rows, k, False)
+    if heavy is not None:
+        sized = heavy.select(F.col(basket).alias("_b"), sortable_item(heavy, item, strict).alias("_i"), F.col(size).alias("_n"))
+        more = sized.select(F.col("_i").alias("_c1")) if k == 1 else _blocked_tuples(sized, k, block or block_for(k), False)
+        tuples = tuples.unionByName(more)
+    names = _tuple_cols(k)
+    counts = tuples.groupBy(*names).agg(F.count(F.lit(1)).alias("baskets"))
+    return counts.select(
+        *[unwrap_item(light, item, F.col(c)).alias(p) for c, p in zip(names, product_columns(k))],
+        "baskets",
+    )
+
+
 def item_support(df: DataFrame, basket: str = "basket_id", item: str = "product_id") -> DataFrame:
     """Baskets containing each item (k = 1): ``product_1, baskets``."""
     return cooccurrence(df, 1, basket, item)

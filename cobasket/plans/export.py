@@ -80,7 +80,7 @@ def write_counts_csv(
     w.csv(out_dir)
 
 
-def read_counts_csv(spark: SparkSession, path: str, k: int, id_type: str = "string") -> DataFrame:
+def read_counts_csv(spark: SparkSession, path: str | list[str], k: int, id_type: str = "string") -> DataFrame:
     """Read a count export back: ids as text, or as ``id_type`` where that is known; counts as bigint."""
     columns = ", ".join([*(f"product_{i} {id_type}" for i in range(1, k + 1)), "baskets bigint"])
     return spark.read.schema(columns).option("header", True).option("escape", '"').option("mode", "FAILFAST").csv(path)
@@ -91,6 +91,24 @@ def preview(spark: SparkSession, path: str, k: int, n: int = 10, id_type: str =
     return top_n(read_counts_csv(spark, path, k, id_type), n)
 
 
+def head(spark: SparkSession, path: str, k: int, n: int = 10, id_type: str = "string") -> DataFrame:
+    """The first ``n`` rows of an exported count file as they stand there, in file order.
+
+    Files are taken by name, one after the other until they hold ``n`` rows: usually the first
+    alone, and no other is opened. Within a file, rows stand by split and place.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path")
+    # a part file holds a row at least, but for the first of an empty export
+    names = [r.path for r in files.orderBy("path").limit(n + 1).collect()]
+    taken = 1
+    while taken < len(names) and read_counts_csv(spark, names[:taken], k, id_type).limit(n).count() < n:
+        taken += 1
+    rows = read_counts_csv(spark, names[:taken] or path, k, id_type)
+    place = ["_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at")]
+    placed = rows.select(F.struct(*rows.columns).alias("row"), *place)
+    return placed.orderBy("file_name", "file_block_start", "at").limit(n).select("row.*")
+
+
 def order_check(spark: SparkSession, path: str, k: int, id_type: str = "string") -> DataFrame:
     """One row: the rows of a count export, and how many stand before a row of higher rank.
 
