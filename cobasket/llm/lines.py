@@ -7,7 +7,8 @@ repeated: their lines go everywhere but in the largest doc_id that holds them.
 
 Plan: each document's distinct keys are exploded and hashed to 128 bits, and
 counted with partial aggregation, so that a line of a third of all documents
-is one row for each task. The repeated keys, with the doc_id that keeps them,
+is one row for each task. Only rows of a doc_id that occurs more than once (found by
+a count of doc_ids) need a distinct of their keys by doc_id before. The repeated keys, with the doc_id that keeps them,
 are written to the scratch folder; Spark knows the size of what it reads back
 and broadcasts it only below its own threshold, or else joins by sort and merge
 and splits a hot key at run time. Lines are exploded with their positions,
@@ -15,8 +16,8 @@ joined to those keys, and each document gets the list of positions to drop
 (grouped by document, bounded by its own lines). One join by document puts the
 kept lines together again by position.
 
-Defined results: each row is a document, also where a doc_id repeats (then all
-rows of the largest doc_id keep the line); a null doc_id counts as smaller than
+Defined results: rows of one doc_id count as one document, and those of the largest
+doc_id all keep the line; all rows without a doc_id count as one document, smaller than
 any other; a null or empty text is one empty line; an empty table stays empty.
 All input columns stay, whatever their names; ``n_lines`` and ``n_dropped`` are
 added, in place of columns of those names.
@@ -55,10 +56,21 @@ def _hashes(key: str) -> list[Column]:
     return [F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), F.col(key)).alias("h2")]
 
 
+def repeated_ids(docs: DataFrame) -> DataFrame:
+    """doc_ids of more than one row, null among them."""
+    return docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("again"))
+
+
 def repeated_keys(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """h1, h2 of repeated keys, the documents that hold them (n_docs) and the doc_id that keeps them (keeper)."""
     keys = F.filter(F.transform(split_lines(F.col("text")), line_key), lambda k: F.char_length(k) >= min_chars)
+    path = scratch_path(docs.sparkSession, "repeated-ids")
+    repeated_ids(docs).write.parquet(path)
+    again = docs.sparkSession.read.parquet(path)
     exploded = docs.select("doc_id", F.explode(F.array_distinct(keys)).alias("key")).select("doc_id", *_hashes("key"))
+    if not again.isEmpty():
+        same = F.col("doc_id").eqNullSafe(F.col("again"))
+        exploded = exploded.join(again, same, "left_anti").unionByName(exploded.join(again, same, "left_semi").distinct())
     counted = exploded.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
     return counted.where(F.col("n_docs") >= min_docs)
 

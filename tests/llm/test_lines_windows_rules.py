@@ -24,12 +24,12 @@ def key_of(line):
 
 
 def plain_lines(rows):
-    """(doc_id, n_lines, n_dropped, sha) by the definition; every row is a document, a null doc_id the smallest."""
+    """(doc_id, n_lines, n_dropped, sha) by the definition; rows of a doc_id are one document, null the smallest."""
     rank = lambda d: (d is not None, d or 0)
-    held = defaultdict(list)
+    held = defaultdict(set)
     for doc, text in rows:
         for k in {key_of(x) for x in (text or "").split("\n")}:
-            held[k].append(rank(doc))
+            held[k].add(rank(doc))
     out = []
     for doc, text in rows:
         own = (text or "").split("\n")
@@ -87,6 +87,25 @@ def test_lines_that_share_everything(spark):
     assert {r.doc_id for r in got if r.n_dropped == 0 and r.n_lines == 6} == {39}
 
 
+def test_lines_of_repeated_doc_ids(spark):
+    """A line counts once for each doc_id that holds it, however many rows that has."""
+    two, three, lone = (f"a line of {n} documents, long enough" for n in ("two", "three", "no id"))
+    rows = [(3, f"{two}\nx"), (5, two), (5, two), (5, f"{two}\n{three}"), (6, three), (7, three), (7, three), (None, lone), (None, lone), (None, f"{lone}\n{three}")]
+    rows += [(8, f"copy {i % 2} of a document listed often") for i in range(300)]
+    docs = frame(spark, rows).repartition(4)
+    got = lines.digest(lines.dedup_lines(docs)).collect()
+    assert sorted(map(tuple, got), key=str) == plain_lines(rows)
+    assert sorted((r.doc_id, r.n_dropped) for r in got if r.doc_id in (3, 5, 6, 7)) == [(3, 0), (5, 0), (5, 0), (5, 1), (6, 1), (7, 0), (7, 0)]
+    assert sorted(r.n_dropped for r in got if r.doc_id is None) == [0, 0, 1]
+    con = duckdb.connect()
+    documents = docs.where("doc_id IS NOT NULL").toPandas()  # noqa: F841
+    dropped = dict(con.sql(f"SELECT doc_id, n_dropped FROM ({lines.ORACLE})").fetchall())
+    totals = Counter()
+    for r in lines.dedup_lines(docs.where("doc_id IS NOT NULL")).collect():
+        totals[r.doc_id] += r.n_dropped
+    assert dict(totals) == dropped
+
+
 def test_lines_by_sql_and_other_columns(spark, corpus, empty):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
