@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 
 import numpy as np
@@ -173,6 +174,74 @@ def test_recall_of_the_candidate_search(spark, corpus):
     assert np.mean(found) >= 0.9
 
 
+def test_term_numbers_follow_normal_words():
+    """Words of one normal form have one number, other words other numbers but for chance; texts are cut as ``split`` does."""
+    draw, signs = random.Random(5), ["a", "B", "Ä", "ß", "é", "×", "÷", "ÿ", "Σ", "İ", "ж", "Ж", "“", ".", "!", "_", "-", "9", "$", "\x1c", "\xa0", "😀"]
+    words = ["".join(draw.choice(signs) for _ in range(draw.randrange(1, 6))).encode() for _ in range(8000)] + [b"Y" * 300_000, b"." * 300_000]
+    numbers, seen = leaks.TermNumbers().of(words).tolist(), {}
+    assert len(numbers) == len(words) and all(seen.setdefault(leaks.normal(w), n) == n for w, n in zip(words, numbers, strict=True))
+    want = leaks.TERMS * (1 - math.exp(-len(seen) / leaks.TERMS))  # numbers in use if they fall evenly
+    assert abs(len(set(seen.values())) - want) < 0.05 * want
+    texts = [b"", b" a b\t", b"", b"c" * 400_000 + b" d", b" \n\x0b ", b"e"]
+    assert leaks.TermNumbers().of_texts(texts)[1].tolist() == [0, 0, 2, 2, 4, 4, 5] and leaks.TermNumbers().of_texts([])[1].tolist() == [0]
+
+
+def test_shared_terms_and_window_sums():
+    rng = np.random.default_rng(4)
+    numbers, sizes = rng.integers(0, leaks.TERMS, 700), np.array([0, 5, 400, 1, 0, 294])
+    held = np.zeros((3, leaks.TERMS // 8), np.uint8)
+    own = [set(rng.choice(numbers, 200).tolist()) for _ in range(3)]
+    for i, terms in enumerate(own):
+        for t in terms:
+            held[i, t >> 3] |= 1 << (t & 7)
+    begin = rng.integers(0, 690, 500)
+    end, item = begin + rng.integers(1, 11, 500), rng.integers(0, 3, 500)
+    got = leaks.shared_terms(numbers, begin, end, item, held)
+    assert got.tolist() == [sum(int(n) in own[k] for n in numbers[a:b]) for a, b, k in zip(begin, end, item, strict=True)]
+    vectors = np.vstack([rng.standard_normal((leaks.TERMS, 6)), np.zeros((1, 6))]).astype(np.float32)
+    starts = np.cumsum(sizes) - sizes
+    for grain, size in itertools.product((1, 3), (2, 18, 40)):
+        covered = [np.zeros(n, bool) for n in sizes]
+        for docs, a, b, x in leaks.Windows(numbers, sizes, vectors, grain).of_size(size, 7):
+            for d, lo, hi, v in zip(docs, a, b, x, strict=True):
+                covered[d][lo:hi] = True
+                assert hi - lo <= max(grain, round(size / grain) * grain)
+                assert np.allclose(v, vectors[numbers[starts[d] + lo : starts[d] + hi]].sum(0), atol=1e-3)
+        assert all(c.all() for c in covered)
+
+
+def test_recall_of_the_search_against_all_windows(spark, corpus):
+    """On the windows that ``search`` looks at: of passages that a walk over every window matches, at least 0.95 in each group."""
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    host = next(r.text for r in corpus.collect() if len(r.text) > 3000).split()
+    items, draw, rows, groups = leaks.read_items(bench.collect()), random.Random(12), [], {}
+    for kept, other in itertools.product((1.0, 0.85, 0.75, 0.65), ("replaced", "inserted", "dropped")):
+        for item in items:
+            words = []
+            for w in item.words:
+                stays = draw.random() < kept
+                words += [w] if stays else []
+                words += [draw.choice(host)] if other != "dropped" and (not stays) ^ (other == "inserted" and draw.random() > kept) else []
+            at, n = draw.randrange(40), 2 * len(item.words)
+            words = host[:at] + words + host[at : at + 60]
+            plain = [leaks.normal(w.encode()) for w in words]
+            if any(leaks.matches(item, plain[a : a + n], leaks.MIN_COMMON) for a in range(len(plain))):
+                groups.setdefault((kept, other), set()).add((len(rows), item.item_id))
+            rows.append((len(rows), " ".join(words)))
+    rows += [(1_000_000 + i, r.text) for i, r in enumerate(corpus.collect())]
+    got = {(r.doc_id, r.item_id) for r in leaks.find_leaks(frame(spark, rows), bench).collect()}
+    recall = {k: len(v & got) / len(v) for k, v in groups.items()}
+    assert min(map(len, groups.values())) >= 5 and min(recall.values()) >= 0.95, recall
+
+
+def test_blocks_of_items_find_the_same(spark, corpus):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").limit(12)
+    texts = [r.text for r in bench.collect()]
+    docs = frame(spark, [(i, f"before it {t} and after") for i, t in enumerate(texts)])
+    one, many = ({(r.doc_id, r.item_id) for r in leaks.find_leaks(docs, bench, item_bytes=n).collect()} for n in (1 << 20, 1200))
+    assert one == many and len(one) >= len(texts)
+
+
 def test_leaks_of_odd_inputs(spark, odd, empty, corpus):
     bench = items_of(spark, [None, "", " \n", "one", " ".join(f"b{i}" for i in range(30))])
     got = leaks.find_leaks(odd, bench).collect()
