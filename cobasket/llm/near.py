@@ -1,16 +1,18 @@
 """Near duplicates: ProbMinHash signatures, banding, exact verification, classes.
 
-Shingles are five consecutive words (fewer words: the whole sequence); each
-distinct shingle weighs 1, however often it occurs, as links are by the sets too:
-with weights by count, texts that repeat a section would not meet those that do
-not. ProbMinHash lets each shingle arrive again and
+Shingles are five consecutive words (fewer words: the whole sequence), weighted
+by 1 + ln of how often they occur. ProbMinHash lets each shingle arrive again and
 again, by a Poisson process of rate its weight; each arrival draws one of the
 registers, which keeps the earliest arrival and its shingle, and a shingle stops
 once it is later than every register. Two texts agree in a register with the
-probability Jaccard of their weights, here that of the sets. ``BANDS`` bands of ``ROWS`` registers give
+probability Jaccard of their weights. ``BANDS`` bands of ``ROWS`` registers give
 candidates; a pair is linked if the exact Jaccard similarity of the two shingle
 sets is at least ``MIN_SIMILARITY``. Classes are the connected components.
 
+As links are by sets, a text that repeats shingles has a second signature, in
+which each weighs 1, banded with the same keys: else it would seldom meet a text
+of nearly the same set that does not repeat them. Without repeats the two are one.
+
 No step lists all pairs of a group. Copies with the same words are one
 representative from the start. In a bucket of up to ``SMALL`` representatives
 all pairs are candidates; in a larger one each goes with one pivot, drawn by
@@ -102,11 +104,16 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
             keys, weights, names = [], [], []
             for text in texts:
                 words = text.split()
-                keys.append(np.unique(shingles(words)))
-                weights.append(np.ones(len(keys[-1])))
+                key, count = np.unique(shingles(words), return_counts=True)
+                keys.append(key)
+                weights.append(1 + np.log(count))
                 names.append(xxhash.xxh3_128_digest(b" ".join(words)))
-            own = band_keys(signatures(keys, weights, bands * rows), bands, rows).view(np.int64)
-            listed = pa.ListArray.from_arrays(pa.array(np.arange(0, own.size + 1, bands), pa.int32()), pa.array(own.ravel()))
+            own = list(band_keys(signatures(keys, weights, bands * rows), bands, rows).view(np.int64))
+            again = [i for i, w in enumerate(weights) if len(w) and w.max() > 1]  # shingles occur more than once
+            plain = signatures([keys[i] for i in again], [np.ones(len(keys[i])) for i in again], bands * rows)
+            for i, more in zip(again, band_keys(plain, bands, rows).view(np.int64), strict=True):
+                own[i] = np.union1d(own[i], more)
+            listed = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, own)]), pa.int32()), pa.array(np.concatenate(own)))
             yield pa.record_batch([batch.column(0), pa.array(names, pa.binary()), pa.array([len(k) for k in keys], pa.int32()), listed], names=["doc_id", "words", "shingles", "bands"])
 
     return docs.select("doc_id", "text").mapInArrow(run, _SIGNED)

@@ -75,6 +75,19 @@ def test_copies_that_repeat_a_section(spark):
     assert sum(got[2 * i + 1] == 2 * i for i in range(200)) == 200
 
 
+def test_texts_with_repeats_are_banded_by_counts_and_by_sets(spark):
+    """Weights 1 + ln(count) and weights 1, in the same bands; each key once."""
+    once = " ".join(f"w{i}" for i in range(90))
+    texts = [once, f"{once} {once}", f"{once} {once} w1 w2 w3 w4 w5 w6", "", None, "a a a"]
+    got = {r.doc_id: r for r in near.sign(frame(spark, list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        key, count = np.unique(near.shingles((text or "").encode().split()), return_counts=True)
+        assert got[i].shingles == len(key)
+        both = [near.band_keys(near.signatures([key], [w], near.BANDS * near.ROWS), near.BANDS, near.ROWS)[0].view(np.int64).tolist() for w in (1 + np.log(count), np.ones(len(key)))]
+        assert sorted(got[i].bands) == sorted(set(both[0] + both[1])) and len(both[0]) == near.BANDS
+    assert len(got[0].bands) == near.BANDS < len(got[2].bands)
+
+
 def test_signatures_estimate_the_probability_jaccard():
     draw = np.random.default_rng(1)
     keys = draw.integers(1, 2**63, 60).astype(np.uint64)
