@@ -7,10 +7,13 @@ name, ``:`` or ``=``, a value of 6 or more characters), ``access`` (AKIA keys of
 The method adds ``value``: what follows a credential name in wider contexts
 (more names, any characters up to white space or, with white space, to the
 closing quote), if it would take an attacker at least ``10**MIN_COST`` guesses.
-A value of which one base span covers all is not listed again; else it may
-overlap base spans.
+Prose says "the password is required", so a value of letters alone that follows
+a bare ``is`` needs ``10**PROSE_COST``. A value of which one base span covers all
+is not listed again; else it may overlap base spans. Values that base spans
+cover are costed too: ``n_weak`` counts the values of ``assign`` that take fewer
+than ``10**MIN_COST`` guesses, placeholders and weak passwords among them.
 The cost of a value is that of its cheapest segmentation into dictionary words
-(rank, case and letter substitutions), dates, repeats of a unit, keyboard walks
+(rank, case, letter substitutions, backwards), dates, repeats of a unit, keyboard walks
 and brute-force characters, found by dynamic programming over positions; costs
 are logarithms to base 10 and add up, each segment adds ``SEGMENT``. It takes
 time linear in the value, however long.
@@ -35,6 +38,7 @@ from cobasket.llm.text import chunks
 
 KINDS = ("assign", "access", "hex", "value")
 MIN_COST = 9.0
+PROSE_COST = 24.0
 SEGMENT = 0.6
 MIN_ASSIGN = 6
 MIN_VALUE = 6
@@ -46,7 +50,7 @@ HEX = re.compile(rb"[0-9a-f]{24,}")
 _NAMES = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 CONTEXT = re.compile(
     rb"""(?:pass ?word|passwd|pass ?phrase|\bpwd|\bpass|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credentials?|auth(?:orization)?|bearer)"""
-    rb"""["']?(?:\x20*(?:[:=]|=>|\bis\b)\x20*|\x20+bearer\x20+)(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"',;]+))""",
+    rb"""["']?(?:\x20*(?:[:=]|=>|(?P<prose>\bis\b))\x20*|\x20+bearer\x20+)(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"',;]+))""",
     re.I,
 )
 _CONTEXT_NAMES = (*_NAMES, b"pass", b"pwd", b"api", b"access", b"private", b"credential", b"auth", b"bearer")
@@ -62,6 +66,7 @@ WORDS = (
     "january february march april june july august september october november december monday tuesday wednesday thursday friday"
 ).split()
 RANK = {w: i + 1 for i, w in enumerate(WORDS)}
+_EITHER_WAY = {*WORDS, *(w[::-1] for w in WORDS)}
 _LONGEST = max(map(len, WORDS))
 _PLAIN = str.maketrans("4@831!0$57+", "aabeiiosstt")
 _ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
@@ -71,17 +76,17 @@ _DATE = re.compile(r"(?:(?:19|20)\d\d([-/._]?)(?:0?[1-9]|1[0-2])\1(?:0[1-9]|[12]
 
 
 def word_cost(part: str) -> float | None:
-    """Of a dictionary word: rank, spellings by case, and substituted letters."""
+    """Of a dictionary word: rank, spellings by case, substituted letters, and a factor of 2 if it is spelt backwards."""
     lower = part.lower()
     plain = lower.translate(_PLAIN)
-    rank = RANK.get(lower) or RANK.get(plain)
-    if rank is None:
+    rank = RANK.get(lower) or RANK.get(plain) or 2 * RANK.get(lower[::-1], 0) or 2 * RANK.get(plain[::-1], 0)
+    if not rank:
         return None
     upper = sum(c.isupper() for c in part)
     cost = math.log10(rank)
     if upper:
         cost += math.log10(2 if upper == len(part) or (upper == 1 and (part[0].isupper() or part[-1].isupper())) else math.comb(len(part), upper))
-    changed = sum(a != b for a, b in zip(lower, plain, strict=True)) if lower not in RANK else 0
+    changed = sum(a != b for a, b in zip(lower, plain, strict=True)) if lower not in RANK and lower[::-1] not in RANK else 0
     return cost + changed * math.log10(2)
 
 
@@ -97,11 +102,14 @@ def char_cost(c: str) -> float:
 def spans_of(value: str) -> list[tuple[int, int, float, str]]:
     """Segments other than brute force: from, to, cost and kind."""
     n, found = len(value), []
+    lower = "".join(c.lower()[:1] for c in value)  # as long as the value
+    plain = lower.translate(_PLAIN)
     for i in range(n):
         for j in range(i + 3, min(n, i + _LONGEST) + 1):
-            cost = word_cost(value[i:j])
-            if cost is not None:
-                found.append((i, j, cost, "word"))
+            if lower[i:j] in _EITHER_WAY or plain[i:j] in _EITHER_WAY:
+                cost = word_cost(value[i:j])
+                if cost is not None:
+                    found.append((i, j, cost, "word"))
     for i in range(n):
         if value[i].isdigit():
             m = _DATE.match(value, i)
@@ -160,6 +168,20 @@ def guess_cost(value: str) -> float:
     return best[n]
 
 
+def weak_values(text: bytes) -> int:
+    """How many values of ``assign`` spans an attacker would guess within ``10**MIN_COST``."""
+    found = [m[2] for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_ASSIGN] if any(x in text.lower() for x in _NAMES) else []
+    return sum(guess_cost(v.decode()) < MIN_COST for v in found)
+
+
+def enough(value: str, prose: bool) -> float | None:
+    """The cost of a value, if it is one to report."""
+    if len(value) < MIN_VALUE:
+        return None
+    cost = guess_cost(value)
+    return cost if cost >= (PROSE_COST if prose and value.rstrip(".!?:)").isalpha() else MIN_COST) else None
+
+
 def scan(text: bytes) -> tuple[list[tuple[int, int, int]], list[float]]:
     """(start, kind's number, end) in bytes, sorted, and the costs of the added values."""
     lower = text.lower()
@@ -174,14 +196,14 @@ def scan(text: bytes) -> tuple[list[tuple[int, int, int]], list[float]]:
         taken = sorted((a, b) for a, _, b in base)
         at = reach = 0
         for m in CONTEXT.finditer(text):
-            a, b = m.span(m.lastindex)
+            a, b = next(m.span(k) for k in (2, 3, 4) if m.start(k) >= 0)
             while at < len(taken) and taken[at][0] <= a:
                 reach = max(reach, taken[at][1])
                 at += 1
             if reach >= b:
                 continue
-            value = text[a:b].decode("utf-8", "replace")
-            if len(value) >= MIN_VALUE and (cost := guess_cost(value)) >= MIN_COST:
+            cost = enough(text[a:b].decode("utf-8", "replace"), m["prose"] is not None)
+            if cost is not None:
                 added.append((a, 3, b))
                 costs.append(cost)
     return sorted(base + added), costs
@@ -197,22 +219,22 @@ def code_points(text: bytes, places: list[int]) -> dict[int, int]:
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_value, and the highest cost of an added value."""
-    kind = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_value long, max_cost double"
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_value, the highest cost of an added value, and n_weak."""
+    kind = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_value long, max_cost double, n_weak long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(8)]
             for text in texts:
                 found, costs = scan(text)
                 place = code_points(text, [p for a, _, b in found for p in (a, b)])
                 named = [(k, f"{KINDS[k]}:{place[a]}:{place[b]}") for a, k, b in found]
                 base = ",".join(s for k, s in named if k < 3)
                 counts = [sum(k == n for k, _ in named) for n in range(4)]
-                row = [*counts[:3], hashlib.sha256(base.encode()).hexdigest(), ",".join(s for _, s in named), counts[3], max(costs, default=None)]
+                row = [*counts[:3], hashlib.sha256(base.encode()).hexdigest(), ",".join(s for _, s in named), counts[3], max(costs, default=None), weak_values(text)]
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
-            types = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64(), pa.float64()]
+            types = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64(), pa.float64(), pa.int64()]
             columns = [batch.column(0), *(pa.array(c, t) for c, t in zip(out, types, strict=True))]
             yield pa.record_batch(columns, names=[f.strip().split(" ")[0] for f in kind.split(",")])
 

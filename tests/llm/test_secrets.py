@@ -117,6 +117,23 @@ def test_cheap_values_cost_little():
     assert secrets.guess_cost("kX9#vQ2m!zR7" * 3000) > 1000 and secrets.guess_cost("") == 0
 
 
+def test_prose_is_no_secret():
+    """Words after a bare ``is`` stay out unless they are very long or hold other characters."""
+    prose = ["the password is required here", "my secret is chocolate.", "auth is necessary", "the access key is important!", "the token is (unknown) now"]
+    assert [t for t in prose[:4] if secrets.scan(t.encode())[1]] == []
+    for text, value in {"the password is kX9#vQ2m!zR7 now": "kX9#vQ2m!zR7", "the pass phrase is qmvzkxwjrpthgbnydlfq": "qmvzkxwjrpthgbnydlfq", "pwd: chocolateq": "chocolateq"}.items():
+        [(a, kind, b)] = secrets.scan(text.encode())[0]
+        assert (kind, text[a:b]) == (3, value)
+
+
+def test_weak_and_strong_values_of_base_spans(spark):
+    texts = ["password=drowssap token=0rang3123", "password=kX9vQ2mzR7pL api_key: changeme", "no secret here", None]
+    rows = {r.doc_id: r for r in secrets.find_secrets(frame(spark, list(enumerate(texts)))).collect()}
+    assert [(rows[i].n_assign, rows[i].n_weak) for i in range(4)] == [(2, 2), (2, 1), (0, 0), (0, 0)]
+    assert secrets.word_cost("drowssap") == pytest.approx(math.log10(2 * secrets.RANK["password"]))
+    assert secrets.word_cost("dr0wssap") == pytest.approx(math.log10(4 * secrets.RANK["password"]))
+
+
 def test_no_documents_and_other_columns(spark, corpus, empty):
     assert secrets.find_secrets(empty).collect() == []
     assert secrets.find_secrets(corpus.selectExpr("*", "1 AS spans", "2 AS n_hex")).count() == 200
