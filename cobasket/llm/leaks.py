@@ -2,10 +2,9 @@
 
 Terms are normalised words hashed to ``TERMS`` numbers, weighted by the inverse
 of how many documents of the whole corpus hold them. A randomised SVD of TF-IDF
-passages, with products A'(AQ) computed in Spark tasks, gives a latent space; it
-is fitted on all benchmark items and the passages of at most ``FIT_DOCS``
-documents (those of the smallest hash of doc_id). Every document is then
-searched whole: latent vectors of windows, at each scale of item lengths and
+passages, with the product A'(AQ) computed in Spark tasks, gives a latent space;
+it is fitted on every passage of every document and of all benchmark items. Every
+document is then searched whole: latent vectors of windows, at each scale of item lengths and
 ``OVERLAP`` starts a window, come from running sums over its words, and are
 compared with the items of that scale. Each window of cosine ``MIN_COSINE`` or
 more is checked: the longest common subsequence of the item's words with the
@@ -30,18 +29,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cobasket.llm.text import CACHE_ENTRIES, chunks, mix, powers
-from cobasket.session import scratch_path
+from cobasket.session import scratch_path, stored
 
 TERMS = 1 << 14
 RANK = 96
-EXTRA = 8
-POWERS = 1
-FIT_DOCS = 2_000
+EXTRA = 16
+POWERS = 0
 PASSAGE = 48
 OVERLAP = 3
 SCALE = 1.6
@@ -51,7 +50,11 @@ MIN_ANSWER = 0.5
 SURE = 0.8
 SHORT = 8
 ITEM_BYTES = 8 << 20
-TERM_BLOCK = 1 << 10
+TERM_BLOCK = 1 << 8
+#: Partial products added up at a time; passages multiplied, and groups of rows added, at a time.
+PARTS = 32
+PASSAGES = 2_730
+GROUP = 16
 #: Text bytes numbered at a time, words searched at a time, products and lookups held at a time.
 PIECE = 1 << 17
 RUN_WORDS = 1 << 14
@@ -157,90 +160,154 @@ _NUMBERS = TermNumbers()
 _NORMAL = NormalWords()
 
 
-def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """ln((1 + documents) / (1 + documents that hold the term)) of each term, over all documents."""
+def numbers_of(texts: DataFrame) -> DataFrame:
+    """Term numbers of every text (packed uint16), one row for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, some in chunks(batches):
+            numbers, starts = _NUMBERS.of_texts(some)
+            packed, ends = numbers.astype("<u2").tobytes(), (2 * starts).tolist()
+            yield pa.record_batch([pa.array([packed[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], names=["numbers"])
+
+    return texts.select("text").mapInArrow(run, "numbers binary")
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of runs of texts end to end, and where each text starts (one more than texts)."""
+    for batch in batches:
+        packed = batch.column(0).to_pylist()
+        starts = np.cumsum([0, *(len(x) // 2 for x in packed)])
+        for lo, hi in runs(starts, PASSAGE * PASSAGES):
+            yield np.frombuffer(b"".join(packed[lo:hi]), "<u2"), starts[lo : hi + 1] - starts[lo]
+
+
+def frequencies(numbers: DataFrame) -> np.ndarray:
+    """ln((1 + texts) / (1 + texts that hold the term)) of each term, over all rows of :func:`numbers_of`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = np.zeros(TERMS, np.int64), 0
-        for _, texts in chunks(batches):
-            numbers, starts = _NUMBERS.of_texts(texts)
-            for lo in range(0, len(texts), 256):
+        for some, starts in _unpacked(batches):
+            for lo in range(0, len(starts) - 1, 256):
                 own = starts[lo : lo + 257]
                 held_by = np.zeros((len(own) - 1, TERMS), bool)
-                held_by[np.repeat(np.arange(len(own) - 1), np.diff(own)), numbers[own[0] : own[-1]]] = True
+                held_by[np.repeat(np.arange(len(own) - 1), np.diff(own)), some[own[0] : own[-1]]] = True
                 held += held_by.sum(0)
-            n += len(texts)
+            n += len(starts) - 1
         used = np.flatnonzero(held)
         yield pa.record_batch([pa.array(np.append(used, -1)), pa.array(np.append(held[used], n))], names=["term", "n"])
 
-    got = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # at most TERMS + 1 rows
+    got = numbers.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # at most TERMS + 1 rows
     held = np.zeros(TERMS + 1)
     for r in got:
         held[r.term] += r.n
     return np.log((1 + held[-1]) / (1 + held[:-1])) + 1e-3
 
 
-def product(passages: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """A'(AQ) over TF-IDF rows of unit length; partial products are added up by blocks of terms."""
+def inverse_frequencies(docs: DataFrame) -> np.ndarray:
+    """:func:`frequencies` of the texts of all documents."""
+    return frequencies(numbers_of(docs))
+
+
+def group_sums(rows: np.ndarray, of: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums of the rows that ``of`` names, for each group of ``size`` entries from ``first``; groups of up to ``GROUP`` by size at once."""
+    out = np.empty((len(first), rows.shape[1]), np.float32)
+    some = np.argsort(size, kind="stable")
+    cuts = np.searchsorted(size[some], np.arange(1, GROUP + 2))
+    for n, lo, hi in zip(range(1, GROUP + 1), cuts[:-1], cuts[1:], strict=True):
+        if hi > lo:
+            own = some[lo:hi]
+            out[own] = rows.take(of[first[own]], 0, mode="clip")
+            for i in range(1, n):
+                out[own] += rows.take(of[first[own] + i], 0, mode="clip")
+    for k in some[cuts[-1] :].tolist():
+        out[k] = rows.take(of[first[k] : first[k] + size[k]], 0, mode="clip").sum(0)
+    return out
+
+
+def add_product(total: np.ndarray, numbers: np.ndarray, starts: np.ndarray, idf: np.ndarray, weighted: np.ndarray) -> None:
+    """Add C'(N(C weighted)) to ``total``: C the term counts of the texts' consecutive passages, N one over the squared length of each times ``idf``.
+
+    ``idf`` and ``weighted`` have a zero at the end, for words that fill up a passage.
+    """
+    sizes = np.diff(starts)
+    per = -(-sizes // PASSAGE)
+    filled = np.full(int(per.sum()) * PASSAGE, TERMS, np.uint16)
+    filled[np.arange(len(numbers)) + np.repeat((np.cumsum(per) - per) * PASSAGE - starts[:-1], sizes)] = numbers
+    passages = np.sort(filled.reshape(-1, PASSAGE), axis=1)
+    for lo in range(0, len(passages), PASSAGES):
+        some = passages[lo : lo + PASSAGES]
+        new = np.ones(some.shape, bool)
+        new[:, 1:] = some[:, 1:] != some[:, :-1]
+        at = np.flatnonzero(new)
+        weight = np.diff(at, append=some.size) * idf[some.ravel()[at]]
+        rows = np.zeros((len(some), weighted.shape[1]), np.float32)
+        for i in range(PASSAGE):
+            rows += weighted.take(some[:, i], 0, mode="clip")
+        rows /= np.bincount(at // PASSAGE, weight * weight).astype(np.float32)[:, None]
+        order = np.argsort(some.ravel(), kind="stable")
+        terms = some.ravel()[order]
+        order, terms = order[terms < TERMS], terms[terms < TERMS]
+        first = np.flatnonzero(np.diff(terms.astype(np.int64), prepend=-1))
+        total[terms[first]] += group_sums(rows, order // PASSAGE, first, np.diff(first, append=len(terms)))
+
+
+def product(numbers: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """A'(AQ) over all passages of rows of :func:`numbers_of`; a task's sums are added up by blocks of terms, ``PARTS`` tasks at a time."""
+    scale, filled = idf[:, None].astype(np.float32), np.append(idf, 0)
+    weighted = np.vstack([q * scale, np.zeros((1, q.shape[1]), np.float32)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(q.shape, np.float32)
-        for batch in batches:
-            for numbers in batch.column(0).to_pylist():
-                term, count = np.unique(np.frombuffer(numbers, "<u2"), return_counts=True)
-                x = (count * idf[term]).astype(np.float32)
-                x /= np.linalg.norm(x) or 1
-                total[term] += np.outer(x, x @ q[term])
-        blocks = range(0, TERMS, TERM_BLOCK)
-        yield pa.record_batch([pa.array(blocks, pa.int32()), pa.array([total[b : b + TERM_BLOCK].tobytes() for b in blocks], pa.binary())], names=["block", "part"])
+        for some, starts in _unpacked(batches):
+            add_product(total, some, starts, filled, weighted)
+        total *= scale
+        if total.any():
+            blocks = range(0, TERMS, TERM_BLOCK)
+            parts = [total[b : b + TERM_BLOCK].tobytes() for b in blocks]
+            task = [TaskContext.get().partitionId()] * len(blocks)
+            yield pa.record_batch([pa.array(blocks, pa.int32()), pa.array(task, pa.int32()), pa.array(parts, pa.binary())], names=["block", "task", "part"])
 
     def add(table: pa.Table) -> pa.Table:
-        parts = table.column("part").to_pylist()
-        total = np.sum([np.frombuffer(p, np.float32) for p in parts], axis=0, dtype=np.float64)
-        return pa.table({"block": table.column("block")[:1], "part": pa.array([total.tobytes()], pa.binary())})
+        total = np.sum([np.frombuffer(p, np.float32) for p in table.column("part").to_pylist()], axis=0, dtype=float).astype(np.float32)
+        return pa.table({"block": table.column("block")[:1], "task": table.column("task")[:1], "part": pa.array([total.tobytes()], pa.binary())})
 
-    got = passages.mapInArrow(run, "block int, part binary").groupBy("block").applyInArrow(add, "block int, part binary").collect()
+    sums = numbers.mapInArrow(run, "block int, task int, part binary")
+    for width in (PARTS, PARTS**2):
+        sums = sums.groupBy("block", F.floor(F.col("task") / width)).applyInArrow(add, "block int, task int, part binary")
     out = np.zeros(q.shape)
-    for r in got:
-        out[r.block : r.block + TERM_BLOCK] = np.frombuffer(bytes(r.part)).reshape(-1, q.shape[1])
+    for r in sums.groupBy("block").applyInArrow(add, "block int, task int, part binary").collect():  # TERMS by the columns of q
+        out[r.block : r.block + TERM_BLOCK] = np.frombuffer(bytes(r.part), np.float32).reshape(-1, q.shape[1])
     return out
 
 
-def passages_of(texts: DataFrame) -> DataFrame:
-    """Term numbers (packed uint16) of consecutive passages of every text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, some in chunks(batches):
-            out = []
-            numbers, starts = _NUMBERS.of_texts(some)
-            numbers = numbers.astype("<u2")
-            for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                out += [numbers[i : min(i + PASSAGE, b)].tobytes() for i in range(a, b, PASSAGE)]
-            yield pa.record_batch([pa.array(out, pa.binary())], names=["numbers"])
-
-    return texts.select("text").mapInArrow(run, "numbers binary")
-
-
-def latent_space(docs: DataFrame, items: DataFrame, idf: np.ndarray, rank: int = RANK, fit_docs: int = FIT_DOCS, seed: int = 11, partitions: int = 4) -> np.ndarray:
+def fit(numbers: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 11) -> np.ndarray:
     """Term vectors (with idf): the randomised SVD's right vectors, each divided by its singular value.
 
-    The division keeps a few common terms from deciding every cosine.
+    The division keeps a few common terms from deciding every cosine. With G = A'A
+    over all passages and Q a random basis, G is taken as (GQ)(Q'GQ)^-1(GQ)'
+    (Nystrom), after ``POWERS`` turns of Q towards it: a product over all rows each.
     """
-    chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs).distinct().select(F.col("doc_id").alias("chosen"))
-    some = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("chosen")).select("text")
-    rows = passages_of(some.unionByName(items.select("text")).repartition(partitions))
-    rows.persist()  # bounded by fit_docs and the items
-    try:
-        q = np.random.default_rng(seed).standard_normal((TERMS, rank + EXTRA)).astype(np.float32)
-        for _ in range(POWERS + 1):
-            q = np.linalg.qr(product(rows, idf, q))[0].astype(np.float32)
-        values, turn = np.linalg.eigh(q.T.astype(float) @ product(rows, idf, q))
-    finally:
-        rows.unpersist()
-    order = np.argsort(-values)[:rank]
-    values = np.maximum(values[order], 1e-9)
-    basis = (q @ turn[:, order]) / np.sqrt(values) * (values > 1e-6)
-    return (basis * idf[:, None]).astype(np.float32)
+    q = np.linalg.qr(np.random.default_rng(seed).standard_normal((TERMS, rank + EXTRA)))[0].astype(np.float32)
+    for _ in range(POWERS):
+        q = np.linalg.qr(product(numbers, idf, q))[0].astype(np.float32)
+    image = product(numbers, idf, q)
+    core = q.T.astype(float) @ image
+    values, turn = np.linalg.eigh((core + core.T) / 2)
+    sure = values > 1e-6 * max(values[-1], 1e-6)
+    root = image @ (turn[:, sure] / np.sqrt(values[sure]))
+    basis, singular, _ = np.linalg.svd(root, full_matrices=False)
+    values = np.zeros(rank)
+    n = min(rank, len(singular))
+    values[:n] = singular[:n] ** 2
+    out = np.zeros((TERMS, rank))
+    out[:, :n] = basis[:, :n]
+    out = out / np.sqrt(np.maximum(values, 1e-9)) * (values > 1e-6)
+    return (out * idf[:, None]).astype(np.float32)
+
+
+def latent_space(docs: DataFrame, items: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 11) -> np.ndarray:
+    """:func:`fit` over every passage of all documents and items."""
+    return fit(numbers_of(docs.select("text").unionByName(items.select("text"))), idf, rank, seed)
 
 
 @dataclass
@@ -360,11 +427,11 @@ def shared_terms(numbers: np.ndarray, begin: np.ndarray, end: np.ndarray, item:
     return out
 
 
-def runs(starts: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of documents of about ``RUN_WORDS`` words, one document at least."""
+def runs(starts: np.ndarray, words: int = RUN_WORDS) -> Iterator[tuple[int, int]]:
+    """Ranges of documents of about ``words`` words, one document at least."""
     lo = 0
     while lo < len(starts) - 1:
-        hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + RUN_WORDS, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + words, "right")) - 1)
         yield lo, hi
         lo = hi
 
@@ -419,7 +486,7 @@ def search(docs: DataFrame, items: list[Item], vectors: np.ndarray, min_cosine:
     return docs.select("doc_id", "text").mapInArrow(run, _FOUND), sent
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, fit_docs: int = FIT_DOCS, item_bytes: int = ITEM_BYTES) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, item_bytes: int = ITEM_BYTES) -> DataFrame:
     """doc_id, item_id, cosine, common (share of the item found), answer (share of its answer), one row for each leak.
 
     Items are searched a block of about ``item_bytes`` at a time, dealt by hash
@@ -428,8 +495,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, fit_docs
     spark = docs.sparkSession
     items = benchmark.select("item_id", "text").where("text is not null").distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0)).alias("bytes")).first().bytes
-    idf = inverse_frequencies(docs)
-    vectors = latent_space(docs, items, idf, rank, fit_docs, partitions=4 + size // item_bytes)
+    numbers = stored(numbers_of(docs), "term-numbers")  # 2 bytes a word
+    idf = frequencies(numbers)
+    vectors = fit(numbers.unionByName(numbers_of(items)), idf, rank)
     blocks, scratch = 1 + size // item_bytes, scratch_path(spark, "leaks")
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     for block in range(blocks):

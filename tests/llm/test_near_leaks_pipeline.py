@@ -187,6 +187,31 @@ def test_recall_of_the_candidate_search(spark, corpus):
     assert np.mean(found) >= 0.9
 
 
+def test_the_latent_space_is_fitted_on_every_document(spark):
+    """Any one document's words change it, and the product is A'(AQ) over all passages, by loops."""
+    draw = random.Random(31)
+    texts = [" ".join(f"w{draw.randrange(300)}" for _ in range(draw.choice([0, 1, 47, 48, 49, 130]))) for _ in range(2100)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(2100, None), (None, "held by none but this one")]
+    docs, bench = frame(spark, rows), items_of(spark, ["w1 w2 w3 w4 w5 w6 w7 w8 w9"])
+    idf = leaks.inverse_frequencies(docs)
+    held = {n for w in texts for n in set(leaks.TermNumbers().of([x.encode() for x in w.split()]).tolist())}
+    vectors = leaks.latent_space(docs, bench, idf, rank=8)
+    assert all(vectors[n].any() for n in held)
+    own = leaks.TermNumbers().of([b"held", b"none", b"but"])
+    assert vectors[own].any(axis=1).all()  # the one document without an id
+    q = np.random.default_rng(3).standard_normal((leaks.TERMS, 5)).astype(np.float32)
+    want = np.zeros(q.shape)
+    for _, text in rows:
+        numbers = leaks.TermNumbers().of((text or "").encode().split())
+        for lo in range(0, len(numbers), leaks.PASSAGE):
+            x = np.bincount(numbers[lo : lo + leaks.PASSAGE], minlength=leaks.TERMS) * idf
+            x /= np.linalg.norm(x)
+            some = np.flatnonzero(x)
+            want[some] += np.outer(x[some], x[some] @ q[some])
+    got = leaks.product(leaks.numbers_of(docs.repartition(70)), idf, q)
+    assert np.allclose(got, want, atol=1e-3 * np.abs(want).max())
+
+
 def test_term_numbers_follow_normal_words():
     """Words of one normal form have one number, other words other numbers but for chance; texts are cut as ``split`` does."""
     draw, signs = random.Random(5), ["a", "B", "Ä", "ß", "é", "×", "÷", "ÿ", "Σ", "İ", "ж", "Ж", "“", ".", "!", "_", "-", "9", "$", "\x1c", "\xa0", "😀"]
