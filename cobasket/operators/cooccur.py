@@ -29,7 +29,8 @@ Plans
     skew-join handling splits oversized basket partitions.
 ``auto``
     One aggregation finds the baskets whose *rows* could exceed the threshold.
-    Usually there are none, and ``array`` takes all. Otherwise the distinct
+    Usually there are none, and ``array`` takes all, with as many tasks as rows and
+    combinations need (``TASK_TUPLES``). Otherwise the distinct
     rows of those candidates are written to the shared scratch folder, their
     distinct items are counted, and only baskets over the threshold by that
     count go to ``blocked``; duplicates cost a candidate nothing but the one
@@ -39,7 +40,7 @@ Plans
 
 from __future__ import annotations
 
-from math import comb
+from math import ceil, comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +54,9 @@ from cobasket.session import stored
 # default row threshold is derived from it per k (k=2: 2000, k=3: 230, k=4: 84).
 COMBO_BUDGET = 2_000_000
 PLANS = ("auto", "array", "blocked", "join")
+# Tuples (and rows) that one task holds, about; tasks of fewer rows than LEAST_ROWS are not worth a split.
+TASK_TUPLES = 1_000_000
+LEAST_ROWS = 20_000
 
 
 def product_columns(k: int) -> list[str]:
@@ -90,6 +94,32 @@ def candidate_baskets(rows: DataFrame, threshold: int) -> DataFrame:
     return rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_r")).where(F.col("_r") > F.lit(threshold)).select("_b")
 
 
+def _tasks(df: DataFrame, rows: int, tuples: float) -> int:
+    """Tasks for so many rows and tuples; 0 where the session's own partitions are as small."""
+    n = ceil(max(rows / TASK_TUPLES, min(tuples / TASK_TUPLES, rows / LEAST_ROWS)))
+    return n if n > df.sparkSession.sparkContext.defaultParallelism else 0
+
+
+def _spread(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to ``tasks`` tasks, whose number follows the input; 0: left to Spark."""
+    return df.repartition(tasks, *keys) if tasks else df
+
+
+def _combinations(n: str, k: int) -> Column:
+    """C(n, k) as a double."""
+    c = F.lit(1.0)
+    for i in range(k):
+        c = c * F.greatest(F.col(n) - F.lit(i), F.lit(0)) / F.lit(float(i + 1))
+    return c
+
+
+def _load(rows: DataFrame, k: int, threshold: int) -> tuple[int, int, float]:
+    """Rows of the largest basket, all rows, and about how many k-combinations they make (up to ``threshold`` rows a basket)."""
+    per = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_r")).withColumn("_m", F.least("_r", F.lit(threshold)))
+    got = per.agg(F.max("_r"), F.sum("_r"), F.sum(_combinations("_m", k))).first()
+    return got[0] or 0, got[1] or 0, got[2] or 0.0
+
+
 def _sized(distinct_rows: DataFrame) -> DataFrame:
     """``distinct_rows`` with the basket's number of distinct items, ``_n``."""
     sizes = stored(distinct_rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")), "basket-sizes")
@@ -123,8 +153,8 @@ def _array_tuples(rows: DataFrame, k: int, flagged: bool) -> DataFrame:
     )
 
 
-def _join_tuples(rows: DataFrame, k: int, flagged: bool) -> DataFrame:
-    d = rows.distinct()
+def _join_tuples(rows: DataFrame, k: int, flagged: bool, tasks: int = 0) -> DataFrame:
+    d = _spread(rows.distinct(), tasks, "_b")
     flags = [F.col("_f").alias("_g")] if flagged else []
     t = d.select("_b", F.col("_i").alias("_c1"), *flags)
     for j in range(2, k + 1):
@@ -167,8 +197,13 @@ def _blocked_tuples(heavy_rows: DataFrame, k: int, block: int, flagged: bool) ->
         F.col("_k").alias("_kb"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_k"))).alias("_ka"),
     )
+    # each row meets about half of its basket's others
+    n, met = heavy_rows.agg(F.count(F.lit(1)), F.sum(F.col("_n").cast("double"))).first()
+    tasks = _tasks(heavy_rows, n, (met or 0.0) / 2)
+    keys = ["_b", "_ka", "_kb"]
     t = (
-        left.join(right.hint("merge"), ["_b", "_ka", "_kb"])
+        _spread(left, tasks, *keys)
+        .join(_spread(right, tasks, *keys).hint("merge"), keys)
         .where((F.col("_ka") < F.col("_kb")) | (F.col("_x") < F.col("_y")))
         .select(
             "_b",
@@ -203,16 +238,17 @@ def _blocked_tuples(heavy_rows: DataFrame, k: int, block: int, flagged: bool) ->
 
 
 def _auto_tuples(rows: DataFrame, k: int, threshold: int, block: int, flagged: bool) -> DataFrame:
-    largest = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_r")).agg(F.max("_r")).first()[0]
-    if (largest or 0) <= threshold:
-        return _array_tuples(rows, k, flagged)
+    largest, n, most = _load(rows, k, threshold)
+    tasks = _tasks(rows, n, most)
+    if largest <= threshold:
+        return _array_tuples(_spread(rows, tasks, "_b"), k, flagged)
     candidates = stored(candidate_baskets(rows, threshold), "candidate-baskets")
     crowded = stored(rows.join(candidates, "_b", "left_semi").distinct(), "candidate-rows")
     sized = _sized(crowded)
     few = sized.where(F.col("_n") <= F.lit(threshold)).drop("_n")
     many = sized.where(F.col("_n") > F.lit(threshold))
     light = rows.join(candidates, "_b", "left_anti").unionByName(few)
-    return _array_tuples(light, k, flagged).unionByName(_blocked_tuples(many, k, block, flagged))
+    return _array_tuples(_spread(light, tasks, "_b"), k, flagged).unionByName(_blocked_tuples(many, k, block, flagged))
 
 
 def cooccurrence(
@@ -256,7 +292,8 @@ def cooccurrence(
     elif plan == "array":
         tuples = _array_tuples(rows, k, flagged)
     elif plan == "join":
-        tuples = _join_tuples(rows, k, flagged)
+        _, n, most = _load(rows, k, heavy_threshold_for(k))
+        tuples = _join_tuples(rows, k, flagged, _tasks(rows, n, most))
     elif plan == "blocked":
         tuples = _blocked_tuples(_sized(stored(rows.distinct(), "distinct-rows")), k, block or block_for(k), flagged)
     else:

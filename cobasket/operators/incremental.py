@@ -33,8 +33,10 @@ def merge_counts(*counts: DataFrame) -> DataFrame:
     u = counts[0].select(*keys, "baskets")
     for c in counts[1:]:
         u = u.unionByName(c.select(*keys, "baskets"))
+    # dealt in another order of keys than the counts are, or Spark would count all parts and add them up in one task
     return (
-        u.groupBy(*keys)
+        u.repartition(*reversed(keys))
+        .groupBy(*keys)
         .agg(F.sum("baskets").cast("bigint").alias("baskets"))
         .where(F.col("baskets") != 0)
     )

@@ -30,8 +30,8 @@ from cobasket.operators.cooccur import heavy_threshold_for, sized_cooccurrence
 from cobasket.session import stored
 
 SIZE = "basket_size"
-# about 64 MB of two bigint columns, before compression
-ROWS_PER_BUCKET = 4_000_000
+# a bucket is one task: its rows and their combinations are sorted and counted there
+ROWS_PER_BUCKET = 500_000
 
 
 @dataclass(frozen=True)
