@@ -23,7 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from cobasket.operators import bucket, clean, cooccur, dedup, incremental, quality  # noqa: E402
 from cobasket.plans import basket_table, export, ingest  # noqa: E402
-from cobasket.session import scratch_path  # noqa: E402
+from cobasket.session import scratch_path, stored  # noqa: E402
 from cobasket.sources import sales as src  # noqa: E402
 from cobasket.sources import synth  # noqa: E402
 from cobasket.streaming import ingest_stream, keyed_ingest, pair_counts  # noqa: E402
@@ -286,7 +286,7 @@ def q_duplicate_injection_drawn(spark, sf_dir):
 def q_export_order(spark, sf_dir):
     """Rows of a ranked and of a shuffled export, and whether they stand in rank order on disk."""
     out = scratch_path(spark, "order")
-    counts = _pairs(spark, sf_dir)
+    counts = stored(_pairs(spark, sf_dir), "pair-counts")  # both exports are of one count
     export.write_counts_csv(counts, f"{out}/ranked")
     counts.repartition(4).write.option("header", True).csv(f"{out}/shuffled")
     checks = [export.order_check(spark, f"{out}/{name}", 2, "bigint").withColumn("export", F.lit(name)) for name in ("ranked", "shuffled")]
@@ -361,8 +361,8 @@ def q_triple_pair_closure(spark, sf_dir):
 
 def q_pair_incremental(spark, sf_dir):
     existing, incoming = _existing(spark, sf_dir), _incoming(spark, sf_dir)
-    stored = cooccur.cooccurrence(existing, 2)
-    return incremental.update_counts(stored, incoming, existing, 2)
+    before = cooccur.cooccurrence(existing, 2)
+    return incremental.update_counts(before, incoming, existing, 2)
 
 
 def q_pair_merge_partials(spark, sf_dir):
@@ -423,9 +423,13 @@ def q_reencode_roundtrip(spark, sf_dir):
     return spark.read.text(plain).select(F.col("value").alias("line"))
 
 
+#: Rows of one gzip file, at most about.
+FILE_ROWS = 500_000
+
+
 def _text(rows: DataFrame, files: int, path: str) -> None:
-    """Rows as ``files`` gzip CSV files (gzip can't be split: one task each)."""
-    rows.repartition(files).write.option("compression", "gzip").csv(path)
+    """Rows as ``files`` gzip CSV files or more, as they need (gzip can't be split: one task each)."""
+    rows.repartition(max(files, rows.count() // FILE_ROWS)).write.option("compression", "gzip").csv(path)
 
 
 def _bigints(rows: DataFrame) -> DataFrame:
@@ -510,12 +514,12 @@ def q_stream_dedup_window(spark, sf_dir):
     year, late = F.year("sold_at"), F.year(F.col("sold_at") + F.expr("INTERVAL 30 DAYS"))
     whole = sales.select("*", F.explode(F.array_distinct(F.array(year, late))).alias("lot"))
     first, last = whole.agg(F.min("lot"), F.max("lot")).first()
-    for lot in range(first, last + 1):
-        # one file for each year, a batch of its own
-        whole.where(F.col("lot") == lot).drop("lot").coalesce(1).write.mode("append").parquet(f"{inbox}/lot={lot}")
     progress = []
-    for _ in range(2):  # the second run finds nothing new
-        stream = ingest_stream.file_stream(spark, inbox, "parquet", sales.schema, max_files_per_trigger=1)
+    for lot in range(first, last + 2):  # the last run finds nothing new
+        # each year is a batch of its own, of as many files as the table has splits
+        if lot <= last:
+            whole.where(F.col("lot") == lot).drop("lot").write.mode("append").parquet(f"{inbox}/lot={lot}")
+        stream = ingest_stream.file_stream(spark, inbox, "parquet", sales.schema, max_files_per_trigger=None)
         run = ingest_stream.start_dedup_stream(
             stream, table, ckpt, event, mode="window", event_time="sold_at", delay="40 days", columns=["basket_id", "product_id"]
         )
@@ -531,9 +535,9 @@ def q_stream_pair_counts(spark, sf_dir):
     rows, counts = scratch_path(spark, "stream-rows"), scratch_path(spark, "stream-counts")
     ckpt = scratch_path(spark, "stream-ckpt")
     _streamed(spark, sf_dir, lambda s: pair_counts.start_pair_count_stream(s, rows, counts, ckpt, 2))
-    stored = spark.read.parquet(rows)
-    last = stored.agg(F.max("batch_id")).first()[0]
-    replayed = stored.where(F.col("batch_id") == last).select("basket_id", "product_id")
+    kept = spark.read.parquet(rows)
+    last = kept.agg(F.max("batch_id")).first()[0]
+    replayed = kept.where(F.col("batch_id") == last).select("basket_id", "product_id")
     pair_counts.apply_batch(replayed, int(last), rows, counts, 2)
     return pair_counts.read_counts(spark, counts, 2, must_exist=True)
 
