@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from math import ceil
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -423,7 +424,7 @@ def q_reencode_roundtrip(spark, sf_dir):
     return spark.read.text(plain).select(F.col("value").alias("line"))
 
 
-#: Rows of one gzip file, at most about.
+#: Rows of one file that is written for a job to read, at most about.
 FILE_ROWS = 500_000
 
 
@@ -479,11 +480,15 @@ def q_ingest_by_date(spark, sf_dir):
 
 
 def _streamed(spark, sf_dir, start):
-    """Run ``start(stream)`` over sales that arrive as files in two lots, one file a batch, with a restart between them."""
+    """Run ``start(stream)`` over sales that arrive in two lots of two batches each, with a restart between the lots.
+
+    A batch is one file, or as many of ``FILE_ROWS`` rows as it needs: a file of one row group is one task.
+    """
     inbox = scratch_path(spark, "stream-in")
     for lot, part in (("1", _existing(spark, sf_dir)), ("2", _incoming(spark, sf_dir))):
-        part.repartition(2, "basket_id", "product_id").write.mode("append").parquet(f"{inbox}/lot={lot}")
-        stream = ingest_stream.file_stream(spark, inbox, "parquet", part.schema, max_files_per_trigger=1)
+        files = max(1, ceil(part.count() / 2 / FILE_ROWS))
+        part.repartition(2 * files, "basket_id", "product_id").write.mode("append").parquet(f"{inbox}/lot={lot}")
+        stream = ingest_stream.file_stream(spark, inbox, "parquet", part.schema, max_files_per_trigger=files)
         ingest_stream.run_to_completion(start(stream))
 
 

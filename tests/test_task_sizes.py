@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 import __spark_entry__ as entry
 import pytest
 from conftest import as_counts, sales_df, sql_counts
+from pyspark.sql import functions as F
 
 from cobasket.operators import cooccur, incremental
 from cobasket.plans import basket_table, export
@@ -83,3 +84,22 @@ def test_both_exports_are_of_one_stored_count(spark, tmp, monkeypatch):
     monkeypatch.setattr(export, "write_counts_csv", lambda counts, *a, **b: (seen.extend(counts.inputFiles()), write(counts, *a, **b))[1])
     entry.q_export_order(spark, tmp)
     assert seen and all("pair-counts" in f for f in seen)
+
+
+def test_streamed_batches_are_of_as_many_files_as_they_need(spark, tmp, monkeypatch):
+    _lineitem(spark, tmp, 2)
+    monkeypatch.setattr(entry, "FILE_ROWS", 40)
+    seen = []
+
+    def files(batch, batch_id):
+        seen.append({f.split("/")[-1]: n for f, n in batch.groupBy(F.input_file_name()).count().collect()})
+
+    entry._streamed(
+        spark, tmp, lambda s: s.writeStream.foreachBatch(files).option("checkpointLocation", f"{tmp}/ckpt").trigger(availableNow=True).start()
+    )
+    assert len(seen) == 4 and all(len(batch) > 1 and max(batch.values()) < 80 for batch in seen)
+    assert sum(n for batch in seen for n in batch.values()) == 600  # lines 1 to 4, then lines 3 and 4 again
+    monkeypatch.undo()
+    want = {(i, i % 7) for i in range(400)}
+    got = [tuple(r) for r in entry.q_stream_dedup(spark, tmp).collect()]
+    assert len(got) == 400 and set(got) == want
