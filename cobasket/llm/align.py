@@ -32,6 +32,7 @@ doc_id and text are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
@@ -237,6 +238,14 @@ def aligner(a_path: str | None, b_path: str | None) -> Aligner:
     return _ALIGNERS[key]
 
 
+def forget() -> None:
+    """Give back the memory of this process's aligners: once blocks are written, other tasks need it."""
+    if _ALIGNERS:
+        _ALIGNERS.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs of ``values`` that end before ``ends``."""
     total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
@@ -299,6 +308,7 @@ def block_pairs(blocks: DataFrame) -> DataFrame:
     """block, pair, n: the id pairs of each block and how many of its documents hold them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for block, pairs, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 pairs, n = np.frombuffer(pairs, "<i8"), np.frombuffer(n, "<u4").astype(np.int64)
@@ -322,6 +332,7 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None)
     known = pairs.select("block", "pair").join(counts.hint("merge"), "pair").select("block", "pair", "n", "best")
 
     def rows(left: pa.Table, right: pa.Table) -> pa.Table:
+        forget()
         out = []
         found = right.sort_by("pair")
         n, best = found.column("n").to_numpy(), found.column("best").to_numpy(zero_copy_only=False)

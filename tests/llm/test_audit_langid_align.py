@@ -286,6 +286,15 @@ def test_units_are_forgotten_and_long_ones_not_remembered(monkeypatch):
         assert len(coder) < 400 and "y" * 1000 not in coder
 
 
+def test_aligners_are_given_back_once_blocks_are_written(monkeypatch):
+    class Blocks:
+        select = lambda self, *columns: self
+        mapInArrow = lambda self, run, kind: run
+
+    monkeypatch.setattr(align, "_ALIGNERS", {("a", "b"): object()})
+    assert not list(align.block_pairs(Blocks())([])) and not align._ALIGNERS
+
+
 def test_spans_are_refined_where_they_do_not_fit():
     ends = lambda spans, sizes: align.token_ends(*np.array(spans).T, np.array(sizes)).tolist()
     # two tokens of one character of three bytes, both with its span, then a letter
