@@ -10,6 +10,7 @@ import os
 import re
 import struct
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -111,12 +112,25 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-#: Where a word's marks follow its letters; none of these marks begins a special token or a contraction.
-_MARKED = re.compile(rb"(?:(?<=[A-Za-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))(?=[.,;:!?$%&*#])")
+#: A mark that follows a word's letters; none of these marks begins a special token or a contraction.
+_MARKED = re.compile(rb"[.,;:!?$%&*#](?:(?<=[A-Za-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
 #: Longer words are not remembered.
 LONG_WORD = 128
 
 
+def distinct_words(texts: list[bytes]) -> tuple[list[bytes], pa.Array, np.ndarray]:
+    """The distinct words of all texts, which of them each word is, and where each text starts (one more than texts).
+
+    Arrow splits at the same six characters; white space at the ends of a text gives an empty word.
+    """
+    split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+    coded = split.flatten().dictionary_encode()
+    words = coded.dictionary.view(pa.large_binary())
+    ends = np.frombuffer(words.buffers()[1], "<i8")[words.offset : words.offset + len(words) + 1].tolist() if len(words) else []
+    data = words.buffers()[2].to_pybytes() if ends and words.buffers()[2] else b""
+    return [data[a:b] for a, b in pairwise(ends)], coded.indices, np.asarray(split.offsets)
+
+
 class WordIds(dict):
     """Token ids (packed little-endian uint32) of words, remembered.
 
@@ -124,7 +138,8 @@ class WordIds(dict):
     a text are those of its words, end to end. It also never joins letters and
     the marks after them, and lower-cases, so texts are lower-cased (in ASCII) and
     cut between letters and marks as a whole, which leaves fewer words to encode.
-    Words not met for a while are forgotten.
+    A run of texts looks each of its distinct words up once; Arrow puts their ids
+    where the words are. Words not met for a while are forgotten.
     """
 
     def __init__(self, path: str):
@@ -138,12 +153,12 @@ class WordIds(dict):
         self.direct = all([t.id for t in self.tokenizer.model.tokenize(x)] == self.tokenizer.encode(x, add_special_tokens=False).ids for x in plain)
         self.older: dict[bytes, bytes] = {}  # the words of before; those in use come back
 
-    def words(self, text: bytes) -> list[bytes]:
-        """A text's words, cut between letters and the marks after them."""
+    def cut(self, text: bytes) -> bytes:
+        """A text with a space between letters and the marks after them."""
         # special tokens tell cases apart, and so may letters before a combining mark
         if b"<|" not in text and b"\xcc" not in text:
             text = text.lower()
-        return _MARKED.sub(b" ", text).split()
+        return _MARKED.sub(rb" \g<0>", text)
 
     def learn(self, words: list[bytes]) -> None:
         """Encode words that are not known yet."""
@@ -173,17 +188,19 @@ class WordIds(dict):
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed ids of each text."""
-        split = [self.words(t) for t in texts]
+        words, places, starts = distinct_words([self.cut(t) for t in texts])
         if len(self) >= CACHE_ENTRIES:
             self.older = dict(self)
             self.clear()
-        new = list(set().union(*split).difference(self))
+        new = [w for w in words if w not in self]
         self.learn(new)
-        out = [b"".join(map(self.__getitem__, words)) for words in split]
+        ids = pa.array([self[w] for w in words], pa.large_binary()).take(places)
         for w in new:
             if len(w) > LONG_WORD:
                 del self[w]
-        return out
+        ends = np.frombuffer(ids.buffers()[1], "<i8")[starts].tolist() if len(ids) else [0] * len(starts)
+        data = ids.buffers()[2].to_pybytes() if ends[-1] else b""
+        return [data[a:b] for a, b in pairwise(ends)]
 
 
 _IDS: dict[str, WordIds] = {}

@@ -33,6 +33,8 @@ from cobasket.session import scratch_path
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
+#: Documents whose ids are counted at a time.
+COUNTED_DOCS = 1024
 _STAGED = "part int, row long, doc_id long, ids binary"
 _COUNTS = "token int, n long"
 _BLOCKS = "part int, row long, n_docs int, n_tokens long, doc_ids binary, doc_nulls binary, doc_lengths binary, payload binary, crc32 long"
@@ -66,8 +68,8 @@ def count_tokens(staged: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                seen = np.bincount(np.frombuffer(ids, "<u4"))
+            for lo in range(0, batch.num_rows, COUNTED_DOCS):
+                seen = np.bincount(np.frombuffer(b"".join(batch.column(0).slice(lo, COUNTED_DOCS).to_pylist()), "<u4"))
                 if len(seen) > len(total):
                     seen[: len(total)] += total
                     total = seen

@@ -163,3 +163,22 @@ def test_words_cut_from_their_marks_encode_like_whole_texts():
         got = [list(memoryview(x).cast("I")) for x in coder.encode([t.encode() for t in texts[lo:]])]
         assert got == want[lo:]
     assert all(len(w) <= text.LONG_WORD for w in coder)
+
+
+def test_a_run_of_texts_looks_up_each_of_its_words_once():
+    import public_tokenizers
+
+    class Counted(text.WordIds):
+        looked_up = 0
+
+        def __getitem__(self, word):
+            self.looked_up += 1
+            return super().__getitem__(word)
+
+    coder = Counted(public_tokenizers.path("word_bpe_49k.json"))
+    got = coder.encode([b"the zebra, the zebra. ", b"", b"\n", b" Zebra the"] * 500)
+    ids = {w: plain(w, 0)[:-1] for w in ("the", "zebra", ",", ".")}
+    want = [[*ids["the"], *ids["zebra"], *ids[","], *ids["the"], *ids["zebra"], *ids["."]], [], [], [*ids["zebra"], *ids["the"]]] * 500
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
+    assert coder.looked_up <= 5
+    assert coder.encode([]) == [] and coder.encode([b""]) == [b""]
