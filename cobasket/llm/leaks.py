@@ -34,7 +34,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cobasket.llm.text import CACHE_ENTRIES, chunks, mix, powers
+from cobasket.llm.text import CACHE_ENTRIES, chunks, mix, powers, release
 from cobasket.session import scratch_path, stored
 
 TERMS = 1 << 14
@@ -168,6 +168,7 @@ def numbers_of(texts: DataFrame) -> DataFrame:
             numbers, starts = _NUMBERS.of_texts(some)
             packed, ends = numbers.astype("<u2").tobytes(), (2 * starts).tolist()
             yield pa.record_batch([pa.array([packed[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], names=["numbers"])
+        release()
 
     return texts.select("text").mapInArrow(run, "numbers binary")
 
@@ -482,6 +483,8 @@ def search(docs: DataFrame, items: list[Item], vectors: np.ndarray, min_cosine:
             columns = zip(*found, strict=True) if found else [[]] * 5
             types = [pa.int64()] * 2 + [pa.float64()] * 3
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[f.strip().split(" ")[0] for f in _FOUND.split(",")])
+        _NORMAL.clear()
+        release()
 
     return docs.select("doc_id", "text").mapInArrow(run, _FOUND), sent
 

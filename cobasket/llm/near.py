@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cobasket.llm.text import WordHashes, chunks, mix, rolling
+from cobasket.llm.text import WordHashes, chunks, mix, release, rolling
 from cobasket.session import scratch_path
 
 SHINGLE = 5
@@ -47,6 +47,8 @@ SMALL = 8
 BLOCK = 512
 _BASE = 0xA0761D6478BD642F
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+#: Text bytes signed at a time: a task holds several arrays as long as their shingles.
+SIGNED_BYTES = 1 << 20
 _HASHES = WordHashes(5)
 _SIGNED = "doc_id long, words binary, shingles int, bands array<long>"
 _SETS = "doc_id long, shingles binary"
@@ -58,6 +60,12 @@ def shingles(words: list[bytes]) -> np.ndarray:
     return rolling(_HASHES.of(words), min(SHINGLE, len(words)), _BASE) if words else np.zeros(0, np.uint64)
 
 
+def forget() -> None:
+    """Give back the memory of this process's word hashes, at the end of a task."""
+    _HASHES.clear()
+    release()
+
+
 def signatures(keys: list[np.ndarray], weights: list[np.ndarray], registers: int) -> np.ndarray:
     """ProbMinHash of weighted sets: for each set, the element that comes first in each register (0: an empty set)."""
     n = len(keys)
@@ -100,7 +108,7 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, a 128-bit hash of the word sequence, the number of distinct shingles, and band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches):
+        for batch, texts in chunks(batches, size=SIGNED_BYTES):
             keys, weights, names = [], [], []
             for text in texts:
                 words = text.split()
@@ -115,6 +123,7 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                 own[i] = np.union1d(own[i], more)
             listed = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, own)]), pa.int32()), pa.array(np.concatenate(own)))
             yield pa.record_batch([batch.column(0), pa.array(names, pa.binary()), pa.array([len(k) for k in keys], pa.int32()), listed], names=["doc_id", "words", "shingles", "bands"])
+        forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, _SIGNED)
 
@@ -130,9 +139,10 @@ def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Sorted distinct shingle hashes, packed, of the documents in ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches):
+        for batch, texts in chunks(batches, size=SIGNED_BYTES):
             sets = [np.unique(shingles(t.split())).astype("<u8").tobytes() for t in texts]
             yield pa.record_batch([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
+        forget()
 
     # the ids grow with the input: merged at every size, never broadcast
     wanted = ids.select(F.col("doc_id").alias("wanted")).hint("merge")

@@ -6,6 +6,8 @@ ASCII characters, so texts stay UTF-8 bytes and are never decoded for it.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import struct
@@ -21,6 +23,8 @@ import xxhash
 CACHE_ENTRIES = 300_000
 #: Text bytes worked on at a time inside one task.
 CHUNK_BYTES = 4 << 20
+#: The C library's call that returns freed memory to the system, where it has one (glibc).
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
@@ -30,18 +34,26 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return pc.fill_null(column.cast(pa.large_binary()), b"").to_pylist()
 
 
-def chunks(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Cut Arrow batches into runs of about ``CHUNK_BYTES`` of text, in order."""
+def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Cut Arrow batches into runs of about ``size`` bytes of text, in order; only the texts of one run are Python's."""
     for batch in batches:
-        texts = utf8(batch.column(batch.schema.get_field_index(text)))
+        column = batch.column(batch.schema.get_field_index(text))
         lo = held = 0
-        for i, t in enumerate(texts):
-            held += len(t)
-            if held >= CHUNK_BYTES:
-                yield batch.slice(lo, i + 1 - lo), texts[lo : i + 1]
+        for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+            held += n
+            if held >= size:
+                yield batch.slice(lo, i + 1 - lo), utf8(column.slice(lo, i + 1 - lo))
                 lo, held = i + 1, 0
-        if lo < len(texts):
-            yield batch.slice(lo), texts[lo:]
+        if lo < batch.num_rows:
+            yield batch.slice(lo), utf8(column.slice(lo))
+
+
+def release() -> None:
+    """Give back the memory that this process has no use for: it waits for other tasks beside those at work."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 class WordHashes(dict):

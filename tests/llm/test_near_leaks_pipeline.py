@@ -328,3 +328,28 @@ def test_stages_take_odd_tables(spark, odd, empty):
             rows = out.collect()
             if name != "packing":
                 docs = spark.createDataFrame(rows, docs.schema)
+
+
+def test_tasks_hold_one_run_of_texts_and_leave_no_caches():
+    import pyarrow as pa
+
+    from cobasket.llm import text
+
+    made, real = [], text.utf8
+    batch = pa.record_batch([pa.array([f"word{i} " * 50 if i % 7 else None for i in range(300)])], names=["text"])
+
+    def counted(column):
+        made.append(len(column))
+        return real(column)
+
+    text.utf8 = counted
+    try:
+        got = [(b.num_rows, t) for b, t in text.chunks([batch], size=2000)]
+    finally:
+        text.utf8 = real
+    assert max(made) < 20 and [n for n, _ in got] == made
+    assert [x for _, t in got for x in t] == real(batch.column(0))
+    near.shingles([b"a", b"b", b"c"])
+    assert near._HASHES
+    near.forget()
+    assert not near._HASHES
