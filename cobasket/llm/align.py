@@ -32,7 +32,6 @@ doc_id and text are ignored.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import os
 import re
@@ -41,19 +40,20 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cobasket.llm.text import chunks
+from cobasket.llm.text import chunks, release
 from cobasket.session import stored
 
 #: Bytes of remembered units, about, in one process.
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 64 << 20
 #: A unit of more characters is not remembered.
 LONG = 64
 #: Characters of units that are encoded as one text.
-RUN = 2048
+RUN = 8192
 #: Characters that are or may count as white space, or stand for it, in one of the tokenizers.
 _BLANK = r"\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u2581\u3000\ufeff"
 #: A space behind any other character, and not at the end.
@@ -100,6 +100,7 @@ def byte_places(text: str) -> np.ndarray:
 #: links as packed uint64, A's id in the high half. A plain tuple, as a process holds very many of them.
 Unit = tuple[int, int, int, int, bytes, bytes]
 NO_TOKENS: Unit = (0, 0, 0, 0, b"", b"")
+_UNKNOWN = object()
 
 
 def line_up(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray, unit_ends: np.ndarray) -> list[Unit]:
@@ -150,13 +151,15 @@ class Aligner(dict):
         self.cuts = not any(_CUT.search(t.decode("utf-8", "replace") + "x") for t in [*self.a_bytes, *self.b_bytes])
         self.held = 0
 
+    def plain(self, text: str) -> bool:
+        """Whether a text's units are what lies between its spaces."""
+        return self.cuts and not text.startswith(" ") and not text.endswith(" ") and not _ODD.search(text)
+
     def split(self, text: str) -> list[str]:
         """Units of a text, each without the space before it."""
         if not self.cuts:
             return [text]
-        if not text.startswith(" ") and not text.endswith(" ") and not _ODD.search(text):
-            return text.split(" ")
-        return _CUT.split(text)
+        return text.split(" ") if self.plain(text) else _CUT.split(text)
 
     def runs(self, units: list[str]) -> list[list[str]]:
         """Units to encode as one text each: those that end in a blank, or are long, alone."""
@@ -210,11 +213,13 @@ class Aligner(dict):
 
     def units(self, names: list[str]) -> list[Unit | None]:
         """All of ``names``, from memory or encoded."""
-        new = [u for u in names if u not in self]
+        out = [self.get(u, _UNKNOWN) for u in names]
+        places = [k for k, x in enumerate(out) if x is _UNKNOWN]
         fresh: dict[str, Unit | None] = {}
-        for lo in range(0, len(new), 20_000):
-            fresh |= self.learn(new[lo : lo + 20_000])
-        out = [fresh[u] if u in fresh else self[u] for u in names]
+        for lo in range(0, len(places), 20_000):
+            fresh |= self.learn([names[k] for k in places[lo : lo + 20_000]])
+        for k in places:
+            out[k] = fresh[names[k]]
         if self.held > CACHE_BYTES:
             self.clear()
             self.held = 0
@@ -242,8 +247,7 @@ def forget() -> None:
     """Give back the memory of this process's aligners: once blocks are written, other tasks need it."""
     if _ALIGNERS:
         _ALIGNERS.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        release()
 
 
 def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -258,15 +262,29 @@ def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def _places(texts: list[bytes], coder: Aligner) -> tuple[list[str], list[np.ndarray]]:
+    """The distinct units of all texts, and which of them each text has, in order; Arrow splits the plain texts."""
+    odd = {k: coder.split(s) for k, t in enumerate(texts) if t and not coder.plain(s := t.decode("utf-8"))}
+    plain = [k for k, t in enumerate(texts) if t and k not in odd]
+    split = pc.split_pattern(pa.array([texts[k] for k in plain], pa.large_binary()).view(pa.large_string()), " ")
+    coded = pa.concat_arrays([split.flatten(), pa.array([u for x in odd.values() for u in x], pa.large_string())]).dictionary_encode()
+    sizes = np.zeros(len(texts), np.int64)
+    sizes[plain] = np.diff(np.asarray(split.offsets))
+    sizes[list(odd)] = [len(x) for x in odd.values()]
+    order, at = [*plain, *odd], coded.indices.to_numpy().astype(np.int64)
+    places = [at[:0]] * len(texts)
+    for k, own in zip(order, np.split(at, np.cumsum(sizes[order])[:-1]), strict=bool(order)):
+        places[k] = own
+    return coded.dictionary.to_pylist(), places
+
+
 def _block(block: int, doc_ids: list, texts: list[bytes], coder: Aligner) -> pa.RecordBatch:
     """One block's row."""
-    split = [coder.split(t.decode("utf-8")) if t else [] for t in texts]
-    number = {u: k for k, u in enumerate(dict.fromkeys(u for units in split for u in units))}
-    units = coder.units(list(number))
-    lost = {u for u, k in number.items() if units[k] is None}
-    if lost:
-        split = [[] if not lost.isdisjoint(x) else x for x in split]
-    places = [np.fromiter(map(number.__getitem__, x), np.int64, len(x)) for x in split]
+    names, places = _places(texts, coder)
+    units = coder.units(names)
+    lost = np.array([u is None for u in units], bool)
+    if lost.any():
+        places = [p[:0] if lost[p].any() else p for p in places]
     ends = np.cumsum([len(p) for p in places], dtype=np.int64)
     at = np.concatenate([np.zeros(0, np.int64), *places])
     known = [u or NO_TOKENS for u in units]

@@ -309,3 +309,13 @@ def test_spans_are_refined_where_they_do_not_fit():
     units = align.line_up(*a, *b, np.array([3, 4]))
     assert [u[:5] for u in units] == [(2, 2, 1, 3, b"7,8|5,6"), (1, 1, 1, 1, b"9|4")]
     assert [[(x >> 32, x & 0xFFFFFFFF) for x in np.frombuffer(u[5], "<u8").tolist()] for u in units] == [[(7, 5), (8, 5), (8, 6)], [(9, 4)]]
+
+
+def test_arrow_splits_texts_into_the_units_of_the_regular_expression():
+    coder = align.aligner(None, None)
+    texts = ["", "a b  c", "one two two", " led", "trailed ", "x\ty z", "  q", "hé 日本 hé", "a", "\n", "a \nb c"]
+    names, places = align._places([t.encode() for t in texts], coder)
+    assert [[names[k] for k in p] for p in places] == [coder.split(t) if t else [] for t in texts]
+    assert len(set(names)) == len(names)
+    assert [len(p) for p in align._places([], coder)[1]] == [] and align._places([b""], coder)[0] == []
+    assert align.CACHE_BYTES <= 64 << 20
