@@ -15,7 +15,8 @@ A text is encoded in units: a space and what follows it up to the next space tha
 has a plain character before it. No token of either tokenizer holds a space behind
 another character (checked on both vocabularies; otherwise the whole text is one
 unit), so groups and links of a text are those of its units, and units are encoded
-once and remembered, up to ``CACHE_BYTES`` in a process.
+once and those of several places remembered, up to ``CACHE_BYTES`` in a process.
+Thousands of units are lined up at a time, by Arrow and numpy.
 
 Spark's part: documents become blocks of about 4 MB of text, written once, each with
 its distinct units, their id pairs, and how many of its documents hold a pair. The
@@ -36,7 +37,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +59,7 @@ RUN = 8192
 _BLANK = r"\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u2581\u3000\ufeff"
 #: A space behind any other character, and not at the end.
 _CUT = re.compile(rf" (?<=[^{_BLANK}] )(?!\Z)")
-_BLANK_END = re.compile(rf"[{_BLANK}]\Z")
+_BLANKS = frozenset(re.findall(f"[{_BLANK}]", "".join(map(chr, range(1 << 16)))))
 _ODD = re.compile(rf"[{_BLANK}] ")
 _BLOCKS = (
     "block long, doc_ids binary, doc_nulls binary, numbers binary, hashes binary, units binary, unit_ends binary, "
@@ -105,17 +106,31 @@ _UNKNOWN = object()
 
 def line_up(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray, unit_ends: np.ndarray) -> list[Unit]:
     """Groups and links of two token rows over the same bytes, for each of the units that end at ``unit_ends``."""
-    shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
+    flags = np.zeros(max(a_ends[-1], b_ends[-1]) + 1, np.int8)
+    flags[a_ends] = 1
+    flags[b_ends] += 2
     # bytes between neighbouring ends belong to one token of either
-    ends = np.union1d(a_ends, b_ends)
-    links = a[np.searchsorted(a_ends, ends)].astype(np.uint64) << np.uint64(32) | b[np.searchsorted(b_ends, ends)].astype(np.uint64)
-    a_group, b_group = np.searchsorted(shared, a_ends), np.searchsorted(shared, b_ends)
-    order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
-    a_marks, b_marks = np.where(_last(a_group), "|", ","), np.where(_last(b_group), ";", ",")
-    texts = [f"{i}{m}" for i, m in zip(np.concatenate([a, b])[order].tolist(), np.concatenate([a_marks, b_marks])[order].tolist(), strict=True)]
-    at = [np.searchsorted(x, unit_ends, side="right") for x in (a_ends, b_ends, shared, ends)]
-    tokens, places, packed = [0, *(at[0] + at[1]).tolist()], [0, *(8 * at[3]).tolist()], links.tobytes()
-    groups = ["".join(texts[lo:hi])[:-1].encode() for lo, hi in pairwise(tokens)]
+    ends = np.flatnonzero(flags)
+    is_a, is_b = flags[ends] & 1 > 0, flags[ends] > 1
+    # how many tokens of A and of B, and groups, end at each place or before
+    marks = [is_a, is_b, is_a & is_b]
+    a_done, b_done, groups_done = done = [np.cumsum(x) for x in marks]
+    a_at, b_at, group = (n - x for n, x in zip(done, marks, strict=True))
+    links = a[a_at].astype(np.uint64) << np.uint64(32) | b[b_at].astype(np.uint64)
+    # a group's tokens of A, then those of B
+    shared = np.append(0, np.flatnonzero(marks[2]) + 1)
+    a_of, b_of = np.append(0, a_done)[shared], np.append(0, b_done)[shared]
+    a_group, b_group = group[is_a], group[is_b]
+    a_place, b_place = np.arange(len(a)) + b_of[a_group], np.arange(len(b)) + a_of[b_group + 1]
+    ids, kinds = np.empty(len(a) + len(b), np.int64), np.empty(len(a) + len(b), np.int64)
+    ids[a_place], kinds[a_place] = a, _last(a_group)
+    ids[b_place], kinds[b_place] = b, 2 * _last(b_group)
+    texts = pc.binary_join_element_wise(pa.array(ids).cast(pa.large_string()), pa.array([",", "|", ";"], pa.large_string()).take(pa.array(kinds)), pa.scalar("", pa.large_string()))
+    text_ends, data = np.frombuffer(texts.buffers()[1], "<i8"), texts.buffers()[2].to_pybytes()
+    found = np.searchsorted(ends, unit_ends, side="right")
+    at = [np.append(0, x)[found] for x in done] + [found]
+    tokens, places, packed = text_ends[np.append(0, at[0] + at[1])].tolist(), [0, *(8 * at[3]).tolist()], links.tobytes()
+    groups = [data[lo : hi - 1] for lo, hi in pairwise(tokens)]
     pairs = [packed[lo:hi] for lo, hi in pairwise(places)]
     return list(zip(*(np.diff(x, prepend=0).tolist() for x in at), groups, pairs, strict=True))
 
@@ -125,6 +140,17 @@ def _last(group: np.ndarray) -> np.ndarray:
     return np.append(group[1:] != group[:-1], True)[: len(group)]
 
 
+def _joined(table: pa.Array, ids: np.ndarray) -> bytes:
+    """Entries of ``table``, end to end."""
+    data = table.take(pa.array(ids)).buffers()[2]
+    return data.to_pybytes() if data else b""
+
+
+def _cut(data: bytes, sizes: np.ndarray) -> list[bytes]:
+    """Consecutive pieces of ``data`` of these sizes."""
+    return [data[lo:hi] for lo, hi in pairwise([0, *np.cumsum(sizes).tolist()])]
+
+
 class Aligner(dict):
     """Units by their text without its space; None for a unit that isn't given back exactly."""
 
@@ -147,6 +173,7 @@ class Aligner(dict):
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("\u2581", " ").encode("utf-8") for i, p in enumerate(pieces)]
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in table], np.int64) for table in (self.a_bytes, self.b_bytes))
+        self.a_table, self.b_table = (pa.array(table, pa.large_binary()) for table in (self.a_bytes, self.b_bytes))
         # a token with such a space would join units
         self.cuts = not any(_CUT.search(t.decode("utf-8", "replace") + "x") for t in [*self.a_bytes, *self.b_bytes])
         self.held = 0
@@ -165,7 +192,7 @@ class Aligner(dict):
         """Units to encode as one text each: those that end in a blank, or are long, alone."""
         out, run, held = [], [], 0
         for u in units:
-            if not self.cuts or len(u) > RUN or _BLANK_END.search(u):
+            if not self.cuts or len(u) > RUN or u[-1:] in _BLANKS:
                 out.append([u])
                 continue
             run.append(u)
@@ -181,10 +208,10 @@ class Aligner(dict):
         runs = self.runs(units)
         while runs:
             whole = [" " + " ".join(run) for run in runs]
-            a, b = self.a.encode_batch(whole, add_special_tokens=False), self.b.encode([w[1:] for w in whole], return_type="proto")
+            a = self.a.encode_batch(whole, add_special_tokens=False)
+            b = self.b.encode([w[1:] for w in whole], return_type="proto", num_threads=1)
             again = []
-            for run, text, x, y in zip(runs, whole, a, b, strict=True):
-                found = self.encoded(run, text, x, y)
+            for run, found in zip(runs, self.encoded(runs, whole, a, b), strict=True):
                 if found is not None:
                     out.update(zip(run, found, strict=True))
                 elif len(run) == 1:
@@ -194,25 +221,35 @@ class Aligner(dict):
             runs = again
         return out
 
-    def encoded(self, run: list[str], text: str, a, b) -> list[Unit] | None:
-        """Units of a run from its tokens of both; None unless both give back the text."""
-        raw = text.encode("utf-8")
-        a_ids, pieces = a.ids, b.pieces
-        b_ids = [p.id for p in pieces]
-        if b"".join([self.a_bytes[i] for i in a_ids]) != raw or b"".join([self.b_bytes[i] for i in b_ids]) != raw:
-            return None
-        places = byte_places(text)
-        spans = places[np.array(a.offsets, np.int64).reshape(-1, 2)]
-        a_ids, b_ids = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+    def encoded(self, runs: list[list[str]], texts: list[str], a: list, b: list) -> list[list[Unit] | None]:
+        """Units of each run from its tokens of both; None unless both give back its text."""
+        text = "".join(texts)
+        raw, places = text.encode("utf-8"), byte_places(text)
+        starts = np.cumsum([0, *map(len, texts)])  # in characters
+        a_n, b_n = [len(e) for e in a], [len(p.pieces) for p in b]
+        a_ids = np.fromiter(chain.from_iterable(e.ids for e in a), np.int64, sum(a_n))
+        tokens = np.fromiter(chain.from_iterable((p.id, p.end) for x in b for p in x.pieces), np.int64, 2 * sum(b_n)).reshape(-1, 2)
+        b_ids = tokens[:, 0]
+        given = _cut(raw, np.diff(places[starts]))
+        a_given = _cut(_joined(self.a_table, a_ids), _sums(self.a_sizes[a_ids], np.cumsum(a_n)))
+        b_given = _cut(_joined(self.b_table, b_ids), _sums(self.b_sizes[b_ids], np.cumsum(b_n)))
+        same = [x == y == z for x, y, z in zip(given, a_given, b_given, strict=True)]
+        if not all(same):
+            of_same = lambda values: [v for v, ok in zip(values, same, strict=True) if ok]
+            found = iter(self.encoded(*map(of_same, (runs, texts, a, b))) if any(same) else [])
+            return [next(found) if ok else None for ok in same]
+        spans = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in a)), np.int64, 2 * sum(a_n)).reshape(-1, 2)
+        spans = places[spans + np.repeat(starts[:-1], a_n)[:, None]]
         a_ends = token_ends(spans[:, 0], spans[:, 1], self.a_sizes[a_ids])
         # the space that B puts before a text has no byte in its spans
-        end = np.array([p.end for p in pieces], np.int64) + 1
+        end = tokens[:, 1] + 1 + np.repeat(places[starts[:-1]], b_n)
         b_ends = token_ends(np.append(0, end[:-1]), end, self.b_sizes[b_ids])
-        unit_ends = places[np.cumsum([len(u) + 1 for u in run])]
-        return line_up(a_ids, a_ends, b_ids, b_ends, unit_ends)
+        unit_ends = places[np.cumsum([len(u) + 1 for run in runs for u in run])]
+        units = iter(line_up(a_ids, a_ends, b_ids, b_ends, unit_ends))
+        return [list(islice(units, len(run))) for run in runs]
 
-    def units(self, names: list[str]) -> list[Unit | None]:
-        """All of ``names``, from memory or encoded."""
+    def units(self, names: list[str], often: np.ndarray | None = None) -> list[Unit | None]:
+        """All of ``names``, from memory or encoded; those that ``often`` marks are remembered (all without it)."""
         out = [self.get(u, _UNKNOWN) for u in names]
         places = [k for k, x in enumerate(out) if x is _UNKNOWN]
         fresh: dict[str, Unit | None] = {}
@@ -223,7 +260,8 @@ class Aligner(dict):
         if self.held > CACHE_BYTES:
             self.clear()
             self.held = 0
-        for u, unit in fresh.items():
+        for k in places if often is None else np.array(places, np.int64)[often[places]].tolist():
+            u, unit = names[k], out[k]
             if len(u) <= LONG:
                 self[u] = unit
                 self.held += 500 + len(u) + (len(unit[4]) + len(unit[5]) if unit else 0)
@@ -281,26 +319,25 @@ def _places(texts: list[bytes], coder: Aligner) -> tuple[list[str], list[np.ndar
 def _block(block: int, doc_ids: list, texts: list[bytes], coder: Aligner) -> pa.RecordBatch:
     """One block's row."""
     names, places = _places(texts, coder)
-    units = coder.units(names)
+    at = np.concatenate([np.zeros(0, np.int64), *places])
+    units = coder.units(names, np.bincount(at, minlength=len(names)) > 1)
     lost = np.array([u is None for u in units], bool)
     if lost.any():
         places = [p[:0] if lost[p].any() else p for p in places]
     ends = np.cumsum([len(p) for p in places], dtype=np.int64)
     at = np.concatenate([np.zeros(0, np.int64), *places])
     known = [u or NO_TOKENS for u in units]
-    counts = np.array([u[:4] for u in known], np.int64).reshape(-1, 4)
+    counts = np.fromiter(chain.from_iterable(u[:4] for u in known), np.int64, 4 * len(known)).reshape(-1, 4)
     sizes = counts[:, 3]
     numbers = np.stack([_sums(counts[at, k], ends) for k in range(4)])
-    hashes = b"".join(hashlib.sha256(b";".join([known[k][4] for k in p.tolist()])).digest() for p in places)
+    groups = [u[4] for u in known]
+    hashes = b"".join(hashlib.sha256(b";".join([groups[k] for k in p.tolist()])).digest() for p in places)
     pairs, links = np.unique(np.frombuffer(b"".join([u[5] for u in known]), "<u8"), return_inverse=True)
     link_ends = np.cumsum(sizes)
-    # documents that hold a pair
-    n, held = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), bool)
+    # documents that hold a pair: one that is given several times is raised once
+    n, starts = np.zeros(len(pairs), np.int64), link_ends - sizes
     for p in places:
-        own = links[_runs((link_ends - sizes)[p], sizes[p])]
-        held[own] = True
-        n += held
-        held[own] = False
+        n[links[_runs(starts[p], sizes[p])]] += 1
     values = [
         np.array([d or 0 for d in doc_ids], "<i8").tobytes(), bytes(d is None for d in doc_ids), numbers.astype("<i8").tobytes(), hashes,
         at.astype("<u4").tobytes(), ends.astype("<i8").tobytes(), links.astype("<u4").tobytes(), link_ends.astype("<i8").tobytes(),

@@ -319,3 +319,19 @@ def test_arrow_splits_texts_into_the_units_of_the_regular_expression():
     assert len(set(names)) == len(names)
     assert [len(p) for p in align._places([], coder)[1]] == [] and align._places([b""], coder)[0] == []
     assert align.CACHE_BYTES <= 64 << 20
+
+
+def test_units_of_all_runs_are_lined_up_at_once_and_those_met_once_not_remembered(monkeypatch):
+    coder = align.Aligner(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    names = ["hé", "日本", "x\t", "\n", "\U0001f600b", *(f"w{i}é" for i in range(6000)), "y" * 9000]
+    want = {u: coder.learn([u])[u] for u in names}
+    calls, line_up = [], align.line_up
+    monkeypatch.setattr(align, "line_up", lambda *a: (calls.append(1), line_up(*a))[1])
+    assert len(coder.runs(names)) > 5 and coder.learn(names) == want and len(calls) == 1
+    # one unit that isn't given back leaves the others of its run as they are
+    odd = [*names[:50], "\u2581x", *names[50:]]
+    got = coder.learn(odd)
+    assert got.pop("\u2581x") is None and got == want
+    block = align._block(0, [1, 2], [b"one two two", b"one three"], coder)
+    assert block.num_rows == 1 and set(coder) == {"one", "two"}
+    assert coder.units(["one", "four"], np.array([False, False]))[0] is coder["one"] and "four" not in coder
