@@ -100,6 +100,14 @@ def _tasks(df: DataFrame, rows: int, tuples: float) -> int:
     return n if n > df.sparkSession.sparkContext.defaultParallelism else 0
 
 
+def row_tasks(df: DataFrame, basket: str) -> int:
+    """Tasks that rows can be dealt to as they are; 0 (Spark's own, after partial aggregation) for few rows, or a basket of
+    more than a task's, as its rows may be copies of one."""
+    per = df.groupBy(basket).agg(F.count(F.lit(1)).alias("_r"))
+    largest, rows = per.agg(F.max("_r"), F.sum("_r")).first()
+    return _tasks(df, rows or 0, 0.0) if (largest or 0) <= TASK_TUPLES else 0
+
+
 def _spread(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
     """``df`` dealt by ``keys`` to ``tasks`` tasks, whose number follows the input; 0: left to Spark."""
     return df.repartition(tasks, *keys) if tasks else df

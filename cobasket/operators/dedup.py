@@ -31,6 +31,7 @@ def new_rows(
     existing: DataFrame,
     keys: Sequence[str] = KEYS,
     incoming_is_small: bool = False,
+    tasks: int = 0,
 ) -> DataFrame:
     """Distinct ``incoming`` keys that are absent from ``existing``.
 
@@ -44,6 +45,9 @@ def new_rows(
     keys fit in a broadcast. Then ``existing`` is only scanned and probed
     against them (no shuffle of the big table), which suits incremental
     batches against a large table.
+
+    ``tasks``: the caller has checked that no key has very many copies. Then the
+    rows are dealt to so many tasks of the default plan, as they are.
     """
     keys = list(keys)
     inc = incoming.select(*keys)
@@ -56,6 +60,8 @@ def new_rows(
         cond2 = [F.col(f"_n.{k}").eqNullSafe(F.col(f"_p.{k}")) for k in keys]
         return inc_d.alias("_n").join(F.broadcast(present.alias("_p")), cond2, "left_anti")
     tagged = inc.withColumn("_src", F.lit(1)).unionByName(ex.withColumn("_src", F.lit(2)))
+    if tasks:
+        tagged = tagged.repartition(tasks, *keys)
     return (
         tagged.groupBy(*keys)
         .agg(F.bit_or("_src").alias("_src"))

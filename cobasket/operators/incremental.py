@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cobasket.operators.cooccur import cooccurrence, product_columns
+from cobasket.operators.cooccur import cooccurrence, product_columns, row_tasks
 from cobasket.operators.dedup import new_rows
 from cobasket.sources.sales import BASKET, PRODUCT
 
@@ -63,13 +63,15 @@ def count_delta(
     ``new_is_small`` (checked by the caller) broadcasts the added rows'
     baskets instead of shuffling ``old`` to find the touched baskets.
     ``disjoint``: the caller guarantees ``new`` is distinct and shares no
-    row with ``old`` (e.g. the output of ``new_rows``), so that step is skipped.
+    row with ``old`` (e.g. the output of ``new_rows``), so that step is skipped;
+    otherwise a small job counts the rows, which that step's tasks follow.
     """
     keys = [basket, item]
     if disjoint:
         added = new.select(*keys)
     else:
-        added = new_rows(new.select(*keys), old.select(*keys), keys, incoming_is_small=new_is_small)
+        tasks = 0 if new_is_small else row_tasks(new.select(basket).unionByName(old.select(basket)), basket)
+        added = new_rows(new.select(*keys), old.select(*keys), keys, incoming_is_small=new_is_small, tasks=tasks)
     # Baskets of the new rows: a superset of the baskets that gained a row,
     # taken from ``new`` so that ``added`` is not planned twice; baskets
     # whose rows all existed contribute no flagged tuple.

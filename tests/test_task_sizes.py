@@ -51,6 +51,22 @@ def test_parts_are_counted_apart_from_their_sum(spark):
     assert as_counts(got) == want
 
 
+def test_added_rows_are_found_by_tasks_that_follow_the_rows(spark, monkeypatch):
+    old, new = _rows(9)[:-300], _rows(10)[:-300]
+    want = sql_counts(old + new, 2)
+    for b, n in sql_counts(old, 2).items():
+        want[b] -= n
+    delta = lambda more: incremental.count_delta(sales_df(spark, new + more), sales_df(spark, old + more), 2)
+    seen, find = [], incremental.new_rows
+    monkeypatch.setattr(incremental, "new_rows", lambda *a, **b: (seen.append(find(*a, **b)), seen[-1])[1])
+    small = delta([])
+    monkeypatch.setattr(cooccur, "TASK_TUPLES", 30)
+    many, hot = delta([]), delta([("hot", "1")] * 300)
+    assert ["REPARTITION_BY_NUM" in _plan(x) for x in seen] == [False, True, False]
+    assert seen[1].rdd.getNumPartitions() == -(-len(old + new) // 30)
+    assert as_counts(small) == as_counts(many) == as_counts(hot) == {b: n for b, n in want.items() if n}
+
+
 def test_buckets_are_of_a_task_s_size():
     assert basket_table.ROWS_PER_BUCKET <= 500_000
 
