@@ -86,7 +86,8 @@ def cells(docs: DataFrame, labels: DataFrame) -> DataFrame:
     flags = label_flags(labels).withColumn("known_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
     salted = rows.withColumn("salt", F.pmod("h1", F.lit(SALTS)).cast("int"))
     salted = salted.withColumn("own_id", F.coalesce("doc_id", F.col("h2"))).withColumn("salt", F.when(F.col("doc_id").isNull(), -1).otherwise(F.col("salt")))
-    known = salted.join(flags, (F.col("own_id") == F.col("known_id")) & (F.col("salt") == F.col("known_salt")), "left")
+    # a label has SALTS rows, of which the size of its table tells nothing: never broadcast
+    known = salted.join(flags.hint("merge"), (F.col("own_id") == F.col("known_id")) & (F.col("salt") == F.col("known_salt")), "left")
     known = known.select("doc_id", "part", "h1", "h2", "mask", "n", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"))
     # one text in one part: its smallest doc_id, and how many of its rows carry it
     first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "n")))

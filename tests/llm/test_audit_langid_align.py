@@ -95,6 +95,14 @@ def test_audit_equals_its_sql(spark, corpus):
     assert rows_of(got) == sorted(con.execute(audit.ORACLE).fetchall(), key=str)
 
 
+def test_audit_never_broadcasts_labels(spark):
+    rows, labels = [(1, "a b", "s"), (2, "c # d", "s"), (None, "a b", "t")], [(1, 1, 0), (2, 0, 1)]
+    got = audited(spark, rows, labels)
+    assert rows_of(got) == plain_audit(rows, labels)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_audit_ignores_other_columns_and_empty_tables(spark, empty):
     labels = spark.createDataFrame([(1, 1, 0)], LABELS)
     assert audit.audit(empty, labels).collect() == []
