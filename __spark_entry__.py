@@ -428,9 +428,11 @@ def q_reencode_roundtrip(spark, sf_dir):
 FILE_ROWS = 500_000
 
 
-def _text(rows: DataFrame, files: int, path: str) -> None:
-    """Rows as ``files`` gzip CSV files or more, as they need (gzip can't be split: one task each)."""
-    rows.repartition(max(files, rows.count() // FILE_ROWS)).write.option("compression", "gzip").csv(path)
+def _text(rows: DataFrame, files: int, path: str) -> int:
+    """Rows as ``files`` gzip CSV files or more, as they need (gzip can't be split: one task each); how many at most."""
+    files = max(files, rows.count() // FILE_ROWS)
+    rows.repartition(files).write.option("compression", "gzip").csv(path)
+    return files
 
 
 def _bigints(rows: DataFrame) -> DataFrame:
@@ -561,7 +563,7 @@ def q_keyed_pair_counts(spark, sf_dir):
 
 
 def _keyed_runs(spark, sf_dir):
-    """The drops of ``_two_runs`` through a file stream, a restart between them, and a third run without a new file."""
+    """The drops of ``_two_runs`` through a file stream, each one batch; a restart between them, and a third run without a new file."""
     inbox, ckpt = scratch_path(spark, "keyed-in"), scratch_path(spark, "keyed-ckpt")
     table = keyed_ingest.sales_table(spark, scratch_path(spark, "keyed-table"))
     outcomes = keyed_ingest.outcomes_table(spark, scratch_path(spark, "keyed-outcomes"))
@@ -569,7 +571,7 @@ def _keyed_runs(spark, sf_dir):
     for lot, part in (("1", _existing(spark, sf_dir)), ("2", _incoming(spark, sf_dir)), ("3", None)):
         if part is not None:
             dirty = part.limit(1).select("basket_id", F.lit(None).cast("bigint").alias("product_id"))
-            _text(part.unionByName(dirty), files, f"{inbox}/lot={lot}")
+            files = _text(part.unionByName(dirty), files, f"{inbox}/lot={lot}")
         stream = ingest_stream.file_stream(spark, inbox, max_files_per_trigger=files)
         ingest_stream.run_to_completion(keyed_ingest.start_ingest(stream, table, outcomes, ckpt))
     return table, outcomes

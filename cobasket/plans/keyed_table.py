@@ -205,9 +205,12 @@ class KeyedTable:
         live = self.segments()
         if not live:
             return self._empty()
-        hashed = keys.select(F.col(self.key).alias("k")).distinct().select("k", key_hash("k").alias("h"))
-        known = hashed.limit(max_keys + 1).collect()  # at most max_keys + 1 rows
-        if len(known) <= max_keys:
+        hashed = keys.select(F.col(self.key).alias("k")).select("k", key_hash("k").alias("h"))
+        # at most 2 ** MAX_PRUNED_BITS rows, and no more than there are keys: those of a large drop needn't be told apart
+        prefixes = [r[0] for r in hashed.select(prefix_of(F.col("h"), MAX_PRUNED_BITS).alias("p")).distinct().collect()]
+        # at most max_keys + 1 rows
+        known = hashed.distinct().limit(max_keys + 1).collect() if len(prefixes) <= max_keys else None
+        if known is not None and len(known) <= max_keys:
             hashes, bits = [r.h for r in known], 64
             values = [r.k for r in known if r.k is not None]
             named = one_of(self.key, values)
@@ -215,8 +218,7 @@ class KeyedTable:
                 named = named | F.col(self.key).isNull()
         else:
             bits, named = MAX_PRUNED_BITS, None
-            # at most 2 ** MAX_PRUNED_BITS rows
-            hashes = [r[0] << (64 - bits) for r in hashed.select(prefix_of(F.col("h"), bits)).distinct().collect()]
+            hashes = [p << (64 - bits) for p in prefixes]
 
         def where(s: Segment) -> Column | None:
             if not s.depth:

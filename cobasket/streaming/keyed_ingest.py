@@ -90,7 +90,8 @@ def ingest_batch(raw: DataFrame, batch_id: int, table: KeyedTable, outcomes: Key
     if not table.covers(batch_id):
         existing = table.near(incoming)
         with pushed_values(spark, distinct):
-            added = new_rows(incoming, existing, KEYS, incoming_is_small=_small(spark, distinct))
+            # the drop's rows are distinct: all are new to an empty table
+            added = new_rows(incoming, existing, KEYS, incoming_is_small=_small(spark, distinct)) if table.segments() else incoming
             appended = table.append(batch_id, added, expected=distinct)
     rejected = {r: int(got[r]) for r in REASONS if got[r]}
     outcome = BatchOutcome(batch_id, int(got["rows"]), distinct, appended, table.rows(), rejected)

@@ -208,3 +208,27 @@ def test_a_drop_is_parsed_once(spark, tmp):
     table = keyed_ingest.sales_table(spark, f"{tmp}/table")
     outcome = keyed_ingest.ingest_batch(raw, 0, table)
     assert (outcome.rows_read, outcome.rows_appended, touched.value) == (3, 2, 3)
+
+
+def test_keys_of_a_large_drop_are_not_told_apart(spark, tmp, monkeypatch):
+    table = KeyedTable(spark, f"{tmp}/t", SALES_SCHEMA, key="basket_id", target_rows=10)
+    table.append(0, sales_df(spark, [(str(i), "1") for i in range(80)] + [(None, "2")]), expected=80)
+    drop = sales_df(spark, [(str(i), "1") for i in range(0, 80, 2)] + [(None, "3")])
+    want = _rows_of_keys(table, drop)
+    asked, distinct = [], type(drop).distinct
+    monkeypatch.setattr(type(drop), "distinct", lambda self: (asked.append(self.columns), distinct(self))[1])
+    few = table.near(drop, max_keys=50)
+    assert ["k", "h"] in asked
+    asked.clear()
+    many = table.near(drop, max_keys=3)
+    assert asked == [["p"]]
+    monkeypatch.undo()
+    for near in (few, many):
+        assert _rows_of_keys(near, drop) == want and len(want) == 41
+
+
+def _rows_of_keys(table, keys):
+    """Rows of a table, or a part of it, that have one of the keys, sorted."""
+    rows = table.read() if isinstance(table, KeyedTable) else table
+    named = {r.basket_id for r in keys.collect()}
+    return sorted((tuple(r) for r in rows.collect() if r.basket_id in named), key=str)

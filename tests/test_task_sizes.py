@@ -119,3 +119,15 @@ def test_streamed_batches_are_of_as_many_files_as_they_need(spark, tmp, monkeypa
     want = {(i, i % 7) for i in range(400)}
     got = [tuple(r) for r in entry.q_stream_dedup(spark, tmp).collect()]
     assert len(got) == 400 and set(got) == want
+
+
+def test_a_drop_of_a_keyed_ingest_is_one_batch_of_as_many_files_as_it_needs(spark, tmp, monkeypatch):
+    _lineitem(spark, tmp, 2)
+    monkeypatch.setattr(entry, "FILE_ROWS", 20)
+    before = set(glob.glob(f"{checkpoint_root(spark).removeprefix('file:')}/keyed-in-*"))
+    got = sorted(tuple(r) for r in entry.q_keyed_ingest_runs(spark, tmp).collect())
+    assert got == [(0, 401, 400, 400, 400, 1), (1, 201, 200, 0, 400, 1)]
+    (inbox,) = set(glob.glob(f"{checkpoint_root(spark).removeprefix('file:')}/keyed-in-*")) - before
+    assert len(glob.glob(f"{inbox}/lot=1/*.gz")) == 20
+    monkeypatch.undo()
+    assert sorted(tuple(r) for r in entry.q_keyed_ingest_roundtrip(spark, tmp).collect()) == [(i, i % 7) for i in range(400)]
