@@ -19,7 +19,9 @@ once and those of several places remembered, up to ``CACHE_BYTES`` in a process.
 Thousands of units are lined up at a time, by Arrow and numpy.
 
 Spark's part: documents become blocks of about 4 MB of text, written once, each with
-its distinct units, their id pairs, and how many of its documents hold a pair. The
+its distinct units, their id pairs, and how many of its documents hold a pair. Numbers
+take as few bytes as they need and a file's row groups are of a few blocks, as the JVM
+holds whole blocks beside the tokenizers. The
 pairs of all blocks are added up, written with the best count of their A id, and
 joined back to the blocks that hold them: a pair meets its count once for each block,
 not for each link, and no task or broadcast holds the whole table of counts. Then
@@ -47,10 +49,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cobasket.llm.text import chunks, release
-from cobasket.session import stored
+from cobasket.session import scratch_path, stored
 
 #: Bytes of remembered units, about, in one process.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 48 << 20
+#: Bytes of text in a block, about.
+BLOCK_BYTES = 4 << 20
+#: Row groups of the written blocks: so many bytes, looked at after each row (Parquet's own check waits for 100 rows).
+ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
 #: A unit of more characters is not remembered.
 LONG = 64
 #: Characters of units that are encoded as one text.
@@ -62,8 +68,8 @@ _CUT = re.compile(rf" (?<=[^{_BLANK}] )(?!\Z)")
 _BLANKS = frozenset(re.findall(f"[{_BLANK}]", "".join(map(chr, range(1 << 16)))))
 _ODD = re.compile(rf"[{_BLANK}] ")
 _BLOCKS = (
-    "block long, doc_ids binary, doc_nulls binary, numbers binary, hashes binary, units binary, unit_ends binary, "
-    "links binary, link_ends binary, pairs binary, n binary"
+    "block long, doc_ids binary, doc_nulls binary, numbers binary, hashes binary, units binary, unit_sizes binary, "
+    "links binary, link_sizes binary, pairs binary, n binary"
 )
 _ROWS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
@@ -288,6 +294,16 @@ def forget() -> None:
         release()
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, in as few bytes each as the largest needs; the last byte says how many."""
+    kind = np.min_scalar_type(values.max(initial=0))
+    return values.astype(kind).tobytes() + bytes([kind.itemsize])
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[-1]}", (len(data) - 1) // data[-1])
+
+
 def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs of ``values`` that end before ``ends``."""
     total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
@@ -340,8 +356,7 @@ def _block(block: int, doc_ids: list, texts: list[bytes], coder: Aligner) -> pa.
         n[links[_runs(starts[p], sizes[p])]] += 1
     values = [
         np.array([d or 0 for d in doc_ids], "<i8").tobytes(), bytes(d is None for d in doc_ids), numbers.astype("<i8").tobytes(), hashes,
-        at.astype("<u4").tobytes(), ends.astype("<i8").tobytes(), links.astype("<u4").tobytes(), link_ends.astype("<i8").tobytes(),
-        pairs.astype("<u8").tobytes(), n.astype("<u4").tobytes(),
+        _packed(at), _packed(np.diff(ends, prepend=0)), _packed(links), _packed(sizes), pairs.astype("<u8").tobytes(), _packed(n),
     ]
     names = [f.strip().split(" ")[0] for f in _BLOCKS.split(",")]
     return pa.record_batch([pa.array([block], pa.int64()), *[pa.array([v], pa.binary()) for v in values]], names=names)
@@ -352,9 +367,10 @@ def encode_blocks(docs: DataFrame, a_path: str | None = None, b_path: str | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, block = aligner(a_path, b_path), TaskContext.get().partitionId() << 32
-        for batch, texts in chunks(batches):
+        for batch, texts in chunks(batches, size=BLOCK_BYTES):
             yield _block(block, batch.column(0).to_pylist(), texts, coder)
             block += 1
+            release()
 
     return docs.select("doc_id", "text").mapInArrow(run, _BLOCKS)
 
@@ -366,7 +382,7 @@ def block_pairs(blocks: DataFrame) -> DataFrame:
         forget()
         for batch in batches:
             for block, pairs, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                pairs, n = np.frombuffer(pairs, "<i8"), np.frombuffer(n, "<u4").astype(np.int64)
+                pairs, n = np.frombuffer(pairs, "<i8"), _unpacked(n).astype(np.int64)
                 yield pa.record_batch([pa.array(np.full(len(n), block)), pa.array(pairs), pa.array(n)], names=["block", "pair", "n"])
 
     return blocks.select("block", "pairs", "n").mapInArrow(run, "block long, pair long, n long")
@@ -381,7 +397,9 @@ def pair_counts(pairs: DataFrame) -> DataFrame:
 
 def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
     """One row for each document: n_a, n_b, n_groups, n_links, n_best, count_sum and the hash of its groups."""
-    blocks = stored(encode_blocks(docs, a_path, b_path), "aligned-blocks")
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "aligned-blocks")
+    encode_blocks(docs, a_path, b_path).write.options(**ROW_GROUPS).parquet(path)
+    blocks = spark.read.parquet(path)
     pairs = block_pairs(blocks)
     counts = stored(pair_counts(pairs), "pair-counts")
     known = pairs.select("block", "pair").join(counts.hint("merge"), "pair").select("block", "pair", "n", "best")
@@ -395,8 +413,8 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None)
             read = lambda c, kind, r=r: np.frombuffer(r[c], kind)
             if not np.array_equal(found.column("pair").to_numpy(), read("pairs", "<i8")):
                 raise ValueError(f"block {r['block']}: its pairs and their counts don't match")
-            at, ends = read("units", "<u4"), read("unit_ends", "<i8")
-            links, link_ends = read("links", "<u4"), read("link_ends", "<i8")
+            at, links = _unpacked(r["units"]), _unpacked(r["links"])
+            ends, link_ends = (np.cumsum(_unpacked(r[c]), dtype=np.int64) for c in ("unit_sizes", "link_sizes"))
             of = lambda values, at=at, ends=ends, links=links, link_ends=link_ends: _sums(_sums(values[links], link_ends)[at], ends)
             numbers = read("numbers", "<i8").reshape(4, -1)
             names = [None if no else d for d, no in zip(read("doc_ids", "<i8").tolist(), r["doc_nulls"], strict=True)]

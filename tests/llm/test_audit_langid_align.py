@@ -10,8 +10,11 @@ from itertools import permutations
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cobasket.llm import align, audit, langid
@@ -343,3 +346,35 @@ def test_units_of_all_runs_are_lined_up_at_once_and_those_met_once_not_remembere
     block = align._block(0, [1, 2], [b"one two two", b"one three"], coder)
     assert block.num_rows == 1 and set(coder) == {"one", "two"}
     assert coder.units(["one", "four"], np.array([False, False]))[0] is coder["one"] and "four" not in coder
+
+
+def test_numbers_of_a_block_take_as_few_bytes_as_they_need():
+    for values in ([], [0], [255, 3], [256, 0], [65_536], [1 << 32, 7]):
+        packed = align._packed(np.array(values, np.int64))
+        assert align._unpacked(packed).tolist() == values
+        assert len(packed) == 1 + len(values) * (1 if max(values, default=0) < 256 else 2 if max(values) < 65_536 else 4 if max(values) < 1 << 32 else 8)
+    coder = align.Aligner(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    block = align._block(0, [1, 2], [b"one two two", b"one three"], coder).to_pylist()[0]
+    assert (block["units"], block["unit_sizes"]) == (bytes([0, 1, 1, 0, 2, 1]), bytes([3, 2, 1]))
+
+
+def test_blocks_lie_in_row_groups_of_a_few_and_each_gives_its_memory_back(spark, tmp_path, monkeypatch):
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words of "), F.col("id"), F.lit(" and more")).alias("text")).coalesce(1)
+    want = rows_of(align.align(docs))
+    monkeypatch.setattr(align, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(align, "ROW_GROUPS", align.ROW_GROUPS | {"parquet.block.size": "4000"})
+    monkeypatch.setattr(align, "scratch_path", lambda *a: f"{tmp_path}/blocks")
+    assert rows_of(align.align(docs)) == want
+    (file,) = (tmp_path / "blocks").glob("*.parquet")
+    groups = pq.ParquetFile(file).metadata
+    assert groups.num_rows == 15 and groups.num_row_groups >= 3
+    freed, runs = [], []
+
+    class Docs:
+        select = lambda self, *columns: self
+        mapInArrow = lambda self, run, kind: runs.append(run)
+
+    monkeypatch.setattr(align, "release", lambda: freed.append(1))
+    monkeypatch.setattr(align, "TaskContext", type("Task", (), {"get": lambda: type("One", (), {"partitionId": lambda self: 0})()}))
+    align.encode_blocks(Docs())
+    assert len(list(runs[0]([pa.record_batch({"doc_id": range(60), "text": ["some words and more"] * 60})]))) == len(freed) == 10
